@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from trafficlens.functions import columns as fx
 from trafficlens.operators.ordering import exact_quantiles
 from trafficlens.operators.wide import FeatureStats, feature_stats, impute_array, pack
-from trafficlens.session import materialize
+from trafficlens.session import materialize, spread
 
 # Fixed values.
 TREES = 100
@@ -29,6 +29,7 @@ CONTAMINATION = 0.1
 LOWER_CONTAMINATION = 0.05
 AUTO_OFFSET = -0.5
 SEED = 42
+GROW_TASKS = 25
 _HASH_SPAN = 1 << 52
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
@@ -42,20 +43,23 @@ class IsolationForest:
     mean: list[float]
     sample_size: int
     offset: float
+    rows: int
     nodes: pd.DataFrame = field(repr=False)
 
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame(self.nodes, NODE_SCHEMA).write.mode("overwrite").parquet(f"{path}/nodes")
-        params = [(self.features, [float(m) for m in self.mean], self.sample_size, float(self.offset))]
+        params = [
+            (self.features, [float(m) for m in self.mean], self.sample_size, float(self.offset), self.rows)
+        ]
         spark.createDataFrame(
-            params, "features array<string>, mean array<double>, sample_size int, offset double"
+            params, "features array<string>, mean array<double>, sample_size int, offset double, rows long"
         ).write.mode("overwrite").parquet(f"{path}/params")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> IsolationForest:
         p = spark.read.parquet(f"{path}/params").first()
         nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()
-        return IsolationForest(list(p["features"]), list(p["mean"]), p["sample_size"], p["offset"], nodes)
+        return IsolationForest(list(p["features"]), list(p["mean"]), p["sample_size"], p["offset"], p["rows"], nodes)
 
 
 def expected_path(size: np.ndarray | float):
@@ -83,8 +87,11 @@ def _draw(df: DataFrame, id_column: str, rows: int, sample: int, trees: int, see
     if inner < 1.0:
         drawn = drawn.filter(F.col("ticket") < int(inner * _HASH_SPAN))
     order = Window.partitionBy("tree").orderBy("ticket", key)
+    # A fixed number of tasks: the drawn rows are few, but growing trees is slow work
+    # that adaptive execution would otherwise put into one task.
+    spread_trees = drawn.repartition(min(trees, GROW_TASKS), "tree")
     return (
-        drawn.withColumn("place", F.row_number().over(order))
+        spread_trees.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= sample)
         .select("tree", "place", "x")
     )
@@ -124,7 +131,7 @@ def fit_forest(
 ) -> IsolationForest:
     """Grow the trees. ``id_column`` must be unique. The offset is the 'auto' one until set."""
     stats = feature_stats(df, features)
-    rows = df.count()
+    rows = stats.rows
     if not rows:
         raise ValueError("cannot fit a forest on an empty table")
     sample = min(sample_size, rows)
@@ -144,7 +151,7 @@ def fit_forest(
     # Every group has at most `sample` rows.
     grown = _draw(packed, id_column, rows, sample, trees, seed).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
     nodes = grown.toPandas().sort_values(["tree", "node"], ignore_index=True)
-    return IsolationForest(list(features), list(stats.mean), sample, AUTO_OFFSET, nodes)
+    return IsolationForest(list(features), list(stats.mean), sample, AUTO_OFFSET, rows, nodes)
 
 
 def _scorer(model: IsolationForest, spark: SparkSession) -> Column:
@@ -222,9 +229,10 @@ def detect(
     same scores; if that also finds nothing, nothing is reported.
     """
     model = fit_forest(df, id_column, features, trees, sample_size, seed)
+    evenly = spread(df, model.rows)
     if contamination == "auto":
-        return score_forest(df, model), model
-    scored = materialize(raw_scores(df, model), "forest-scores")
+        return score_forest(evenly, model), model
+    scored = materialize(raw_scores(evenly, model), "forest-scores")
     wanted = [float(contamination), min(float(contamination), LOWER_CONTAMINATION)]
     for offset in exact_quantiles(scored, "raw_score", wanted):
         model = replace(model, offset=float(offset))

@@ -24,6 +24,7 @@ class FeatureStats:
     columns: list[str]
     mean: list[float]
     std: list[float]
+    rows: int = 0
 
 
 def pack(columns: Sequence[str]) -> Column:
@@ -43,18 +44,18 @@ def feature_stats(df: DataFrame, columns: Sequence[str]) -> FeatureStats:
         array_to_vector(F.transform("x", lambda v: F.when(v.isNull(), 0.0).otherwise(1.0))).alias("seen"),
     )
     first = parts.agg(
-        Summarizer.sum(F.col("value")).alias("value"), Summarizer.sum(F.col("seen")).alias("seen")
+        Summarizer.sum(F.col("value")).alias("value"),
+        Summarizer.sum(F.col("seen")).alias("seen"),
+        F.count("*").alias("rows"),
     ).first()
-    if first["value"] is None:
+    if not first["rows"]:
         return FeatureStats(names, [0.0] * len(names), [0.0] * len(names))
     mean = [float(v) / float(k) if k else 0.0 for v, k in zip(first["value"], first["seen"])]
     filled = packed.select(array_to_vector(impute_array(F.col("x"), mean)).alias("v"))
-    second = filled.agg(
-        Summarizer.variance(F.col("v")).alias("var"), F.count("*").alias("n")
-    ).first()
+    second = filled.agg(Summarizer.variance(F.col("v")).alias("var")).first()
     # Summarizer gives the sample variance; the population one is smaller by (n-1)/n.
-    shrink = (second["n"] - 1) / second["n"]
-    return FeatureStats(names, mean, [float(v * shrink) ** 0.5 for v in second["var"]])
+    shrink = (first["rows"] - 1) / first["rows"]
+    return FeatureStats(names, mean, [float(v * shrink) ** 0.5 for v in second["var"]], first["rows"])
 
 
 def _narrow_stats(df: DataFrame, names: list[str]) -> FeatureStats:
@@ -74,7 +75,7 @@ def _narrow_stats(df: DataFrame, names: list[str]) -> FeatureStats:
         # Imputed rows sit on the mean, so they add no deviation but do count.
         squares = (row[f"var{i}"] or 0.0) * row[f"seen{i}"]
         std.append((squares / row["rows"]) ** 0.5 if row["rows"] else 0.0)
-    return FeatureStats(names, mean, std)
+    return FeatureStats(names, mean, std, row["rows"])
 
 
 def impute_array(x: Column, mean: Sequence[float]) -> Column:

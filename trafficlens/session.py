@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 BROADCAST_MAX_ROWS = 200_000
+SPREAD_MAX_ROWS = 5_000_000
+SPREAD_ROWS_PER_TASK = 2_000
 _local_folder: list[str] = []
 
 
@@ -62,3 +64,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Spread a small input over the cores before heavy per-row work.
+
+    A small table often sits in one file and so in one task. Large inputs are split
+    by the scan already and are not shuffled.
+    """
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, rows // SPREAD_ROWS_PER_TASK)
+    return df.repartition(tasks) if 1 < tasks and rows <= SPREAD_MAX_ROWS else df
