@@ -86,7 +86,9 @@ def backfill_hours(first_missing: str, last: str, spark) -> DataFrame:
         F.date_trunc("hour", F.lit(first_missing).cast("timestamp")).alias("a"),
         F.date_trunc("hour", F.lit(last).cast("timestamp")).alias("b"),
     )
-    hours = bounds.filter("a <= b").select(F.explode(F.expr("sequence(a, b, interval 1 hour)")).alias("timestamp"))
+    # A sequence must not run backwards, so reversed bounds are cut off after it.
+    span = F.expr("sequence(a, greatest(a, b), interval 1 hour)")
+    hours = bounds.select("b", F.explode(span).alias("timestamp")).filter("timestamp <= b")
     h = F.hour("timestamp")
     return hours.select(
         fx.hour_source_ip(h).alias("source_ip"),
@@ -143,15 +145,20 @@ def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     names = list(columns)
     if len(names) > NARROW_LIMIT:
         return _wide_correlation(df, names)
-    cells = []
-    for a in names:
-        cells.append(_cell(a, a, F.corr(F.col(a).cast("double"), F.col(a).cast("double"))))
+    cells = [_cell(a, a, _pearson(a, a)) for a in names]
     for a, b in combinations(names, 2):
-        value = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+        value = _pearson(a, b)
         cells += [_cell(a, b, value), _cell(b, a, value)]
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
+def _pearson(a: str, b: str) -> Column:
+    """NULL when either side is constant, where the built-in ``corr`` stops with a division error."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def _cell(a: str, b: str, value: Column) -> Column:
     return F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation"))
 
