@@ -90,7 +90,7 @@ def test_wide_table_of_many_columns(spark):
     df = spark.range(20).selectExpr("id", *[f"cast(id * {i} as double) as {n}" for i, n in enumerate(names)])
     stats = wide.feature_stats(df, names)
     assert stats.mean[3] == pytest.approx(3 * 9.5)
-    scaled = df.select(wide.scaled_vector(names, stats).alias("v")).collect()
+    scaled = df.select(wide.scaled_vector(stats).alias("v")).collect()
     assert sum(r["v"][5] for r in scaled) == pytest.approx(0.0, abs=1e-9)
     assert [r["v"][0] for r in scaled] == [0.0] * 20
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trafficlens.functions import columns as fx
 from trafficlens.operators.cleaning import clean_rows
 from trafficlens.operators.encoding import label_encode
+from trafficlens.session import materialize
 from trafficlens.sources.schemas import require_columns
 
 
@@ -90,15 +91,23 @@ def preprocess(
     encode: Sequence[str] = (),
     scale: Sequence[str] = (),
 ) -> DataFrame:
-    """Clean, anonymise, label, add calendar features, encode and scale.
+    """Clean, anonymise, label, add calendar features, scale and encode.
 
-    Encoding replaces a text column by its code; ids and labels are never scaled.
+    Encoding replaces a text column by its code; ids and labels are never scaled. The
+    cleaned rows are written once when fitted steps follow, as those read them again
+    and removing duplicates is the only full shuffle here.
     """
     out = clean_rows(df)
     out = anonymize(out, address_columns)
     if code in out.columns:
         out = status_label(out, code)
     out = calendar_features(out, time_column).drop(time_column)
+    if encode or scale:
+        out = materialize(out, "clean-rows")
+    first = [c for c in scale if c not in encode]
+    if first:
+        out = standardize(out, first)
     for column in encode:
         out = label_encode(out, column, output=column)
-    return standardize(out, scale) if scale else out
+    last = [c for c in scale if c in encode]
+    return standardize(out, last) if last else out

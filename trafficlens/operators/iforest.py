@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trafficlens.functions import columns as fx
 from trafficlens.operators.ordering import exact_quantiles
-from trafficlens.operators.wide import FeatureStats, feature_stats, impute_array, pack
+from trafficlens.operators.wide import feature_stats, filled_array
 from trafficlens.session import materialize, spread
 
 # Fixed values.
@@ -136,7 +136,7 @@ def fit_forest(
         raise ValueError("cannot fit a forest on an empty table")
     sample = min(sample_size, rows)
     depth_limit = math.ceil(math.log2(max(sample, 2)))
-    packed = df.select(id_column, impute_array(pack(features), stats.mean).alias("x"))
+    packed = df.select(id_column, filled_array(features, stats.mean).alias("x"))
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
@@ -192,7 +192,7 @@ def _scorer(model: IsolationForest, spark: SparkSession) -> Column:
                 out[a:b] = -np.exp2(-path[at].mean(axis=1) / norm)
             yield pa.array(out)
 
-    return score(impute_array(pack(model.features), model.mean))
+    return score(filled_array(model.features, model.mean))
 
 
 def raw_scores(df: DataFrame, model: IsolationForest, output: str = "raw_score") -> DataFrame:
@@ -240,5 +240,3 @@ def detect(
             break
     return _decide(scored, model.offset), model
 
-
-__all__ = ["FeatureStats", "IsolationForest", "detect", "fit_forest", "raw_scores", "score_forest"]

@@ -164,11 +164,10 @@ def _cell(a: str, b: str, value: Column) -> Column:
 
 
 def _wide_correlation(df: DataFrame, names: list[str]) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array  # noqa: F401
     from pyspark.ml.stat import Correlation
 
     stats = feature_stats(df, names)
-    vectors = df.select(filled_vector(names, stats).alias("v"))
+    vectors = df.select(filled_vector(stats).alias("v"))
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()  # columns x columns
     rows = [
         (a, b, None if matrix[i][j] != matrix[i][j] else float(matrix[i][j]))

@@ -63,31 +63,38 @@ def interarrival(
     output: str = "diff_seconds",
     slice_seconds: int = 900,
 ) -> DataFrame:
-    """Seconds since the previous row of the same source; the first row gets 0.
+    """Seconds since the previous row of the same source; the first row gets 0, as do rows
+    without a source or a time.
 
     Rows are grouped by source and time slice, so one busy source is spread over many
-    tasks. The first row of a slice takes its predecessor from a map-side combined
-    table of the last instant per (source, slice). Choose a shorter slice when a
-    source is denser than one task can sort.
+    tasks. Each slice also receives one marker row holding the source's last instant
+    before it, taken from a map-side combined table of (source, slice) maxima. The
+    marker sorts first, so the lag inside the slice finds it and no join is needed.
+    Choose a shorter slice when a source is denser than one task can sort.
     """
     micros = F.unix_micros(F.col(time_column).cast("timestamp"))
-    sliced = df.withColumns({"_at": micros, "_slice": F.floor(micros / F.lit(slice_seconds * 1_000_000))})
+    sliced = df.withColumns(
+        {
+            "_at": micros,
+            "_slice": F.floor(micros / F.lit(slice_seconds * 1_000_000)),
+            "_marker": F.lit(False),
+        }
+    )
     by_source = Window.partitionBy(source).orderBy("_slice")
-    carried = (
-        sliced.groupBy(source, "_slice")
+    markers = (
+        sliced.filter(F.col(source).isNotNull() & F.col("_slice").isNotNull())
+        .groupBy(source, "_slice")
         .agg(F.max("_at").alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(by_source))
-        .drop("_last")
-        .withColumnsRenamed({source: "_source", "_slice": "_of_slice"})
+        .select(source, "_slice", F.lag("_last").over(by_source).alias("_at"), F.lit(True).alias("_marker"))
+        .filter(F.col("_at").isNotNull())
     )
     in_slice = Window.partitionBy(source, "_slice").orderBy("_at", tie_breaker)
-    near = sliced.withColumn("_near", F.lag("_at").over(in_slice))
-    same = F.col(source).eqNullSafe(F.col("_source")) & F.col("_slice").eqNullSafe(F.col("_of_slice"))
-    joined = near.join(carried, same, "left")
-    gap = (F.col("_at") - F.coalesce("_near", "_carried")) / F.lit(1e6)
-    return joined.withColumn(output, F.coalesce(gap, F.lit(0.0))).drop(
-        "_at", "_slice", "_near", "_carried", "_source", "_of_slice"
+    previous = sliced.unionByName(markers, allowMissingColumns=True).withColumn(
+        "_previous", F.lag("_at").over(in_slice)
     )
+    gap = F.when(F.col(source).isNotNull(), (F.col("_at") - F.col("_previous")) / F.lit(1e6))
+    rows = previous.filter(~F.col("_marker")).withColumn(output, F.coalesce(gap, F.lit(0.0)))
+    return rows.drop("_at", "_slice", "_marker", "_previous")
 
 
 def rule_labels(

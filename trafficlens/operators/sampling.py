@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trafficlens.functions.columns import hash_bucket
 from trafficlens.operators.ordering import dense_ids
-from trafficlens.session import materialize
+from trafficlens.session import broadcast_if_small, materialize
 
 SEED = 42  # fixed value
 TEST_PERCENT = 20  # fixed value
@@ -58,8 +58,8 @@ def stratified_split(
     cut = bounds.filter(
         (F.col("_below") <= F.col("_want")) & (F.col("_want") < F.col("_below") + F.col("_n"))
     ).select("_class", "_cut_cell", (F.col("_want") - F.col("_below")).alias("_need"))
-    cut = materialize(cut, "split-cuts")
-    # One row per class. Class labels are few; the join still works when they are not.
+    # One row per class: broadcast when counted to be few, so classes never meet in one task each.
+    cut = broadcast_if_small(materialize(cut, "split-cuts"))
     placed = keyed.join(cut, F.col(label).eqNullSafe(F.col("_class")), "left")
     at_cut = placed.filter(F.col("_cell") == F.col("_cut_cell"))
     rank = F.row_number().over(Window.partitionBy(label, "_cell").orderBy("_order", key))

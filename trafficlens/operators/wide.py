@@ -1,7 +1,8 @@
-"""Mean imputation and scaling for very wide tables (hundreds of feature columns).
+"""Mean imputation and scaling for feature tables of any width.
 
 One aggregate expression per column makes planning and code generation the
-bottleneck, so the columns are packed into one vector and summarised together.
+bottleneck for hundreds of columns, so beyond a limit the columns are packed into
+one vector and summarised together.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ NARROW_LIMIT = 100
 
 @dataclass(frozen=True)
 class FeatureStats:
-    """Per-feature mean and population deviation; one entry per column, never per row."""
+    """Per-feature mean and population deviation, and the row count; one entry per column."""
 
     columns: list[str]
     mean: list[float]
@@ -27,10 +28,30 @@ class FeatureStats:
     rows: int = 0
 
 
-def pack(columns: Sequence[str]) -> Column:
-    """Columns as one array<double>, NaN as NULL."""
-    missing = F.lit(None).cast("double")
-    return F.array(*[F.nanvl(F.col(f"`{c}`").cast("double"), missing) for c in columns])
+def _number(column: str) -> Column:
+    """Column as double, NaN as NULL."""
+    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double"))
+
+
+def filled_array(columns: Sequence[str], mean: Sequence[float]) -> Column:
+    """Columns as one array<double>, missing entries filled with the mean."""
+    return F.array(*[F.coalesce(_number(c), F.lit(float(m))) for c, m in zip(columns, mean)])
+
+
+def scaled_array(stats: FeatureStats) -> Column:
+    """Columns as one array, imputed and standardised; a constant feature is divided by 1."""
+    entries = []
+    for c, m, s in zip(stats.columns, stats.mean, stats.std):
+        entries.append((F.coalesce(_number(c), F.lit(float(m))) - F.lit(float(m))) / F.lit(float(s) if s > 0 else 1.0))
+    return F.array(*entries)
+
+
+def filled_vector(stats: FeatureStats) -> Column:
+    return array_to_vector(filled_array(stats.columns, stats.mean))
+
+
+def scaled_vector(stats: FeatureStats) -> Column:
+    return array_to_vector(scaled_array(stats))
 
 
 def feature_stats(df: DataFrame, columns: Sequence[str]) -> FeatureStats:
@@ -38,31 +59,25 @@ def feature_stats(df: DataFrame, columns: Sequence[str]) -> FeatureStats:
     names = list(columns)
     if len(names) <= NARROW_LIMIT:
         return _narrow_stats(df, names)
-    packed = df.select(pack(names).alias("x"))
-    parts = packed.select(
-        array_to_vector(F.transform("x", lambda v: F.coalesce(v, F.lit(0.0)))).alias("value"),
-        array_to_vector(F.transform("x", lambda v: F.when(v.isNull(), 0.0).otherwise(1.0))).alias("seen"),
-    )
-    first = parts.agg(
-        Summarizer.sum(F.col("value")).alias("value"),
-        Summarizer.sum(F.col("seen")).alias("seen"),
-        F.count("*").alias("rows"),
+    value = array_to_vector(filled_array(names, [0.0] * len(names)))
+    seen = array_to_vector(F.array(*[F.when(_number(c).isNull(), 0.0).otherwise(1.0) for c in names]))
+    first = df.agg(
+        Summarizer.sum(value).alias("value"), Summarizer.sum(seen).alias("seen"), F.count("*").alias("rows")
     ).first()
     if not first["rows"]:
         return FeatureStats(names, [0.0] * len(names), [0.0] * len(names))
     mean = [float(v) / float(k) if k else 0.0 for v, k in zip(first["value"], first["seen"])]
-    filled = packed.select(array_to_vector(impute_array(F.col("x"), mean)).alias("v"))
-    second = filled.agg(Summarizer.variance(F.col("v")).alias("var")).first()
+    filled = array_to_vector(filled_array(names, mean))
+    second = df.agg(Summarizer.variance(filled).alias("var")).first()
     # Summarizer gives the sample variance; the population one is smaller by (n-1)/n.
     shrink = (first["rows"] - 1) / first["rows"]
     return FeatureStats(names, mean, [float(v * shrink) ** 0.5 for v in second["var"]], first["rows"])
 
 
 def _narrow_stats(df: DataFrame, names: list[str]) -> FeatureStats:
-    missing = F.lit(None).cast("double")
-    values = {c: F.nanvl(F.col(f"`{c}`").cast("double"), missing) for c in names}
     aggregates = [F.count("*").alias("rows")]
-    for i, v in enumerate(values.values()):
+    for i, c in enumerate(names):
+        v = _number(c)
         aggregates += [
             F.avg(v).alias(f"mean{i}"),
             F.count(v).alias(f"seen{i}"),
@@ -76,37 +91,3 @@ def _narrow_stats(df: DataFrame, names: list[str]) -> FeatureStats:
         squares = (row[f"var{i}"] or 0.0) * row[f"seen{i}"]
         std.append((squares / row["rows"]) ** 0.5 if row["rows"] else 0.0)
     return FeatureStats(names, mean, std, row["rows"])
-
-
-def impute_array(x: Column, mean: Sequence[float]) -> Column:
-    """Fill NULL entries of a packed array from the per-feature means."""
-    means = F.array(*[F.lit(float(m)) for m in mean])
-    return F.zip_with(x, means, lambda v, m: F.coalesce(v, m))
-
-
-def scaled_array(x: Column, stats: FeatureStats) -> Column:
-    """Impute and standardise a packed array; a constant feature is divided by 1."""
-    means = F.array(*[F.lit(float(m)) for m in stats.mean])
-    inverse = F.array(*[F.lit(1.0 / s if s > 0 else 1.0) for s in stats.std])
-    centred = F.zip_with(x, means, lambda v, m: F.coalesce(v, m) - m)
-    return F.zip_with(centred, inverse, lambda v, k: v * k)
-
-
-def filled_vector(columns: Sequence[str], stats: FeatureStats) -> Column:
-    return array_to_vector(impute_array(pack(columns), stats.mean))
-
-
-def scaled_vector(columns: Sequence[str], stats: FeatureStats) -> Column:
-    return array_to_vector(scaled_array(pack(columns), stats))
-
-
-__all__ = [
-    "FeatureStats",
-    "feature_stats",
-    "filled_vector",
-    "impute_array",
-    "pack",
-    "scaled_array",
-    "scaled_vector",
-    "vector_to_array",
-]

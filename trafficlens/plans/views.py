@@ -10,7 +10,8 @@ DETECTOR = "isolation_forest"  # fixed value
 
 TRAFFIC_SUMMARY = """
 WITH detector AS (
-  SELECT session_id, prediction FROM {predictions} WHERE model_type = '{model}'
+  SELECT session_id, max_by(prediction, 2 * unix_micros(CAST(log_time AS TIMESTAMP)) + prediction) AS prediction
+  FROM {predictions} WHERE model_type = '{model}' GROUP BY session_id
 ), hourly AS (
   SELECT to_date(s.TSesStart) AS date,
          hour(s.TSesStart) AS hour,
@@ -34,13 +35,14 @@ SELECT s.*, a.prediction, a.anomaly_score, a.traffic_type, a.is_anomaly,
             WHEN a.anomaly_score IS NULL THEN 'Low Risk'
             ELSE 'High Risk' END AS risk_level,
        a.model_type, a.log_time AS prediction_time
-FROM {sessions} s JOIN {predictions} a ON a.session_id = s.id AND a.prediction = 1
+FROM {sessions} s JOIN {newest} a ON a.session_id = s.id AND a.prediction = 1
 ORDER BY a.anomaly_score, s.TSesStart DESC
 """
 
 SESSION_STATS = """
 WITH detector AS (
-  SELECT session_id, prediction FROM {predictions} WHERE model_type = '{model}'
+  SELECT session_id, max_by(prediction, 2 * unix_micros(CAST(log_time AS TIMESTAMP)) + prediction) AS prediction
+  FROM {predictions} WHERE model_type = '{model}' GROUP BY session_id
 ), endpoints AS (
   SELECT s.srcIP AS source_ip, s.dstIP AS dest_ip, s.srcPort AS source_port, s.dstPort AS dest_port,
          count(*) AS session_count,
@@ -65,20 +67,25 @@ def register_views(
     """Create or replace the session and prediction views and the three reports over them.
 
     Only the newest prediction per session and model takes part, so a session scored
-    twice counts once.
+    twice counts once. The two rollups need one flag per session, which a hash
+    aggregate on the join key yields without a further shuffle.
     """
     spark = sessions.sparkSession
-    names = {"sessions": f"{prefix}sessions", "predictions": f"{prefix}predictions", "model": model}
-    sessions.createOrReplaceTempView(names["sessions"])
-    newest_predictions(predictions).createOrReplaceTempView(names["predictions"])
-    reports = {}
+    views = {
+        "sessions": sessions,
+        "predictions": predictions,
+        "newest": newest_predictions(predictions),
+    }
+    for name, frame in views.items():
+        frame.createOrReplaceTempView(f"{prefix}{name}")
+    names = {name: f"{prefix}{name}" for name in views} | {"model": model}
     texts = {
         "traffic_summary": TRAFFIC_SUMMARY,
         "anomaly_analysis": ANOMALY_ANALYSIS,
         "session_stats": SESSION_STATS,
     }
+    reports = {}
     for name, text in texts.items():
-        report = spark.sql(text.format(**names))
-        report.createOrReplaceTempView(f"{prefix}{name}")
-        reports[name] = report
+        reports[name] = spark.sql(text.format(**names))
+        reports[name].createOrReplaceTempView(f"{prefix}{name}")
     return reports
