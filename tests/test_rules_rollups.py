@@ -3,10 +3,11 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from trafficlens.operators import quality, rollups, rules
+from trafficlens.operators import correlation, quality, rollups, rules
 from trafficlens.plans.views import register_views
 
 T0 = datetime(2025, 12, 10)
@@ -125,22 +126,27 @@ def test_histogram_of_a_constant(spark):
     assert got[0]["bin_low"] == 2.5
 
 
-def test_correlation_narrow_and_wide(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [12, 1])
+def test_correlation_narrow_and_wide(spark, monkeypatch, limit):
+    """Pairwise complete, as a data frame library gives it, on both paths."""
     rng = np.random.default_rng(3)
-    a = rng.normal(size=50)
-    data = [(float(x), float(2 * x + e), 4.0) for x, e in zip(a, rng.normal(size=50))]
-    df = spark.createDataFrame(data, "a double, b double, c double")
-    want = np.corrcoef([r[0] for r in data], [r[1] for r in data])[0, 1]
-
-    def table():
-        return {(r["column_a"], r["column_b"]): r["correlation"] for r in rollups.correlation_long(df, ["a", "b", "c"]).collect()}
-
-    narrow = table()
-    assert narrow[("a", "b")] == narrow[("b", "a")] == pytest.approx(want)
-    assert narrow[("a", "a")] == pytest.approx(1.0) and narrow[("a", "c")] is None
-    monkeypatch.setattr(rollups, "NARROW_LIMIT", 1)
-    wide = table()
-    assert wide[("a", "b")] == pytest.approx(want) and wide[("a", "c")] is None
+    frame = pd.DataFrame(rng.normal(1000, 1, (200, 3)), columns=["a", "b", "d"])
+    frame["d"] += 2 * frame["a"]
+    frame["c"] = 4.1
+    frame.loc[rng.random(200) < 0.2, "a"] = None
+    frame.loc[rng.random(200) < 0.2, "d"] = None
+    want = frame.corr()
+    schema = ", ".join(f"{c} double" for c in frame.columns)
+    df = spark.createDataFrame([tuple(None if v != v else v for v in r) for r in frame.itertuples(index=False)], schema)
+    monkeypatch.setattr(correlation, "PAIRWISE_LIMIT", limit)
+    rows = correlation.correlation_long(df.repartition(3), list(frame.columns)).collect()
+    assert len(rows) == 16
+    for r in rows:
+        expected = want.loc[r["column_a"], r["column_b"]]
+        if "c" in (r["column_a"], r["column_b"]):
+            assert r["correlation"] is None
+        else:
+            assert r["correlation"] == pytest.approx(expected, abs=1e-9)
 
 
 def test_summary_of_empty_table(spark):

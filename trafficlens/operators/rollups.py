@@ -1,16 +1,14 @@
-"""Hourly rollups, spines, distributions, histograms, correlation, summaries."""
+"""Hourly rollups, spines, distributions, histograms, summaries."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlens.functions import columns as fx
 from trafficlens.operators.ordering import exact_quantiles
-from trafficlens.operators.wide import NARROW_LIMIT, feature_stats, filled_vector
 
 HISTOGRAM_BINS = 50  # fixed value
 
@@ -136,47 +134,6 @@ def size_histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> Da
     )
 
 
-def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each column pair, in both directions, using rows where both are present.
-
-    Few columns: one aggregate with one expression per pair. Many columns: the
-    correlation matrix of the imputed vector, which is exact when nothing is missing.
-    """
-    names = list(columns)
-    if len(names) > NARROW_LIMIT:
-        return _wide_correlation(df, names)
-    cells = [_cell(a, a, _pearson(a, a)) for a in names]
-    for a, b in combinations(names, 2):
-        value = _pearson(a, b)
-        cells += [_cell(a, b, value), _cell(b, a, value)]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-
-
-def _pearson(a: str, b: str) -> Column:
-    """NULL when either side is constant, where the built-in ``corr`` stops with a division error."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
-def _cell(a: str, b: str, value: Column) -> Column:
-    return F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation"))
-
-
-def _wide_correlation(df: DataFrame, names: list[str]) -> DataFrame:
-    from pyspark.ml.stat import Correlation
-
-    stats = feature_stats(df, names)
-    vectors = df.select(filled_vector(stats).alias("v"))
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()  # columns x columns
-    rows = [
-        (a, b, None if matrix[i][j] != matrix[i][j] else float(matrix[i][j]))
-        for i, a in enumerate(names)
-        for j, b in enumerate(names)
-    ]
-    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
-
-
 def summary_stats(flags: DataFrame, flag: str = "is_anomaly") -> DataFrame:
     """Total, anomalies, normals and anomaly percentage (0 when empty) from one scan."""
     anomalies = F.count_if(F.col(flag) == 1)

@@ -15,7 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NARROW_LIMIT = 100
+NARROW_LIMIT = 32
 
 
 @dataclass(frozen=True)
@@ -28,22 +28,49 @@ class FeatureStats:
     rows: int = 0
 
 
-def _number(column: str) -> Column:
-    """Column as double, NaN as NULL."""
-    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double"))
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _constants(values: Sequence[float]) -> Column:
+    """Array literal. SQL text, as building hundreds of literals one by one takes seconds."""
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
+def packed_array(columns: Sequence[str]) -> Column:
+    """Columns as one array<double> with NULL for missing entries."""
+    array = F.expr("CAST(array(" + ", ".join(map(_quoted, columns)) + ") AS array<double>)")
+    return F.transform(array, lambda v: F.nanvl(v, F.lit(None).cast("double")))
 
 
 def filled_array(columns: Sequence[str], mean: Sequence[float]) -> Column:
-    """Columns as one array<double>, missing entries filled with the mean."""
-    return F.array(*[F.coalesce(_number(c), F.lit(float(m))) for c, m in zip(columns, mean)])
+    """Columns as one array<double>, missing entries filled with the mean.
+
+    Few columns stay in generated code; for many, one loop over the array is cheaper
+    than one generated expression per column.
+    """
+    if len(columns) > NARROW_LIMIT:
+        return F.zip_with(packed_array(columns), _constants(mean), lambda v, m: F.coalesce(v, m))
+    entries = [
+        f"coalesce(nanvl(CAST({_quoted(c)} AS double), CAST(NULL AS double)), {float(m)!r}D)"
+        for c, m in zip(columns, mean)
+    ]
+    return F.expr("array(" + ", ".join(entries) + ")")
 
 
 def scaled_array(stats: FeatureStats) -> Column:
     """Columns as one array, imputed and standardised; a constant feature is divided by 1."""
-    entries = []
-    for c, m, s in zip(stats.columns, stats.mean, stats.std):
-        entries.append((F.coalesce(_number(c), F.lit(float(m))) - F.lit(float(m))) / F.lit(float(s) if s > 0 else 1.0))
-    return F.array(*entries)
+    width = [s if s > 0 else 1.0 for s in stats.std]
+    if len(stats.columns) > NARROW_LIMIT:
+        filled = filled_array(stats.columns, stats.mean)
+        centred = F.zip_with(filled, _constants(stats.mean), lambda v, m: v - m)
+        return F.zip_with(centred, _constants(width), lambda v, w: v / w)
+    entries = [
+        f"(coalesce(nanvl(CAST({_quoted(c)} AS double), CAST(NULL AS double)), {float(m)!r}D) - {float(m)!r}D)"
+        f" / {float(w)!r}D"
+        for c, m, w in zip(stats.columns, stats.mean, width)
+    ]
+    return F.expr("array(" + ", ".join(entries) + ")")
 
 
 def filled_vector(stats: FeatureStats) -> Column:
@@ -59,9 +86,10 @@ def feature_stats(df: DataFrame, columns: Sequence[str]) -> FeatureStats:
     names = list(columns)
     if len(names) <= NARROW_LIMIT:
         return _narrow_stats(df, names)
-    value = array_to_vector(filled_array(names, [0.0] * len(names)))
-    seen = array_to_vector(F.array(*[F.when(_number(c).isNull(), 0.0).otherwise(1.0) for c in names]))
-    first = df.agg(
+    packed = df.select(packed_array(names).alias("x"))
+    value = array_to_vector(F.transform("x", lambda v: F.coalesce(v, F.lit(0.0))))
+    seen = array_to_vector(F.transform("x", lambda v: F.when(v.isNull(), 0.0).otherwise(1.0)))
+    first = packed.agg(
         Summarizer.sum(value).alias("value"), Summarizer.sum(seen).alias("seen"), F.count("*").alias("rows")
     ).first()
     if not first["rows"]:
@@ -74,6 +102,11 @@ def feature_stats(df: DataFrame, columns: Sequence[str]) -> FeatureStats:
     return FeatureStats(names, mean, [float(v * shrink) ** 0.5 for v in second["var"]], first["rows"])
 
 
+def _number(column: str) -> Column:
+    """Column as double, NaN as NULL."""
+    return F.nanvl(F.col(_quoted(column)).cast("double"), F.lit(None).cast("double"))
+
+
 def _narrow_stats(df: DataFrame, names: list[str]) -> FeatureStats:
     aggregates = [F.count("*").alias("rows")]
     for i, c in enumerate(names):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trafficlens.functions import columns as fx
-from trafficlens.operators import classifiers, evaluation, iforest, quality, rollups
+from trafficlens.operators import classifiers, correlation, evaluation, iforest, quality, rollups
 from trafficlens.operators.features import preprocess
 from trafficlens.operators.monitoring import performance_record
 from trafficlens.operators.sampling import sample_rows, split_frames
@@ -297,7 +297,7 @@ def chart_data(df: DataFrame) -> dict[str, DataFrame]:
         ).orderBy("timestamp")
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     if len(numeric) > 1:
-        charts["correlation"] = rollups.correlation_long(df, numeric)
+        charts["correlation"] = correlation.correlation_long(df, numeric)
     return charts
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trafficlens.operators import classifiers, evaluation, monitoring, quality, rollups, rules
+from trafficlens.operators import classifiers, correlation, evaluation, monitoring, quality, rollups, rules
 from trafficlens.plans import tables
 from trafficlens.plans.registry import (
     HISTORY,
@@ -353,7 +353,7 @@ def _correlation_sql() -> str:
 @query("correlation_long", _correlation_sql())
 def correlation_long(spark, folder):
     lines = tables.table(spark, folder, "lineitem")
-    return rounded(rollups.correlation_long(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]), 6)
+    return rounded(correlation.correlation_long(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]), 6)
 
 
 @query(
