@@ -142,6 +142,13 @@ def test_random_forest_on_held_out_rows(spark, tmp_path):
     assert a == b and all(r["confidence_score"] >= 0.5 - 1e-9 for r in a)
 
 
+def test_random_forest_on_one_class(spark):
+    df = labelled(spark, 60).withColumn("label", F.lit(0))
+    model = classifiers.fit_random_forest(df, ["a", "b"], trees=3, max_depth=2)
+    rows = classifiers.predict_binary(df, model, "id", "random_forest").collect()
+    assert {(r["prediction"], r["probability"], r["confidence_score"]) for r in rows} == {(0, 0.0, 1.0)}
+
+
 def test_boosted_trees(spark):
     df = labelled(spark, 200)
     model = classifiers.fit_boosted_trees(df, ["a", "b"], rounds=3)
@@ -157,3 +164,30 @@ def test_traffic_types_with_unseen_protocol(spark):
     got = classifiers.predict_traffic_types(new, model).collect()
     assert got[0]["predicted_traffic_type"] == "dns"
     assert got[1]["predicted_traffic_type"] in ("dns", "http") and 0.5 <= got[1]["prediction_confidence"] <= 1
+
+
+def packets(spark):
+    from datetime import datetime, timedelta
+
+    start = datetime(2025, 12, 10)
+    rows = [
+        ("a" if i % 3 else "b", "x", start + timedelta(minutes=10 * i), 5000 if 120 <= i < 126 else 100 + i % 5)
+        for i in range(240)
+    ]
+    return spark.createDataFrame(rows, "source_ip string, dest_ip string, timestamp timestamp, packet_size long")
+
+
+def test_hybrid_hourly_with_and_without_labels(spark):
+    from trafficlens.plans.jobs import hybrid_hourly
+
+    df = packets(spark)
+    labels = df.select("timestamp", F.when(F.col("packet_size") > 1000, 1).otherwise(0).alias("prediction"))
+    got = {r["hour"].hour + 24 * (r["hour"].day - 10): r for r in hybrid_hourly(df, labels, trees=5, max_depth=3).collect()}
+    assert len(got) == 40
+    assert [h for h, r in got.items() if r["final_prediction"] == 1] == [20]
+    assert got[20]["final_label"] == "anomaly" and got[3]["supervised_label"] == "normal"
+    alone = hybrid_hourly(df).collect()
+    assert len(alone) == 40 and all(r["supervised_prediction"] is None for r in alone)
+    assert all(r["final_prediction"] == r["prediction"] for r in alone)
+    no_match = labels.withColumn("timestamp", F.col("timestamp") + F.expr("interval 1 second"))
+    assert hybrid_hourly(df, no_match).filter("supervised_prediction IS NOT NULL").count() == 0

@@ -8,12 +8,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import Imputer, IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlens.functions import columns as fx
 from trafficlens.operators.cleaning import column_mode
 from trafficlens.operators.sampling import SEED, split_frames
+from trafficlens.session import spread
 
 # Fixed values.
 TREES = 100
@@ -58,7 +59,9 @@ def fit_random_forest(
     seed: int = SEED,
 ) -> PipelineModel:
     """Random forest on integer labels 0..k-1. Raise ``max_depth`` up to 30 for near-unbounded trees."""
-    rows = with_class_weight(train, label) if balanced else train
+    rows = spread(train, train.count())
+    if balanced:
+        rows = with_class_weight(rows, label)
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol=label,
@@ -77,13 +80,18 @@ def fit_boosted_trees(
     boosted = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=6, stepSize=0.3, seed=seed
     )
-    return Pipeline(stages=[*_assemble(features), boosted]).fit(train)
+    return Pipeline(stages=[*_assemble(features), boosted]).fit(spread(train, train.count()))
+
+
+def chance_of_one() -> Column:
+    """Probability of class 1; 0 when the training rows held class 0 only."""
+    return F.coalesce(F.get(vector_to_array(F.col("probability")), F.lit(1)), F.lit(0.0))
 
 
 def predict_binary(df: DataFrame, model: PipelineModel, id_column: str, model_type: str) -> DataFrame:
     """Prediction rows: session id, label, probability of class 1 and confidence of the prediction."""
     out = model.transform(df)
-    chance = vector_to_array(F.col("probability"))[1]
+    chance = chance_of_one()
     flag = F.col("prediction").cast("int")
     return out.select(
         F.col(id_column).alias("session_id"),
@@ -102,7 +110,7 @@ def train_and_evaluate(
     """Hash split, fit on the train side, return the model and the scored held-out rows."""
     train, test = split_frames(df, id_column)
     model = fit_random_forest(train, features, label, **options)
-    scored = model.transform(test).withColumn("probability_1", vector_to_array(F.col("probability"))[1])
+    scored = model.transform(test).withColumn("probability_1", chance_of_one())
     return model, scored.withColumn("prediction", F.col("prediction").cast("int"))
 
 
@@ -128,6 +136,7 @@ def fit_traffic_types(
     Missing targets take the most frequent one. A protocol not seen in training has its own code.
     """
     rows = df.withColumn(target, F.coalesce(F.col(target), column_mode(df, target)))
+    rows = spread(rows, df.count())
     encoded: list[str] = []
     stages: list = []
     if protocol:

@@ -118,3 +118,28 @@ def run_report(runs: DataFrame, flags: DataFrame, metrics: DataFrame) -> DataFra
             "anomaly_percentage": F.round(ratio(counts.getField("bad") * 100, counts.getField("n")), 2),
         }
     )
+
+
+# Lines of the text report and the report column each one shows.
+REPORT_LINES = (
+    ("Run: %s", "run_id"),
+    ("Mode: %s", "mode"),
+    ("Execution time: %.2f seconds", "execution_time_seconds"),
+    ("Success: %s", "success"),
+    ("Accuracy: %.4f", "accuracy"),
+    ("Precision: %.4f", "precision"),
+    ("Recall: %.4f", "recall"),
+    ("F1 score: %.4f", "f1_score"),
+    ("Rows: %d", "data_rows"),
+    ("Anomalies: %d", "anomaly_count"),
+    ("Anomaly percentage: %.2f%%", "anomaly_percentage"),
+)
+
+
+def report_text(report: DataFrame) -> DataFrame:
+    """The daily report as numbered text lines, ready for a text or CSV sink."""
+    lines = [
+        F.struct(F.lit(i).alias("line"), F.format_string(text, F.col(column)).alias("value"))
+        for i, (text, column) in enumerate(REPORT_LINES)
+    ]
+    return report.select(F.inline(F.array(*lines)))

@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 
 from trafficlens.functions import columns as fx
 from trafficlens.operators import classifiers, correlation, evaluation, iforest, quality, rollups
+from trafficlens.operators.encoding import apply_encoder, fit_encoder
 from trafficlens.operators.features import preprocess
 from trafficlens.operators.monitoring import performance_record
 from trafficlens.operators.sampling import sample_rows, split_frames
 from trafficlens.plans.views import register_views
+from trafficlens.session import materialize
 from trafficlens.sources import writers
 from trafficlens.sources.readers import conform
 from trafficlens.sources.schemas import layout, require_columns
@@ -279,6 +281,50 @@ def hourly_sync(
     )
 
 
+ENDPOINTS = ("source_ip", "dest_ip")  # fixed value
+
+
+def hybrid_hourly(
+    packets: DataFrame,
+    labels: DataFrame | None = None,
+    contamination: float = 0.1,
+    time_column: str = "timestamp",
+    **forest_options,
+) -> DataFrame:
+    """Hourly detection, combined with a classifier where labels exist.
+
+    The detector scores the hourly features. The classifier learns from packets whose
+    instant has a label (endpoint codes from one shared vocabulary, and size), scores
+    every packet, and its hourly mean decides. Without matching labels the detector
+    stands alone.
+    """
+    kind = packets.schema[time_column].dataType.simpleString()
+    hours = materialize(rollups.hourly_features(packets, time_column), "hourly-features")
+    features = [c for c in hours.columns if c != "hour"]
+    own, _ = iforest.detect(hours, "hour", features, contamination)
+    nothing = packets.sparkSession.createDataFrame(
+        [], f"hour {kind}, supervised_prediction int, supervised_score double, supervised_label string"
+    )
+    if labels is None:
+        return rollups.hybrid_hours(own, nothing)
+    encoder = fit_encoder(packets, *ENDPOINTS)
+    coded = packets
+    for column in ENDPOINTS:
+        coded = apply_encoder(coded, encoder, column)
+    inputs = [f"{c}_encoded" for c in ENDPOINTS] + ["packet_size"]
+    train = quality.labels_by_time(coded, labels, time_column).filter("prediction IS NOT NULL")
+    if train.isEmpty():
+        return rollups.hybrid_hours(own, nothing)
+    train = train.withColumnRenamed("prediction", "label")
+    model = classifiers.fit_random_forest(train, inputs, "label", **forest_options)
+    scored = model.transform(coded).select(
+        time_column,
+        F.col("prediction").cast("int").alias("prediction"),
+        classifiers.chance_of_one().alias("anomaly_score"),
+    )
+    return rollups.hybrid_hours(own, rollups.hourly_predictions(scored, time_column))
+
+
 def chart_data(df: DataFrame) -> dict[str, DataFrame]:
     """The data behind each chart whose columns exist."""
     has = set(df.columns).issuperset

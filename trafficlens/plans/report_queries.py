@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trafficlens.operators import classifiers, correlation, evaluation, monitoring, quality, rollups, rules
+from trafficlens.operators import classifiers, correlation, evaluation, features, monitoring, quality, rollups, rules
 from trafficlens.plans import tables
 from trafficlens.plans.registry import (
     HISTORY,
@@ -316,6 +316,21 @@ def hourly_gaps(spark, folder):
     return rollups.hourly_gaps(t, t.filter("packet_size > 150"), "log_time", "log_time")
 
 
+@query(
+    "hourly_backfill",
+    with_ctes(TRAFFIC, _SPINE, _ALERTS)
+    + """SELECT hour, 2000 + (hour(hour)::INT * 17) % 2000 AS packet_size,
+  '192.168.' || (hour(hour) % 256)::VARCHAR || '.1' AS source_ip,
+  '192.168.' || ((hour(hour) + 1) % 256)::VARCHAR || '.2' AS dest_ip
+FROM spine WHERE hour NOT IN (SELECT date_trunc('hour', log_time) FROM alerts)""",
+)
+def hourly_backfill(spark, folder):
+    """One deterministic row for every hour without a large packet."""
+    t = tables.traffic(spark, folder)
+    gaps = rollups.hourly_gaps(t, t.filter("packet_size > 150"), "log_time", "log_time")
+    return features.hour_attributes(gaps, "hour")
+
+
 @query(
     "type_distribution",
     _T
@@ -525,6 +540,31 @@ def run_report(spark, folder):
     return rounded(report, anomaly_percentage=2)
 
 
+@query(
+    "run_report_text",
+    with_ctes(TRAFFIC, RUNS, RESULTS, LABELLED)
+    + """, c AS (SELECT count(*)::DOUBLE AS n, count(CASE WHEN label = predicted_label THEN 1 END) AS ok,
+  count(CASE WHEN label = 1 AND predicted_label = 1 THEN 1 END)::DOUBLE AS h,
+  sum(predicted_label)::DOUBLE AS q, sum(label)::DOUBLE AS s FROM labelled),
+last AS (SELECT * FROM runs ORDER BY "timestamp" DESC LIMIT 1)
+SELECT 0 AS line, 'Run: ' || run_id AS value FROM last
+UNION ALL SELECT 1, 'Mode: ' || mode FROM last
+UNION ALL SELECT 2, printf('Execution time: %.2f seconds', execution_time_seconds) FROM last
+UNION ALL SELECT 3, 'Success: ' || success::VARCHAR FROM last
+UNION ALL SELECT 4, printf('Accuracy: %.4f', ok / n) FROM c
+UNION ALL SELECT 5, printf('Precision: %.4f', h / q) FROM c
+UNION ALL SELECT 6, printf('Recall: %.4f', h / s) FROM c
+UNION ALL SELECT 7, printf('F1 score: %.4f', 2 * h / (q + s)) FROM c
+UNION ALL SELECT 8, 'Rows: ' || count(*)::VARCHAR FROM results
+UNION ALL SELECT 9, 'Anomalies: ' || sum(is_anomaly)::VARCHAR FROM results
+UNION ALL SELECT 10, printf('Anomaly percentage: %.2f%%', sum(is_anomaly) * 100 / count(*)::DOUBLE) FROM results""",
+)
+def run_report_text(spark, folder):
+    scores = evaluation.binary_scores(tables.labelled(spark, folder), "label", "predicted_label")
+    report = monitoring.run_report(tables.run_log(spark, folder), tables.results(spark, folder), scores)
+    return monitoring.report_text(report)
+
+
 @query(
     "hybrid_hours",
     with_ctes(TRAFFIC)
