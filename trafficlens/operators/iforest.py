@@ -158,14 +158,15 @@ def _scorer(model: IsolationForest, spark: SparkSession) -> Column:
     """Arrow function over the packed features giving the raw score in [-1, 0]."""
     nodes = model.nodes
     sizes = nodes.groupby("tree", sort=True).size().to_numpy()
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype("int32")
+    # Indices in the machine's own width: other integer types are converted at every lookup.
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.intp)
     base = np.repeat(starts, sizes)
-    child = np.empty(2 * len(nodes), dtype="int32")
+    child = np.empty(2 * len(nodes), dtype=np.intp)
     child[0::2] = nodes["left"].to_numpy() + base
     child[1::2] = nodes["right"].to_numpy() + base
     tables = (
         starts,
-        np.maximum(nodes["feature"].to_numpy(), 0).astype("int32"),
+        np.maximum(nodes["feature"].to_numpy(), 0).astype(np.intp),
         nodes["threshold"].to_numpy(dtype="float64"),
         child,
         nodes["path"].to_numpy(dtype="float64"),
@@ -184,12 +185,16 @@ def _scorer(model: IsolationForest, spark: SparkSession) -> Column:
             out = np.empty(count)
             for a in range(0, count, 2048):  # keeps the rows x trees matrix inside the cache
                 b = min(a + 2048, count)
-                first = (np.arange(a, b, dtype="int64") * width)[:, None]
+                first = (np.arange(a, b, dtype=np.intp) * width)[:, None]
                 at = np.broadcast_to(roots, (b - a, len(roots))).copy()
                 for _ in range(levels):
-                    right = x[first + feature[at]] >= threshold[at]
-                    at = children[2 * at + right]
-                out[a:b] = -np.exp2(-path[at].mean(axis=1) / norm)
+                    cell = feature.take(at)
+                    cell += first
+                    right = x.take(cell) >= threshold.take(at)
+                    at += at
+                    at += right
+                    at = children.take(at)
+                out[a:b] = -np.exp2(-path.take(at).mean(axis=1) / norm)
             yield pa.array(out)
 
     return score(filled_array(model.features, model.mean))

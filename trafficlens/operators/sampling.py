@@ -33,44 +33,49 @@ def split_balance(df: DataFrame, key: str, label: str, test_percent: int = TEST_
 
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, test_percent: int = TEST_PERCENT, seed: int = SEED, cells: int = 65536
+    df: DataFrame, key: str, label: str, test_percent: int = TEST_PERCENT, seed: int = SEED, cell_digits: int = 4
 ) -> DataFrame:
     """Exact stratified split: per class, the ``round(n * share)`` rows with the smallest hash are 'test'.
 
-    A class of any size is spread over ``cells`` hash cells. Per class and cell only a
-    count leaves the cell; the cells below the cut are wholly test, those above wholly
-    train, and rows are ranked only inside the one cell that contains the cut.
+    The last test row of each class is found first. A class of any size is spread over
+    hash cells (the leading hex digits), of which only counts leave the tasks; rows are
+    ranked only in the one cell that holds the last test row. Marking the rows is then a comparison
+    with one boundary per class, without a shuffle.
     """
     text = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))
-    order = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
-    span = 1 << 60
-    keyed = df.withColumns({"_order": order, "_cell": F.floor(order / F.lit(span / cells)).cast("int")})
-    per_cell = keyed.groupBy(F.col(label).alias("_class"), "_cell").agg(F.count("*").alias("_n"))
+    order = F.md5(text)
+    keyed = df.select(
+        F.col(label).alias("_class"), F.col(key).alias("_key"), order.alias("_order")
+    ).withColumn("_cell", F.substring("_order", 1, cell_digits))
+    per_cell = keyed.groupBy("_class", "_cell").agg(F.count("*").alias("_n"))
     in_class = Window.partitionBy("_class")
     before = in_class.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     bounds = per_cell.select(
         "_class",
-        F.col("_cell").alias("_cut_cell"),
+        "_cell",
         "_n",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_below"),
         F.floor(F.sum("_n").over(in_class) * F.lit(test_percent / 100.0) + 0.5).cast("long").alias("_want"),
     )
-    cut = bounds.filter(
-        (F.col("_below") <= F.col("_want")) & (F.col("_want") < F.col("_below") + F.col("_n"))
-    ).select("_class", "_cut_cell", (F.col("_want") - F.col("_below")).alias("_need"))
-    # One row per class: broadcast when counted to be few, so classes never meet in one task each.
-    cut = broadcast_if_small(materialize(cut, "split-cuts"))
-    placed = keyed.join(cut, F.col(label).eqNullSafe(F.col("_class")), "left")
-    at_cut = placed.filter(F.col("_cell") == F.col("_cut_cell"))
-    rank = F.row_number().over(Window.partitionBy(label, "_cell").orderBy("_order", key))
-    ranked = at_cut.withColumn("split", F.when(rank <= F.col("_need"), "test").otherwise("train"))
-    clear = placed.filter(F.col("_cut_cell").isNull() | (F.col("_cell") != F.col("_cut_cell")))
-    # No cut cell means every row of the class is wanted for the test side.
-    sure = clear.withColumn(
-        "split",
-        F.when(F.col("_cut_cell").isNull() | (F.col("_cell") < F.col("_cut_cell")), "test").otherwise("train"),
+    # At most one cell per class; a class without test rows has none.
+    last_cell = bounds.filter("_below < _want AND _want <= _below + _n").select(
+        F.col("_class").alias("_of"), F.col("_cell").alias("_at"), (F.col("_want") - F.col("_below")).alias("_need")
     )
-    return ranked.unionByName(sure).drop("_order", "_cell", "_class", "_cut_cell", "_need")
+    last_cell = broadcast_if_small(materialize(last_cell, "split-cells"))
+    same = F.col("_class").eqNullSafe(F.col("_of")) & (F.col("_cell") == F.col("_at"))
+    rank = F.row_number().over(Window.partitionBy("_of", "_at").orderBy("_order", "_key"))
+    last_row = (
+        keyed.join(last_cell, same)
+        .withColumn("_rank", rank)
+        .filter("_rank = _need")
+        .select("_of", F.col("_order").alias("_last_order"), F.col("_key").alias("_last_key"))
+    )
+    last_row = broadcast_if_small(materialize(last_row, "split-bounds"))
+    placed = df.withColumn("_order", order).join(last_row, F.col(label).eqNullSafe(F.col("_of")), "left")
+    tie = (F.col("_order") == F.col("_last_order")) & (F.col(key) <= F.col("_last_key"))
+    is_test = (F.col("_order") < F.col("_last_order")) | tie
+    split = F.when(is_test, "test").otherwise("train")
+    return placed.withColumn("split", split).drop("_order", "_of", "_last_order", "_last_key")
 
 
 def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:

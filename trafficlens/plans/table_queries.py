@@ -395,7 +395,7 @@ def hash_split(spark, folder):
     "stratified_split",
     """WITH r AS (SELECT event_id AS id, event_type AS traffic_type,
   row_number() OVER (PARTITION BY event_type
-    ORDER BY ('0x' || substr(md5(event_id::VARCHAR || '|42'), 1, 15))::BIGINT, event_id) AS place,
+    ORDER BY md5(event_id::VARCHAR || '|42'), event_id) AS place,
   count(*) OVER (PARTITION BY event_type) AS n FROM events)
 SELECT id, traffic_type, CASE WHEN place <= floor(n * 0.2::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS split FROM r""",
 )
