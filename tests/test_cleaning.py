@@ -150,3 +150,19 @@ def test_numeric_columns(spark):
     assert schemas.numeric_columns(df) == ["x"]
     with pytest.raises(ValueError, match="no numeric"):
         schemas.numeric_columns(df.select("id", "s"))
+
+
+def test_awkward_column_names(spark):
+    from trafficlens.operators import correlation, iforest, rollups, rules
+
+    name = "Bytes.In<10> [a]"
+    df = spark.createDataFrame([(i, float(i) if i else None, datetime(2025, 1, 1)) for i in range(30)], f"id long, `{name}` double, t timestamp")
+    assert cleaning.impute_mean(df, [name]).filter("id = 0").first()[name] == 15.0
+    assert cleaning.sanitize_numbers(df, [name]).count() == 30
+    assert cleaning.impute_mode(df.selectExpr("id", f"cast(`{name}` as string) `{name}`"), [name]).first()[name] == "1.0"
+    assert standardize(df, [name]).count() == 30
+    assert rules.zscore_flags(df, [name]).filter("statistical_anomaly").count() == 0
+    assert rollups.hourly_metrics(df, "t", [name]).first()[f"{name}_count"] == 29
+    assert correlation.correlation_long(df, ["id", name]).count() == 4
+    assert iforest.detect(df, "id", [name], trees=3)[0].count() == 30
+    assert cleaning.null_counts(df, [name]).first()["null_count"] == 1

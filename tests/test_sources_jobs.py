@@ -29,13 +29,14 @@ def test_infer_and_read_wide_csv(spark, tmp_path):
         "flag": "boolean", "empty": "string",
     }
     stored = {f.name: f.dataType.simpleString() for f in schemas.storage_schema(found)}
-    assert stored["srcMAC"] == "string" and stored["flag"] == "int"
+    assert stored["srcMAC"] == "bigint" and stored["flag"] == "int"
     df, bad = readers.split_bad_records(readers.read_wide_csv(spark, str(path), found))
     rows = df.orderBy("id").selectExpr("id", "cast(TSesStart as string) t", "rate").collect()
     assert [tuple(r) for r in rows] == [
         (1, "1970-01-01 00:00:00", 1.5), (2, None, 2.0), (3, "1970-01-01 01:00:00", None),
     ]
     assert bad.count() == 0
+    assert [r["flag"] for r in schemas.to_storage(df).orderBy("id").collect()] == [1, 0, 1]
 
 
 def test_rows_of_another_width_are_set_aside(spark, tmp_path):

@@ -13,6 +13,11 @@ MAX_EPOCH_SECONDS = 9223372036.0
 ERROR_STATUS_FROM = 400
 
 
+def named(column: str) -> Column:
+    """A column by its exact name, which may hold dots, brackets or blanks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def epoch_to_timestamp(seconds: Column) -> Column:
     """Epoch seconds (number or text) to timestamp; anything unusable becomes NULL."""
     number = seconds.try_cast("double")

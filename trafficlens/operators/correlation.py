@@ -12,6 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trafficlens.functions.columns import named
 from trafficlens.operators.wide import feature_stats, packed_array
 
 PAIRWISE_LIMIT = 12
@@ -41,7 +42,7 @@ def _cell(a: str, b: str, value: Column) -> Column:
 
 def _pearson(a: str, b: str) -> Column:
     """NULL when either side is constant, where the built-in ``corr`` stops with a division error."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    x, y = named(a).cast("double"), named(b).cast("double")
     spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
     return F.try_divide(F.covar_pop(x, y), spread)
 

@@ -68,7 +68,7 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "") -> Data
 
     Means and deviations arrive as one scalar subquery over the same input.
     """
-    value = {c: F.col(c).cast("double") for c in columns}
+    value = {c: fx.named(c).cast("double") for c in columns}
     stats = df.agg(
         F.struct(
             *[F.avg(v).alias(f"m_{c}") for c, v in value.items()],

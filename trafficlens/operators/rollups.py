@@ -58,9 +58,9 @@ def hourly_metrics(df: DataFrame, time_column: str, columns: Sequence[str], row_
     aggregates = []
     for c in columns:
         aggregates += [
-            F.avg(c).alias(f"{c}_mean"),
-            F.sum(c).alias(f"{c}_sum"),
-            F.count(c).alias(f"{c}_count"),
+            F.avg(fx.named(c)).alias(f"{c}_mean"),
+            F.sum(fx.named(c)).alias(f"{c}_sum"),
+            F.count(fx.named(c)).alias(f"{c}_count"),
         ]
     aggregates.append(F.count(row_id).alias("session_count"))
     return df.groupBy(_hour(df, time_column).alias("hour")).agg(*aggregates)

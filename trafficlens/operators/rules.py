@@ -31,7 +31,7 @@ def zscore_flags(df: DataFrame, columns: Sequence[str], threshold: float = Z_LIM
         out = out.withColumn("traffic_type", F.lit("normal"))
     if not present:
         return out
-    number = {c: F.col(c).cast("double") for c in present}
+    number = {c: fx.named(c).cast("double") for c in present}
     stats = df.agg(
         F.struct(
             *[F.avg(v).alias(f"m_{c}") for c, v in number.items()],
@@ -44,7 +44,7 @@ def zscore_flags(df: DataFrame, columns: Sequence[str], threshold: float = Z_LIM
         distance = F.try_divide(F.abs(v - stats.getField(f"m_{c}")), spread)
         flags[f"{c}_anomaly"] = F.coalesce(distance > threshold, F.lit(False))
     out = out.withColumns(flags)
-    any_flag = reduce(lambda a, b: a | b, [F.col(name) for name in flags])
+    any_flag = reduce(lambda a, b: a | b, [fx.named(name) for name in flags])
     out = out.withColumn("statistical_anomaly", any_flag)
     hit = F.col("statistical_anomaly")
     return out.withColumns(

@@ -205,13 +205,11 @@ def null_audit(spark, folder):
 
 @query(
     "session_features",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-  round((epoch_us(l_shipdate) - epoch_us(o_orderdate))::DOUBLE / 1000000, 6) AS session_duration,
-  round((l_quantity + l_linenumber) / CASE WHEN l_shipdate = o_orderdate THEN 1
-        ELSE (epoch_us(l_shipdate) - epoch_us(o_orderdate))::DOUBLE / 1000000 END, 9) AS packet_rate,
-  round(l_extendedprice / CASE WHEN l_shipdate = o_orderdate THEN 1
-        ELSE (epoch_us(l_shipdate) - epoch_us(o_orderdate))::DOUBLE / 1000000 END, 9) AS bytes_per_session
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, d AS session_duration,
+  (l_quantity + l_linenumber) / CASE WHEN d = 0 THEN 1 ELSE d END AS packet_rate,
+  l_extendedprice / CASE WHEN d = 0 THEN 1 ELSE d END AS bytes_per_session
+FROM (SELECT *, (epoch_us(l_shipdate) - epoch_us(o_orderdate))::DOUBLE / 1000000 AS d
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
 )
 def session_features(spark, folder):
     lines = tables.table(spark, folder, "lineitem")
@@ -220,11 +218,10 @@ def session_features(spark, folder):
     made = features.session_features(
         joined, "o_orderdate", "l_shipdate", "l_quantity", "l_linenumber", "l_extendedprice"
     )
-    kept = made.select(
+    return made.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "session_duration", "packet_rate", "bytes_per_session",
     )
-    return rounded(kept, 9, session_duration=6)
 
 
 @query(

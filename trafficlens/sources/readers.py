@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.functions.columns import epoch_to_timestamp
+from trafficlens.functions.columns import epoch_to_timestamp, named
 
 BAD_RECORD = "_bad_record"
 
@@ -43,7 +43,7 @@ def read_wide_csv(
         [T.StructField(f.name, T.StringType() if f.name in epoch_columns else f.dataType, True) for f in schema]
     )
     df = read_csv(spark, path, raw, sep=";")
-    present = {c: epoch_to_timestamp(F.col(f"`{c}`")) for c in epoch_columns if c in df.columns}
+    present = {c: epoch_to_timestamp(named(c)) for c in epoch_columns if c in df.columns}
     return df.withColumns(present)
 
 
@@ -53,7 +53,7 @@ def split_bad_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Spark refuses a plan that reads nothing but the bad-record text, so both
     # sides also look at a data column, in a test that always holds.
     other = next(c for c in df.columns if c != BAD_RECORD)
-    reads_data = F.length(F.coalesce(F.col(f"`{other}`").cast("string"), F.lit(""))) >= 0
+    reads_data = F.length(F.coalesce(named(other).cast("string"), F.lit(""))) >= 0
     return df.filter(~is_bad & reads_data).drop(BAD_RECORD), df.filter(is_bad & reads_data)
 
 
@@ -115,7 +115,7 @@ def conform(df: DataFrame, mapping: Mapping[str, str | Column], schema: T.Struct
 
     def value(target: T.StructField) -> Column:
         given = mapping[target.name]
-        source = F.col(given) if isinstance(given, str) else given
+        source = named(given) if isinstance(given, str) else given
         return source.cast(target.dataType).alias(target.name)
 
     return df.select(*[value(f) for f in schema])

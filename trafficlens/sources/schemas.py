@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trafficlens.functions.columns import named
+
 # Table layouts.
 LAYOUTS = {
     "sessions": (
@@ -81,11 +83,8 @@ def rename_all(df: DataFrame, rule: Callable[[str], str]) -> DataFrame:
     return df.toDF(*renamed)
 
 
-def storage_type(kind: T.DataType, name: str) -> T.DataType:
-    """Type a column is stored as: wide integers and doubles, 0/1 flags, text for addresses."""
-    lowered = name.lower()
-    if isinstance(kind, T.StringType) or "mac" in lowered:
-        return T.StringType()
+def storage_type(kind: T.DataType) -> T.DataType:
+    """Type a column is stored as: wide integers and doubles, 0/1 flags, timestamps, text."""
     if isinstance(kind, T.BooleanType):
         return T.IntegerType()
     if isinstance(kind, T.IntegralType):
@@ -97,12 +96,14 @@ def storage_type(kind: T.DataType, name: str) -> T.DataType:
     return T.StringType()
 
 
-def storage_schema(schema: T.StructType, nullable_only: Iterable[str] = ()) -> T.StructType:
-    """Freeze an inferred schema into storage types."""
-    keep = set(nullable_only)
-    return T.StructType(
-        [T.StructField(f.name, storage_type(f.dataType, f.name), f.nullable or f.name in keep) for f in schema]
-    )
+def storage_schema(schema: T.StructType) -> T.StructType:
+    """Schema of the stored table for an inferred schema."""
+    return T.StructType([T.StructField(f.name, storage_type(f.dataType), f.nullable) for f in schema])
+
+
+def to_storage(df: DataFrame) -> DataFrame:
+    """Cast every column to its storage type."""
+    return df.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in storage_schema(df.schema)])
 
 
 def infer_csv_schema(spark: SparkSession, path: str, sep: str = ";", sample_rows: int = 10_000) -> T.StructType:
@@ -113,11 +114,11 @@ def infer_csv_schema(spark: SparkSession, path: str, sep: str = ";", sample_rows
     sample = spark.read.option("sep", sep).option("header", True).csv(path).limit(sample_rows)
 
     def all_cast(name: str, kind: str):
-        c = F.col(f"`{name}`")
+        c = named(name)
         return F.coalesce(F.bool_and(c.isNull() | c.try_cast(kind).isNotNull()), F.lit(False))
 
     def looks_flag(name: str):
-        c = F.col(f"`{name}`")
+        c = named(name)
         return F.coalesce(F.bool_and(F.lower(c).isin("true", "false")), F.lit(False))
 
     checks = F.array(
@@ -126,7 +127,7 @@ def infer_csv_schema(spark: SparkSession, path: str, sep: str = ";", sample_rows
                 looks_flag(c).alias("flag"),
                 all_cast(c, "long").alias("whole"),
                 all_cast(c, "double").alias("number"),
-                F.count(f"`{c}`").alias("seen"),
+                F.count(named(c)).alias("seen"),
             )
             for c in sample.columns
         ]
