@@ -13,8 +13,9 @@ from trafficlens.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(8, shuffle_partitions=4, app="trafficlens-tests")
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = build_session(8, shuffle_partitions=4, app="trafficlens-tests", spark_sql_warehouse_dir=warehouse)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

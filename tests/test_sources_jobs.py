@@ -133,6 +133,14 @@ def test_missing_tables(spark):
     spark.catalog.dropTempView("summary_stats")
 
 
+def test_catalog_table(spark):
+    writers.save_catalog_table(spark.range(3), "stored_summary")
+    writers.save_catalog_table(spark.range(5), "stored_summary")
+    assert spark.table("stored_summary").count() == 5
+    assert schemas.missing_tables(spark, ["stored_summary", "absent"]) == ["absent"]
+    spark.sql("DROP TABLE stored_summary")
+
+
 def session_rows(spark, n=300):
     rng = np.random.default_rng(4)
     rows = []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 HIGH_RISK_BELOW = -0.5
 MEDIUM_RISK_BELOW = 0.0
 MAX_ABS_VALUE = 1e38
-MAX_EPOCH_SECONDS = 9223372036.0
+MAX_EPOCH_SECONDS = 9223372036
 ERROR_STATUS_FROM = 400
 
 
@@ -19,10 +19,10 @@ def named(column: str) -> Column:
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
-    """Epoch seconds (number or text) to timestamp; anything unusable becomes NULL."""
-    number = seconds.try_cast("double")
-    usable = F.abs(number) <= MAX_EPOCH_SECONDS
-    return F.when(usable & ~F.isnan(number), F.timestamp_seconds(number))
+    """Epoch seconds (number or text) to timestamp, exact to the microsecond; anything unusable
+    becomes NULL."""
+    number = seconds.try_cast("decimal(20,6)")
+    return F.when(F.abs(number) <= MAX_EPOCH_SECONDS, F.timestamp_seconds(number))
 
 
 def text_to_timestamp(text: Column, fmt: str | None = None) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +18,8 @@ from trafficlens.plans.registry import (
     rounded,
     with_ctes,
 )
-from trafficlens.sources import readers
+from trafficlens.session import work_dir
+from trafficlens.sources import readers, writers
 
 _T = with_ctes(TRAFFIC)
 
@@ -41,6 +44,20 @@ def incremental_scan(spark, folder):
     return new.select("id", "log_time", "source_id", "packet_size")
 
 
+@query("wide_csv_scan", _T + "SELECT id, log_time AS \"TSesStart\", traffic_type AS label_2, packet_size AS \"BPerSesIn\" FROM traffic")
+def wide_csv_scan(spark, folder):
+    """The traffic as semicolon CSV with epoch seconds, read back with a frozen schema."""
+    path = f"{work_dir(spark)}/wide-csv-{uuid.uuid4().hex}"
+    seconds = (F.unix_micros(F.col("log_time").cast("timestamp")).cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)")
+    rows = tables.traffic(spark, folder).select(
+        "id", seconds.alias("TSesStart"), F.col("traffic_type").alias("label_2"), F.col("packet_size").alias("BPerSesIn")
+    )
+    writers.export_csv(rows, path, sep=";")
+    schema = T.StructType.fromDDL("id long, TSesStart double, label_2 string, BPerSesIn double")
+    good, _ = readers.split_bad_records(readers.read_wide_csv(spark, path, schema))
+    return good.withColumn("TSesStart", F.col("TSesStart").cast("timestamp_ntz"))
+
+
 @query(
     "conform_layout",
     _T

@@ -15,9 +15,14 @@ SPREAD_ROWS_PER_TASK = 2_000
 _local_folder: list[str] = []
 
 
-def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "trafficlens"):
-    """Local session for tests and the benchmark. On a cluster pass the cluster's own session."""
-    return (
+def build_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "trafficlens", **settings: str
+) -> SparkSession:
+    """Local session for tests and the benchmark. On a cluster pass the cluster's own session.
+
+    Further settings are given with underscores for dots.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -27,8 +32,10 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name.replace("_", "."), value)
+    return builder.getOrCreate()
 
 
 def work_dir(spark: SparkSession) -> str:

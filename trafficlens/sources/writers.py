@@ -45,8 +45,8 @@ def write_predictions(df: DataFrame, path: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy("event_date").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
 def append_csv(df: DataFrame, path: str) -> None:
