@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,6 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 BROADCAST_MAX_ROWS = 200_000
 SPREAD_MAX_ROWS = 5_000_000
 SPREAD_ROWS_PER_TASK = 2_000
-_local_folder: list[str] = []
 
 
 def build_session(
@@ -39,16 +37,12 @@ def build_session(
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session; a private one only for local masters."""
+    """The shared folder named by the session, else one beside the session's warehouse tables."""
     folder = spark.conf.get(CHECKPOINT_CONF, None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="trafficlens-"))
-    return _local_folder[0]
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        spark.conf.set(CHECKPOINT_CONF, folder)
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
