@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from trafficlens.llm import mixing, one_bit, url_rules
+from trafficlens.llm import mixing, one_bit, order_minhash, repeats, url_rules
 
 QUERIES = {
+    "op4_substring_dedup": repeats.op4_substring_dedup,
     "op6_url_filters": url_rules.op6_url_filters,
     "op8_one_bit_neighbours": one_bit.op8_one_bit_neighbours,
+    "op9_order_minhash": order_minhash.op9_order_minhash,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
+    "op4_substring_dedup": repeats.ORACLE,
     "op6_url_filters": url_rules.ORACLE,
     "op8_one_bit_neighbours": one_bit.ORACLE,
     "op10_mixing": mixing.ORACLE,
