@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from trafficlens.llm import mixing, one_bit, order_minhash, repeats, url_rules
+from trafficlens.llm import benchmark_leaks, mixing, one_bit, order_minhash, repeats, toxicity, url_rules
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op4_substring_dedup": repeats.op4_substring_dedup,
+    "op5_benchmark_leaks": benchmark_leaks.op5_benchmark_leaks,
     "op6_url_filters": url_rules.op6_url_filters,
     "op8_one_bit_neighbours": one_bit.op8_one_bit_neighbours,
     "op9_order_minhash": order_minhash.op9_order_minhash,
