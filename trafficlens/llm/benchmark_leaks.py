@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trafficlens.llm.common import documents, materialize, slices, table, texts_of
 
@@ -226,67 +227,107 @@ def passages(counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, n
     return doc, base[doc] + begin, base[doc] + np.minimum(begin + length, counts[doc])
 
 
-def _finder(shared, threshold: float, overlap: float):
+class Finder:
+    """Leaked items in batches of texts."""
+
+    def __init__(self, index: Index, threshold: float, overlap: float):
+        self.index, self.threshold, self.overlap = index, threshold, overlap
+        self.ids = TermIds(index.terms)
+        self.length = max(PASSAGE, 2 * index.longest)
+        self.weights = np.concatenate([index.rare_top, [0.0]])
+
+    def find(self, texts: list[bytes]) -> dict[tuple[int, int], tuple[float, float, float]]:
+        """(text, item) -> best score and overlaps."""
+        index, least = self.index, self.index.open - 1e-6
+        lists = [t.split() for t in texts]
+        flat = np.fromiter(map(self.ids.__getitem__, chain.from_iterable(lists)), np.int32)
+        of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        of, flat = of[flat > -2], flat[flat > -2]
+        doc, begin, end = passages(np.bincount(of, minlength=len(lists)).astype(np.int64), self.length)
+        sums = np.concatenate([[0.0], np.cumsum(self.weights[flat])])
+        best: dict[tuple[int, int], tuple] = {}
+        for j in np.flatnonzero(sums[end] - sums[begin] >= least).tolist():
+            passage = flat[begin[j] : end[j]].tolist()
+            terms = set(passage) - {-1}
+            for number, score in index.search(terms, self.threshold):
+                question, answer = (share_held(p, passage) for p in index.pieces[number])
+                if question >= self.overlap and answer >= self.overlap:
+                    key = (int(doc[j]), number)
+                    best[key] = max(best.get(key, (0.0,)), (score, question, answer))
+        return best
+
+
+def _reporter(shared, threshold: float, overlap: float):
     schema = pa.schema([("doc", pa.int64()), ("number", pa.int32()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = shared.value
-        ids = TermIds(index.terms)
-        length = max(PASSAGE, 2 * index.longest)
-        weights = np.concatenate([index.rare_top, [0.0]])
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(shared.value, threshold, overlap)
         for part in slices(batches):
-            lists = [t.split() for t in texts_of(part.column("text"))]
-            flat = np.fromiter(map(ids.__getitem__, chain.from_iterable(lists)), np.int32)
-            of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            of, flat = of[flat > -2], flat[flat > -2]
-            doc, begin, end = passages(np.bincount(of, minlength=len(lists)).astype(np.int64), length)
-            sums = np.concatenate([[0.0], np.cumsum(weights[flat])])
-            best: dict[tuple[int, int], tuple] = {}
-            for j in np.flatnonzero(sums[end] - sums[begin] >= index.open - 1e-6).tolist():
-                passage = flat[begin[j] : end[j]].tolist()
-                terms = set(passage) - {-1}
-                if sum(map(index.rare_top.item, terms)) < index.open - 1e-6:
-                    continue
-                for number, score in index.search(terms, threshold):
-                    question, answer = (share_held(p, passage) for p in index.pieces[number])
-                    if question >= overlap and answer >= overlap:
-                        key = (int(doc[j]), number)
-                        best[key] = max(best.get(key, (0.0,)), (score, question, answer))
+            best = finder.find(texts_of(part.column("text")))
             if best:
                 docs = part.column("doc").take(pa.array([d for d, _ in best]))
                 scores = list(zip(*best.values()))
                 yield pa.RecordBatch.from_arrays([docs, pa.array([i for _, i in best], pa.int32()), *[pa.array(s, pa.float64()) for s in scores]], schema=schema)
 
-    return find
+    return report
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap) of every document that holds an item."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+def _remover(shared, threshold: float, overlap: float):
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(shared.value, threshold, overlap)
+        for part in slices(batches, "_text"):
+            leaked = {d for d, _ in finder.find(texts_of(part.column("_text")))}
+            yield part.filter(pa.array([i not in leaked for i in range(part.num_rows)], pa.bool_())) if leaked else part
+
+    return remove
+
+
+def indexes(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text: str, threshold: float, part_bytes: int) -> list[Index]:
+    """The items' index, in parts of bounded size."""
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"))
     named = items.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text}`").alias("text"))
     words = materialize(named.mapInArrow(_item_words, "item long, words array<string>, answer int").where(F.size("words") > 0), "leak-items")
     stats = words.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean"), F.sum(F.length(F.array_join("words", " "))).alias("size")).first()
-    empty = spark.createDataFrame([], "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
     if not stats["n"]:
-        return empty
+        return []
     df = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    sampled = rows.sample(SAMPLE, seed=1).mapInArrow(_word_counts, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    parts = -(-stats["size"] // part_bytes)
-    found = empty
+    sampled = texts.sample(SAMPLE, seed=1).mapInArrow(_word_counts, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    known = materialize(df.join(sampled, "term", "left"), "leak-terms")
+    parts, found = -(-stats["size"] // part_bytes), []
     for k in range(parts):
         here = words.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k)
-        held = [(r["item"], r["words"], r["answer"]) for r in here.collect()]
-        terms = here.select(F.explode("words").alias("term")).distinct().join(df, "term").join(sampled, "term", "left").collect()
-        index = Index(held, {r["term"]: r["df"] for r in terms}, stats["n"], stats["mean"], threshold, {r["term"]: r["n"] or 0 for r in terms})
+        held = sorted(((r["item"], r["words"], r["answer"]) for r in here.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        terms = here.select(F.explode("words").alias("term")).distinct().join(known, "term").collect()
+        found.append(Index(held, {r["term"]: r["df"] for r in terms}, stats["n"], stats["mean"], threshold, {r["term"]: r["n"] or 0 for r in terms}))
+    return found
+
+
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+          item_text: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(doc_id, item_id, score, question_overlap, answer_overlap) of every document that holds an item."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    found = spark.createDataFrame([], "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
+    for index in indexes(docs, items, text_col, item_col, item_text, threshold, part_bytes):
+        names = F.broadcast(spark.createDataFrame([(i, item[0]) for i, item in enumerate(index.items)], "number int, item_id long"))
         shared = spark.sparkContext.broadcast(index)
-        names = F.broadcast(spark.createDataFrame([(i, h[0]) for i, h in enumerate(held)], "number int, item_id long"))
-        hits = rows.mapInArrow(_finder(shared, threshold, overlap), "doc long, number int, score double, question_overlap double, answer_overlap double")
+        hits = rows.mapInArrow(_reporter(shared, threshold, overlap), "doc long, number int, score double, question_overlap double, answer_overlap double")
         found = found.unionByName(hits.join(names, "number").select(F.col("doc").alias("doc_id"), "item_id", "score", "question_overlap", "answer_overlap"))
     return found
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+                  threshold: float = THRESHOLD, overlap: float = OVERLAP, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The documents that hold no item, in one pass per part of the index and without a shuffle."""
+    fields = [T.StructField(f"_{i}", f.dataType) for i, f in enumerate(docs.schema)]
+    at = docs.columns.index(text_col)
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col(f"`{text_col}`").alias("_text"))
+    schema = T.StructType([*fields, T.StructField("_text", docs.schema[at].dataType)])
+    for index in indexes(docs, items, text_col, item_col, item_text, threshold, part_bytes):
+        rows = rows.mapInArrow(_remover(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap), schema)
+    return rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def op5_benchmark_leaks(spark, folder: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the overlaps."""
     return leaks(documents(spark, folder), table(spark, folder, "benchmark"))

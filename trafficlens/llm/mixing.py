@@ -3,9 +3,8 @@
 A document of a source with target T and size S is wanted T / S times. Its whole copies are
 certain. For the remaining fraction p the documents of a source are ranked by
 (u / (1 - u)) / (p / (1 - p)), u a random number of the document, and the first of them are taken
-until their sizes come nearest to what the whole copies leave open. With a weight column the
-wanted copies of a source's documents are in proportion to their weight (at most the cap), so
-the inclusion probabilities differ inside a source as well.
+until their sizes come nearest to what the whole copies leave open. Inclusion probabilities differ
+between sources and are equal inside one.
 
 The order within a source is cut without sorting it: sizes are summed per (source, rank bin),
 the bins are summed up in order, and only the bin in which the target falls is sorted.
@@ -18,12 +17,11 @@ empty result. Columns of the input stay out of the result but for the id.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficlens.llm.common import WORD, documents, materialize
+from trafficlens.session import broadcast_if_small
 
 CAP = 3.0
 SHARES = (1, 2, 3)
@@ -69,33 +67,35 @@ def source_targets(sizes: DataFrame, cap: float = CAP, shares: tuple[int, ...] =
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
-        cap: float = CAP, shares: tuple[int, ...] = SHARES, seed: str = "mix", bins: int = BINS,
-        row_key: str | None = None) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies and taken (words).
+        cap: float = CAP, shares: tuple[int, ...] = SHARES, seed: str = "mix", bins: int = BINS, carry: bool = False) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies and taken (words).
 
-    ``row_key`` names one more column to carry through (the pipeline keeps its rows by it).
+    With ``carry`` the whole input row comes along as a struct ``row``; only rows of the bin with the
+    cut are shuffled.
     """
-    extra = [F.col(f"`{row_key}`").alias(row_key)] if row_key else []
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"),
-        word_count(F.col(f"`{text}`")).alias("size"), *extra,
-    )
-    # Counted once and written, as the sums below and the result must see the same rows.
-    rows = materialize(rows, f"mix-sizes-{uuid.uuid4().hex[:8]}")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = F.broadcast(source_targets(sizes, cap, shares).withColumnRenamed("source", "of_source"))
-    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    u = uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed)
-    p = F.col("wanted") - F.col("whole")
-    odds = (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("p")) / F.col("p"))
-    ranked = (
-        rows.join(targets, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
-        .withColumn("wanted", F.least(wanted, F.lit(cap)))
-        .withColumn("whole", F.floor("wanted")).withColumn("p", p).withColumn("u", u)
-        .withColumn("rank", F.when(F.col("p") > 0, odds / (1 + odds)))
-        .withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)))
+        word_count(F.col(f"`{text}`")).alias("size"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
-    by_bin = ranked.where("rank IS NOT NULL").groupBy("source", "bin").agg(
+    # Counted once and written, for the sums below.
+    light = materialize(rows.select("doc_id", "source", "size"), "mix-sizes")
+    sizes = light.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = materialize(source_targets(sizes, cap, shares).withColumnRenamed("source", "of_source"), "mix-targets")
+    targets = broadcast_if_small(targets)
+
+    def ranked(df: DataFrame) -> DataFrame:
+        wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+        odds = (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("p")) / F.col("p"))
+        return (
+            df.join(targets, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
+            .withColumn("wanted", F.least(wanted, F.lit(cap)))
+            .withColumn("whole", F.floor("wanted")).withColumn("p", F.col("wanted") - F.col("whole"))
+            .withColumn("u", uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed))
+            .withColumn("rank", F.when(F.col("p") > 0, odds / (1 + odds)))
+            .withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)))
+        )
+
+    by_bin = ranked(light).where("rank IS NOT NULL").groupBy("source", "bin").agg(
         F.sum("size").alias("bin_size"), F.max("p").alias("p"), F.max("source_size").alias("source_size"))
     upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
@@ -104,8 +104,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
         .where("before < need AND need <= before + bin_size")
         .groupBy("source").agg(F.min_by("before", "bin").alias("before"), F.min("bin").alias("cut_bin"), F.max("need").alias("need"))
     )
-    cut = F.broadcast(cut.withColumnRenamed("source", "cut_source"))
-    joined = ranked.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left")
+    cut = broadcast_if_small(materialize(cut.withColumnRenamed("source", "cut_source"), "mix-cuts"))
+    joined = ranked(rows if carry else light).join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left")
     # Only the bin with the cut is put in order: about 1/bins of a source.
     inside = F.col("bin") == F.col("cut_bin")
     place = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,7 +113,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
     # A document is in if more than half of it lies below the target.
     edge = edge.withColumn("extra", (F.col("sum_before") + F.col("size") / 2.0 <= F.col("need")).cast("int"))
     rest = joined.where(~F.coalesce(inside, F.lit(False))).withColumn("extra", F.coalesce((F.col("bin") < F.col("cut_bin")).cast("int"), F.lit(0)))
-    keep = ["doc_id", "source", "size", "source_size", "target", "whole", "extra", *([row_key] if row_key else [])]
+    keep = ["doc_id", "source", "size", "source_size", "target", "whole", "extra", *(["row"] if carry else [])]
     both = edge.select(*keep).unionByName(rest.select(*keep))
     copies = (F.col("whole") + F.col("extra")).cast("int")
     return both.withColumn("copies", copies).withColumn("taken", F.col("size") * copies).drop("whole", "extra")
