@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trafficlens.session import materialize, work_dir
 
-__all__ = ["WORD", "WordHashes", "documents", "materialize", "mix64", "slices", "table", "texts_of", "work_dir"]
+__all__ = ["WORD", "documents", "materialize", "mix64", "slices", "table", "texts_of", "word_hashes", "work_dir"]
 
 #: A word, as the contracts give it: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 4 << 20
-HASH_CACHE = 300_000
+SLICE_BYTES = 2 << 20
+HASH_BYTES = 512 << 10
+ODD = 0x9E3779B97F4A7C15
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,21 +27,6 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered while they are few."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= HASH_CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix64(values: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):
@@ -53,6 +39,52 @@ def mix64(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 to base**n modulo 2**64."""
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, base, np.uint64)]))
+
+
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
+SIGN_VALUES = mix64(np.arange(256, dtype=np.uint64))
+UP, DOWN = powers(ODD, HASH_BYTES), powers(pow(ODD, -1, 1 << 64), HASH_BYTES)
+
+
+def _hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and beginnings of the words of some bytes that end in white space."""
+    signs = np.frombuffer(text, np.uint8)
+    space = SPACES[signs]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edges = np.concatenate([[0], edges])
+    begin, end = edges[::2], edges[1::2]
+    up, down = (UP, DOWN) if len(signs) <= HASH_BYTES else (powers(ODD, len(signs)), powers(pow(ODD, -1, 1 << 64), len(signs)))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(SIGN_VALUES[signs] * up[: len(signs)])])
+        value = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(ODD)
+    return mix64(value), begin
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one after the other, and the number of each text's words."""
+    whole = b"\n".join(texts) + b"\n"
+    hashes, begins, at = [], [], 0
+    while at < len(whole):
+        end = min(at + HASH_BYTES, len(whole))
+        if end < len(whole):
+            # Cut behind white space; a word longer than a piece stays whole.
+            cut = max(whole.rfind(s, at, end) for s in (b"\n", b" "))
+            end = cut + 1 if cut > at else min((c for c in (whole.find(s, end) for s in (b"\n", b" ")) if c >= 0), default=len(whole) - 1) + 1
+        found, begin = _hashes(whole[at:end])
+        hashes.append(found)
+        begins.append(begin + at)
+        at = end
+    ends = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))
+    counts = np.bincount(np.searchsorted(ends, np.concatenate(begins), side="right"), minlength=len(texts))
+    return np.concatenate(hashes), counts.astype(np.int64)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -15,7 +15,9 @@ matched positions, and a pair that can reach the threshold lies in a band around
 * In a bucket all nodes are compared with its hub: the node that shares most buckets with others.
   Links are merged to components. Then, in buckets that still hold several components, each node
   outside the largest one is compared with all nodes of other components. So every pair of a bucket
-  is compared or connected already, without listing the pairs of a large group.
+  is compared or connected already, without listing the pairs of a large group. Such a comparison is
+  left out where 512 parity bits of the two shingle sets differ in more places than the sets may
+  (each shingle that only one of them holds flips one bit): no similar pair fails that test.
 * Components: least labels along the links with pointer jumping, each round written to the shared
   folder.
 
@@ -29,14 +31,13 @@ from __future__ import annotations
 import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import WordHashes, documents, materialize, mix64, slices, texts_of
+from trafficlens.llm.common import documents, materialize, mix64, slices, texts_of, word_hashes
 from trafficlens.llm.repeats import _bit_table, _has, _keyed
 
 SHINGLE = 5
@@ -46,6 +47,7 @@ TAKEN = 2
 SIMILARITY = 0.8
 ODD = np.uint64(0x9E3779B97F4A7C15)
 COLUMNS = 4096
+PARITY_BITS = 512
 BITS_MIN, BITS_MAX = 1 << 20, 1 << 27
 
 
@@ -69,6 +71,11 @@ def labelled_shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
         return mix64(value + label * ODD)
 
 
+def words_by_text(texts: list[bytes]) -> list[np.ndarray]:
+    words, counts = word_hashes(texts)
+    return np.split(words, np.cumsum(counts)[:-1])
+
+
 def _factors(n: int) -> np.ndarray:
     return mix64(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -96,25 +103,32 @@ def bands_of(shingles: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.n
     return key
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """One bit per hash class: whether the number of shingles in it is odd."""
+    odd = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketcher(size: int, bands: int, rows: int):
-    schema = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        hashes = WordHashes()
         for part in slices(batches):
             out = {name: [] for name in schema.names}
-            for text, doc, row in zip(texts_of(part.column("text")), part.column("doc").to_pylist(), part.column("row").to_pylist()):
-                words = text.split()
-                whole = xxhash.xxh128_intdigest(b" ".join(words)) if words else None
-                shingles = labelled_shingles(hashes.of(words), size)
+            texts = texts_of(part.column("text"))
+            for words, doc, row in zip(words_by_text(texts), part.column("doc").to_pylist(), part.column("row").to_pylist()):
+                # The words' hashes stand for the words: equal texts are those with equal sequences.
+                whole = xxhash.xxh128_intdigest(words.tobytes()) if len(words) else None
+                shingles = labelled_shingles(words, size)
                 out["doc"].append(doc)
                 out["row"].append(row)
                 out["h1"].append(None if whole is None else (whole >> 64) - (1 << 63))
                 out["h2"].append(None if whole is None else (whole & (2**64 - 1)) - (1 << 63))
                 out["n"].append(len(shingles))
-                out["bands"].append(bands_of(shingles, bands, rows).view(np.int64) if words else None)
+                out["bands"].append(bands_of(shingles, bands, rows).view(np.int64) if len(words) else None)
+                out["parity"].append(parity(shingles) if len(words) else None)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return scan
@@ -125,14 +139,13 @@ def _sequences(size: int, shared):
     schema = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("shingles", pa.binary())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for part in slices(batches):
             rows = part.column("row").to_numpy(zero_copy_only=False)
             at = np.flatnonzero(_has(shared.value, rows.astype(np.int64).view(np.uint64)))
             if not len(at):
                 continue
             chosen = part.take(pa.array(at))
-            found = [labelled_shingles(hashes.of(t.split()), size).astype(np.uint32).tobytes() for t in texts_of(chosen.column("text"))]
+            found = [labelled_shingles(w, size).astype(np.uint32).tobytes() for w in words_by_text(texts_of(chosen.column("text")))]
             yield pa.RecordBatch.from_arrays([chosen.column("doc"), chosen.column("row"), pa.array(found, pa.binary())], schema=schema)
 
     return scan
@@ -219,7 +232,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tag = uuid.uuid4().hex[:8]
     keyed = _keyed(docs, id_col, text_col)
     sketched = materialize(keyed.select("doc", "row", "text").mapInArrow(
-        _sketcher(size, bands, rows), "doc long, row long, h1 long, h2 long, n int, bands array<long>"), f"near-sketch-{tag}")
+        _sketcher(size, bands, rows), "doc long, row long, h1 long, h2 long, n int, bands array<long>, parity array<long>"), f"near-sketch-{tag}")
     full = sketched.where("h1 IS NOT NULL")
     nodes = full.groupBy("h1", "h2").agg(F.min(F.struct("doc", "row")).alias("node"))
     nodes = materialize(nodes, f"near-nodes-{tag}")
@@ -241,9 +254,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     owned = entries.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
     parts = owned.groupBy("key", "label").agg(F.count("*").alias("size"))
     mixed = parts.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = owned.join(mixed.select("key", F.col("top.label").alias("top")), "key")
-    outside = mixed.where("label != top").select("key", F.col("node").alias("out"), F.col("n").alias("m"), F.col("label").alias("out_label"))
-    rest = outside.join(mixed, "key").where((F.col("label") != F.col("out_label")) & shared_enough)
+    sets = full.select(F.struct("doc", "row").alias("node"), "parity").dropDuplicates(["node"])
+    mixed = owned.join(mixed.select("key", F.col("top.label").alias("top")), "key").join(sets, "node")
+    mixed = materialize(mixed, f"near-mixed-{tag}")
+    outside = mixed.where("label != top").select("key", F.col("node").alias("out"), F.col("n").alias("m"), F.col("label").alias("out_label"), F.col("parity").alias("out_parity"))
+    differing = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("out_parity")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    may_differ = (F.col("n") + F.col("m")) * ((1 - similarity) / (1 + similarity)) + 1e-9
+    rest = outside.join(mixed, "key").where((F.col("label") != F.col("out_label")) & shared_enough & (differing <= may_differ))
     rest = rest.select(F.least("out", "node").alias("a"), F.greatest("out", "node").alias("b")).distinct()
     rest = materialize(rest.join(pairs, ["a", "b"], "left_anti"), f"near-rest-{tag}")
     if not rest.isEmpty():
