@@ -28,15 +28,14 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.llm.common import WordHashes, documents, materialize, mix64, slices, texts_of
+from trafficlens.llm.common import documents, materialize, mix64, powers, slices, texts_of, word_hashes
 
 WINDOW = 20
 ANCHOR = 8
@@ -50,18 +49,15 @@ LAST = 2**63 - 1
 class Paths:
     """The compacted paths of some texts: runs of windows with one anchor."""
 
-    def __init__(self, texts: list[bytes], hashes: WordHashes, window: int = WINDOW, anchor: int = ANCHOR):
-        lists = [t.split() for t in texts]
-        counts = np.array([len(x) for x in lists], dtype=np.int64)
-        words = hashes.of(list(chain.from_iterable(lists)))
+    def __init__(self, texts: list[bytes], window: int = WINDOW, anchor: int = ANCHOR):
+        words, counts = word_hashes(texts)
         n, self.window = len(words), window
         self.doc = np.empty(0, np.int64)
         if n < window or counts.max() < window:
             return
         with np.errstate(over="ignore"):
-            up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, MULTIPLIER)]))
-            self.down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, INVERSE)]))
-            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(words * up[:n])])
+            self.down = powers(int(INVERSE), n)
+            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers(int(MULTIPLIER), n)[:n])])
         pieces = mix64(self._hash(np.arange(n - anchor + 1), anchor))
         least, at = pieces, np.arange(len(pieces))
         width, size = 1, window - anchor + 1
@@ -108,9 +104,9 @@ def _first_paths(window: int, anchor: int):
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (a[new], s[new], d[new], p[new].astype(np.int32), n)], schema=schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, parts, held = WordHashes(), [], 0
+        parts, held = [], 0
         for part in slices(batches):
-            paths = Paths(texts_of(part.column("text")), hashes, window, anchor)
+            paths = Paths(texts_of(part.column("text")), window, anchor)
             if len(paths.doc):
                 ids = part.column("doc").to_numpy(zero_copy_only=False)
                 parts.append((paths.anchor.view(np.int64), paths.span.view(np.int64), ids[paths.doc], paths.start))
@@ -147,9 +143,8 @@ def _occurrences(window: int, anchor: int, shared):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path_bits, branch_bits = shared.value
-        hashes = WordHashes()
         for part in slices(batches):
-            paths = Paths(texts_of(part.column("text")), hashes, window, anchor)
+            paths = Paths(texts_of(part.column("text")), window, anchor)
             if not len(paths.doc):
                 continue
             keep = np.flatnonzero(_has(path_bits, paths.anchor ^ paths.span))
@@ -189,9 +184,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         local.repartition("anchor").groupBy("anchor", "span")
         .agg(F.min(F.struct("doc", "start")).alias("first"), F.sum("n").alias("n"))
     )
-    branches = paths.groupBy("anchor").agg((F.min("span") != F.max("span")).alias("branch"))
+    # The rows are dealt by anchor already, so this needs no further shuffle or reading.
+    same = Window.partitionBy("anchor")
     known = (
-        paths.join(branches, "anchor").where("n > 1 OR branch")
+        paths.withColumn("branch", F.min("span").over(same) != F.max("span").over(same)).where("n > 1 OR branch")
         .select("anchor", "span", F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start"), "branch")
     )
     known = materialize(known, f"repeat-paths-{tag}")
