@@ -84,7 +84,19 @@ class Node:
         self.number = 0
 
     def own_text(self) -> str:
-        return " ".join("".join(x for x in self.items if isinstance(x, str)).split())
+        """The text of a block with that of the inline elements in it."""
+        out, open_ = [], list(reversed(self.items))
+        while open_:
+            x = open_.pop()
+            if isinstance(x, str):
+                out.append(x)
+            elif x.tag in INLINE and not x.drop:
+                open_ += reversed(x.items)
+        return " ".join("".join(out).split())
+
+    def is_inline(self) -> bool:
+        """Whether an element and all below it are inline."""
+        return self.tag in INLINE and all(c.is_inline() for c in self.children)
 
 
 def _element(tag: str, attrs: str, parent: Node) -> Node:
@@ -259,7 +271,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page, known = parse(html or ""), trees[reference]
             mapping = align(page, known)
             for node in page:
-                text = node.own_text()
+                text = "" if node.tag in INLINE else node.own_text()
                 if not text:
                     continue
                 at = node
@@ -282,7 +294,6 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _dropped(node: Node) -> bool:
     """Whether an element stands in boilerplate by names."""
-    below: Node | None = None
     inside_heading = False
     while node is not None:
         inside_heading = inside_heading or node.tag in HEADINGS
@@ -295,7 +306,7 @@ def _dropped(node: Node) -> bool:
                 up = up.parent
             if not owned or not inside_heading:
                 return True
-        below, node = node, node.parent
+        node = node.parent
     return False
 
 
@@ -339,12 +350,14 @@ def main_text(page: list[Node], mapping: dict[int, int], constant: set[int], con
                 out.append(" ")
                 continue
             block = x.tag not in INLINE
-            fixed = mapping.get(x.number) in constant and x.own_text()
+            fixed = block and mapping.get(x.number) in constant
             header = x.tag == "header"
             items: list = [] if not block else [" "]
             for item in x.items:
                 if isinstance(item, str):
                     items.append("" if fixed or header else item)
+                elif fixed and item.is_inline():
+                    continue
                 elif not header or item.tag in HEADINGS or any(c.tag in HEADINGS for c in item.children):
                     items.append(item)
             if block:
