@@ -8,9 +8,10 @@ restored word. A word without such signs has one path, itself. The character mod
 letters of all words of all documents.
 
 Scores come from a logistic model over the restored words and their beginnings of 4 to 6 letters
-(runs of a letter count once). Candidate features are those frequent in toxic training texts; the
-strongest by chi-square get weights, fitted on at most ``TRAIN_ROWS`` labelled rows, chosen by a
-hash of the id. Scores use nothing but the text.
+(runs of a letter count once), and over whether a text holds any strong one, whose share of toxic
+texts is surely high (lower bound of the Wilson interval). Candidate features are those frequent in
+toxic training texts; the best by chi-square get weights, fitted on at most ``TRAIN_ROWS`` labelled
+rows, chosen by a hash of the id; equal texts count once. Scores use nothing but the text.
 
 Null and empty texts have the score of a text without features. Null ids are scored, never learned
 from and not held out. Several labels of one id count as toxic if one is; null labels are left out.
@@ -46,7 +47,8 @@ MASKS, ANY_LETTER = "*#%", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = ".-_~"
 THRESHOLD = 0.3
 TRAIN_ROWS = 20_000
-CANDIDATES, FEATURES, MIN_TOXIC = 20_000, 3_000, 4
+CANDIDATES, FEATURES, MIN_TOXIC = 20_000, 1_000, 3
+STRONG_SHARE, Z = 0.7, 1.96
 BEGINNINGS = (4, 5, 6)
 CACHE = 400_000
 NONE: frozenset[int] = frozenset()
@@ -199,6 +201,7 @@ class FeatureIds(dict):
 
     def __init__(self, known: dict[str, int], restorer: Restorer):
         self.known, self.restorer = known, restorer
+        self.starts = {f[:4] for f in known}
 
     def of(self, words: list[str]) -> frozenset[int]:
         known = self.known
@@ -207,7 +210,12 @@ class FeatureIds(dict):
     def __missing__(self, word: bytes) -> frozenset[int]:
         if len(self) >= CACHE:
             self.clear()
-        value = self[word] = self.of(self.restorer.of(word))
+        plain = word.decode("utf-8", "replace").lower()
+        if plain.isalpha() and not RUN.search(plain) and f"{plain}$"[:4] not in self.starts:
+            value = NONE
+        else:
+            value = self.of(self.restorer.of(word))
+        self[word] = value
         return value
 
     def text(self, text: bytes) -> set[int]:
@@ -270,15 +278,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
 class Model:
     chars: CharModel
     known: dict[str, int]
+    #: One weight per known feature, and one for any strong feature.
     weights: np.ndarray
     bias: float
+    strong: frozenset[int] = frozenset()
 
     def scorer(self) -> Callable[[bytes], float]:
         ids = FeatureIds(self.known, Restorer(self.chars))
-        weights, bias = self.weights.tolist(), self.bias
+        weights, bias, strong = self.weights.tolist(), self.bias, self.strong
 
         def score(text: bytes) -> float:
-            x = bias + sum(weights[i] for i in sorted(ids.text(text)))
+            found = ids.text(text)
+            x = bias + sum(weights[i] for i in sorted(found))
+            if not strong.isdisjoint(found):
+                x += weights[-1]
             return 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))
 
         return score
@@ -310,12 +323,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
     spark, tag = docs.sparkSession, uuid.uuid4().hex[:8]
     chars = char_model(docs, text_col)
     shared = spark.sparkContext.broadcast(chars)
-    rows = materialize(training_rows(docs, labels, label, modulus, rest, id_col, text_col, train_rows), f"toxic-train-{tag}")
+    rows = training_rows(docs, labels, label, modulus, rest, id_col, text_col, train_rows)
+    rows = materialize(rows.groupBy("text").agg(F.min("doc").alias("doc"), F.max("y").alias("y")), f"toxic-train-{tag}")
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, total = counts.get(1, 0), sum(counts.values())
     if not toxic or toxic == total:
         return Model(chars, {}, np.zeros(0), math.log((toxic + 0.5) / (total - toxic + 0.5)))
-    # Rows of a copied text count once each; a feature must stand in some toxic texts.
     counted = rows.where("y = 1").select("text").mapInArrow(_candidates(shared), "feature string, n long")
     counted = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TOXIC)
     names = [r["feature"] for r in counted.orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()]
@@ -323,17 +336,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
     seen = present.select("y", F.explode("ids").alias("id")).groupBy("id").agg(F.sum("y").alias("k"), F.count("*").alias("n"))
     stats = [(r["id"], r["k"], r["n"]) for r in seen.collect()]
     share = toxic / total
-    strong = sorted(((k - n * share) ** 2 / (n * share * (1 - share)), names[i], i) for i, k, n in stats if k > n * share)[::-1][:features]
-    place = {i: j for j, (_, _, i) in enumerate(strong)}
-    size = max(1, len(place))
+    best = sorted(((k - n * share) ** 2 / (n * share * (1 - share)), names[i], i) for i, k, n in stats if k > n * share)[::-1][:features]
+    place = {i: j for j, (_, _, i) in enumerate(best)}
+    strong = frozenset(place[i] for i, k, n in stats if i in place and surely(k, n) >= STRONG_SHARE)
+    size = len(place)
 
     @F.udf(VectorUDT())
     def vector(ids):
-        return Vectors.sparse(size, sorted({place[i] for i in ids if i in place}), [1.0] * len({i for i in ids if i in place}))
+        found = sorted({place[i] for i in ids if i in place})
+        if not strong.isdisjoint(found):
+            found.append(size)
+        return Vectors.sparse(size + 1, found, [1.0] * len(found))
 
     points = materialize(present.select("doc", F.col("y").cast("double").alias("label"), vector("ids").alias("features")), f"toxic-points-{tag}")
-    model = LogisticRegression(maxIter=60, regParam=2e-4, standardization=False, tol=1e-6).fit(points)
-    return Model(chars, {names[i]: j for i, j in place.items()}, model.coefficients.toArray(), float(model.intercept))
+    model = LogisticRegression(maxIter=100, regParam=1e-4, standardization=False, tol=1e-6).fit(points)
+    return Model(chars, {names[i]: j for i, j in place.items()}, model.coefficients.toArray(), float(model.intercept), strong)
+
+
+def surely(k: int, n: int) -> float:
+    """Lower bound of the Wilson interval of a share k / n."""
+    p, zz = k / n, Z * Z / n
+    return (p + zz / 2 - Z * math.sqrt(p * (1 - p) / n + zz / (4 * n))) / (1 + zz)
 
 
 def _score(shared):
