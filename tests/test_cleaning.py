@@ -145,13 +145,6 @@ def test_colliding_names_are_refused(spark):
         schemas.rename_all(df, schemas.standard_name)
 
 
-def test_numeric_columns(spark):
-    df = spark.createDataFrame([(1, 2.0, "a")], "id int, x double, s string")
-    assert schemas.numeric_columns(df) == ["x"]
-    with pytest.raises(ValueError, match="no numeric"):
-        schemas.numeric_columns(df.select("id", "s"))
-
-
 def test_awkward_column_names(spark):
     from trafficlens.operators import correlation, iforest, rollups, rules
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values.
 HIGH_RISK_BELOW = -0.5
@@ -36,6 +37,18 @@ def clean_number(value: Column) -> Column:
     return F.when(~F.isnan(number) & (F.abs(number) <= MAX_ABS_VALUE), number)
 
 
+def number_of(df: DataFrame, column: str) -> Column:
+    """A column for statistics: NaN and infinities of a floating column are missing, other types stay."""
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return clean_number(named(column))
+    return named(column)
+
+
+def not_nan(value: Column) -> Column:
+    """A double for comparisons: NaN, which Spark orders above all numbers, becomes NULL."""
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+
 def anonymized(value: Column) -> Column:
     """SHA-256 hex of the text form; NULL stays NULL."""
     return F.sha2(value.cast("string"), 256)

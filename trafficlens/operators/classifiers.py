@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import Imputer, IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlens.functions import columns as fx
+from trafficlens.operators import wide
 from trafficlens.operators.cleaning import column_mode
 from trafficlens.operators.sampling import SEED, split_frames
 from trafficlens.session import spread
@@ -19,6 +20,10 @@ from trafficlens.session import spread
 # Fixed values.
 TREES = 100
 DEEPEST = 30  # the deepest tree Spark grows
+#: Bounds: rows a model is fitted on (chosen by a hash of the row), classes, values of an encoded column.
+FIT_ROWS = 50_000
+MAX_CLASSES = 1_000
+MAX_VALUES = 100_000
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -31,19 +36,42 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
     """Attach the balanced weight. Labels of a classifier are few, so they become one map literal."""
-    rows = class_weights(df, label).select(label, "weight").collect()
+    rows = class_weights(df, label).select(label, "weight").limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     if not rows:
         return df.withColumn(output, F.lit(1.0))
     pairs = [F.lit(v) for r in rows for v in (r[0], float(r[1]))]
     return df.withColumn(output, F.create_map(*pairs)[F.col(label)])
 
 
-def _assemble(features: Sequence[str], encoded: Sequence[str] = ()) -> list:
-    """Mean imputation, assembler and scaler, all fitted on the training rows and saved with the
-    model. Tree splits do not depend on the scale; scaling keeps parity."""
-    filled = [f"_filled_{f}" for f in features]
+def bounded(df: DataFrame, most: int = FIT_ROWS) -> DataFrame:
+    """At most about ``most`` rows to fit on, chosen by a hash of the whole row."""
+    total = df.count()
+    if total <= most:
+        return df
+    key = F.xxhash64(*[fx.named(f.name) for f in df.schema if f.dataType.typeName() not in ("map", "udt")])
+    return df.filter(F.pmod(key, F.lit(1 << 30)) < int((1 << 30) * most / total))
+
+
+def _few(df: DataFrame, column: str, most: int) -> None:
+    found = df.select(fx.named(column)).distinct().limit(most + 1).count()
+    if found > most:
+        raise ValueError(f"{column} has more than {most} values")
+
+
+def _assemble(rows: DataFrame, features: Sequence[str], encoded: Sequence[str] = ()) -> list:
+    """Mean imputation with the means of ``rows``, assembler and scaler, saved with the model.
+
+    The means of all columns come from one pass. Tree splits do not depend on the scale; scaling
+    keeps parity.
+    """
+    stats = wide.feature_stats(rows, features)
+    filled = [f"_filled_{i}" for i in range(len(features))]
+    entries = ", ".join(
+        f"coalesce({wide.number_sql(c)}, {float(m)!r}D) AS {f}" for c, m, f in zip(features, stats.mean, filled))
     return [
-        Imputer(inputCols=list(features), outputCols=filled, strategy="mean"),
+        SQLTransformer(statement=f"SELECT *, {entries} FROM __THIS__"),
         VectorAssembler(inputCols=[*filled, *encoded], outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
     ]
@@ -57,30 +85,38 @@ def fit_random_forest(
     max_depth: int = 10,
     balanced: bool = False,
     seed: int = SEED,
+    fit_rows: int = FIT_ROWS,
 ) -> PipelineModel:
-    """Random forest on integer labels 0..k-1. Raise ``max_depth`` up to 30 for near-unbounded trees."""
-    rows = spread(train, train.count())
+    """Random forest on integer labels 0..k-1. Raise ``max_depth`` up to 30 for near-unbounded trees.
+
+    It is fitted on at most about ``fit_rows`` rows.
+    """
+    if not 0 <= max_depth <= DEEPEST:
+        raise ValueError(f"a tree's depth is at most {DEEPEST}, not {max_depth}")
+    rows = bounded(train, fit_rows)
+    rows = spread(rows, rows.count())
     if balanced:
         rows = with_class_weight(rows, label)
     forest = RandomForestClassifier(
         featuresCol="features",
         labelCol=label,
         numTrees=trees,
-        maxDepth=min(max_depth, DEEPEST),
+        maxDepth=max_depth,
         seed=seed,
         **({"weightCol": "weight"} if balanced else {}),
     )
-    return Pipeline(stages=[*_assemble(features), forest]).fit(rows)
+    return Pipeline(stages=[*_assemble(rows, features), forest]).fit(rows)
 
 
 def fit_boosted_trees(
-    train: DataFrame, features: Sequence[str], label: str = "label", rounds: int = 100, seed: int = SEED
+    train: DataFrame, features: Sequence[str], label: str = "label", rounds: int = 100, seed: int = SEED,
+    max_depth: int = 6, step: float = 0.3, fit_rows: int = FIT_ROWS,
 ) -> PipelineModel:
-    """Gradient-boosted trees for a 0/1 label."""
-    boosted = GBTClassifier(
-        featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=6, stepSize=0.3, seed=seed
-    )
-    return Pipeline(stages=[*_assemble(features), boosted]).fit(spread(train, train.count()))
+    """Gradient-boosted trees for a 0/1 label, fitted on at most about ``fit_rows`` rows."""
+    rows = bounded(train, fit_rows)
+    rows = spread(rows, rows.count())
+    boosted = GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=max_depth, stepSize=step, seed=seed)
+    return Pipeline(stages=[*_assemble(rows, features), boosted]).fit(rows)
 
 
 def chance_of_one() -> Column:
@@ -130,16 +166,19 @@ def fit_traffic_types(
     trees: int = TREES,
     max_depth: int = 10,
     seed: int = SEED,
+    fit_rows: int = FIT_ROWS,
 ) -> PipelineModel:
     """Multi-class traffic-type model: encode the protocol, impute, scale, classify, decode.
 
     Missing targets take the most frequent one. A protocol not seen in training has its own code.
     """
-    rows = df.withColumn(target, F.coalesce(F.col(target), column_mode(df, target)))
-    rows = spread(rows, df.count())
+    rows = bounded(df.withColumn(target, F.coalesce(F.col(target), column_mode(df, target))), fit_rows)
+    rows = spread(rows, rows.count())
+    _few(rows, target, MAX_CLASSES)
     encoded: list[str] = []
     stages: list = []
     if protocol:
+        _few(rows, protocol, MAX_VALUES)
         stages.append(
             StringIndexer(
                 inputCol=protocol,
@@ -156,7 +195,7 @@ def fit_traffic_types(
         featuresCol="features", labelCol="_target", numTrees=trees, maxDepth=max_depth, seed=seed
     )
     names = IndexToString(inputCol="prediction", outputCol="predicted_traffic_type", labels=classes.labels)
-    fitted = Pipeline(stages=[*stages, *_assemble(features, encoded), forest, names]).fit(classes.transform(rows))
+    fitted = Pipeline(stages=[*stages, *_assemble(rows, features, encoded), forest, names]).fit(classes.transform(rows))
     return fitted
 
 

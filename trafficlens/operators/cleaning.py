@@ -42,12 +42,12 @@ def fill_by_type(df: DataFrame, fill_times: bool = False) -> DataFrame:
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill NULL and NaN with the column mean over the whole table.
+    """Fill NULL, NaN and infinities with the column mean over the whole table.
 
     The means are one scalar subquery (a single row), evaluated once per plan.
     For more than about 100 columns use :mod:`trafficlens.operators.wide`.
     """
-    number = {c: F.nanvl(named(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    number = {c: clean_number(named(c)) for c in columns}
     means = df.agg(F.struct(*[F.avg(v).alias(c) for c, v in number.items()]).alias("means")).scalar()
     return df.withColumns({c: F.coalesce(v, means.getField(c)) for c, v in number.items()})
 

@@ -12,11 +12,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.functions.columns import named
+from trafficlens.functions.columns import clean_number, named
 from trafficlens.operators.wide import feature_stats, packed_array
 
 PAIRWISE_LIMIT = 12
-_TOO_FLAT = 1e-12  # variance, in units of the column's own, below which a column counts as constant
+FLAT = 1e-12  # deviation, in units of the mean or 1, up to which a column counts as constant
 
 
 def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -41,10 +41,17 @@ def _cell(a: str, b: str, value: Column) -> Column:
 
 
 def _pearson(a: str, b: str) -> Column:
-    """NULL when either side is constant, where the built-in ``corr`` stops with a division error."""
-    x, y = named(a).cast("double"), named(b).cast("double")
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    """NULL when either side is constant, where the built-in ``corr`` stops with a division error.
+
+    Constant is a deviation that the mean's own rounding could cause; NaN and infinities are missing.
+    """
+    x, y = clean_number(named(a)), clean_number(named(b))
+    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+
+    def varies(v: Column) -> Column:
+        return F.stddev_pop(v) > FLAT * F.greatest(F.abs(F.avg(v)), F.lit(1.0))
+
+    return F.when(varies(both_x) & varies(both_y), F.covar_pop(x, y) / (F.stddev_pop(both_x) * F.stddev_pop(both_y)))
 
 
 # Per column i, over the rows where i and j are both present: their number, the sums and
@@ -56,7 +63,7 @@ def _by_matrix(df: DataFrame, names: list[str]) -> DataFrame:
     stats = feature_stats(df, names)
     width = len(names)
     mean = np.array(stats.mean)
-    flat = np.array(stats.std) <= _TOO_FLAT * np.maximum(np.abs(mean), 1.0)
+    flat = np.array(stats.std) <= FLAT * np.maximum(np.abs(mean), 1.0)
     scale = np.where(flat, 1.0, stats.std)
 
     def cross_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +97,10 @@ def _by_matrix(df: DataFrame, names: list[str]) -> DataFrame:
     cov = mean_of("p") - mean_of("sx") * mean_of("sy")
     var_x = mean_of("qx") - mean_of("sx") * mean_of("sx")
     var_y = mean_of("qy") - mean_of("sy") * mean_of("sy")
-    value = F.when((var_x > _TOO_FLAT) & (var_y > _TOO_FLAT), cov / F.sqrt(var_x * var_y))
+    # The values are in units of each column's own deviation, so the pair's constant test is rescaled.
+    limits = F.expr("array(" + ", ".join(f"{(FLAT * max(abs(m), 1.0) / w) ** 2!r}D" for m, w in zip(mean.tolist(), scale.tolist())) + ")")
+    varied = (var_x > limits[F.col("i")]) & (var_y > limits[F.col("j")])
+    value = F.when(varied, cov / F.sqrt(var_x * var_y))
     label = F.expr("array(" + ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names) + ")")
     return cells.select(
         label[F.col("i")].alias("column_a"), label[F.col("j")].alias("column_b"), value.alias("correlation")

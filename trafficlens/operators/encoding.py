@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trafficlens.functions.columns import named
 from trafficlens.operators.ordering import dense_ids
 from trafficlens.session import broadcast_if_small, materialize
 
 HOT_SHARE = 1000
+SALTS = 4096
 
 
 def vocabulary(df: DataFrame, *columns: str) -> DataFrame:
@@ -33,8 +35,8 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, column: str, output: str |
 
     A small vocabulary is broadcast. A large one is joined by shuffle, except for
     values holding at least 1/1000 of the fitted rows: there are at most 1000 of
-    those, so they are broadcast and never meet in one task. NULL keys carry no code
-    and skip the shuffle join.
+    those, so they are broadcast and never meet in one task. Rows settled by that, and
+    NULL keys, are dealt out by hash in the one shuffle join.
     """
     target = output or f"{column}_encoded"
     unseen = encoder.agg(F.count("*").alias("k")).scalar()
@@ -56,10 +58,15 @@ def apply_encoder(df: DataFrame, encoder: DataFrame, column: str, output: str |
             F.col("_text") == F.col("_hot"),
             "left",
         )
-        settled = keyed.filter(F.col("_hot").isNotNull() | F.col("_text").isNull())
-        open_rows = keyed.filter(F.col("_hot").isNull() & F.col("_text").isNotNull())
-        done = settled.withColumns({"_value": F.col("_hot"), "_code": F.col("_hot_code")})
-        joined = with_code(open_rows, codes).unionByName(done).drop("_hot", "_hot_code")
+        # Settled and missing keys match nothing further; salted, they spread over the tasks. The salt
+        # stands in a column of its own, so it cannot meet a value.
+        settled = F.col("_hot").isNotNull() | F.col("_text").isNull()
+        salt = F.when(settled, F.pmod(F.xxhash64(*[named(c) for c in df.columns]), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
+        keyed = keyed.withColumns({"_salt": salt, "_key": F.when(settled, F.lit("")).otherwise(F.col("_text"))})
+        lookup = codes.select(F.lit(-1).alias("_salt"), F.col("_value").alias("_key"), "_code")
+        found = keyed.join(lookup, ["_salt", "_key"], "left")
+        joined = found.withColumns({"_value": F.col("_key"), "_code": F.coalesce("_hot_code", "_code")})
+        joined = joined.drop("_hot", "_hot_code", "_salt", "_key")
     code = F.when(F.col("_text").isNotNull(), F.coalesce(F.col("_code"), unseen))
     return joined.withColumn(target, code).drop("_text", "_value", "_code")
 

@@ -64,11 +64,12 @@ def hour_attributes(df: DataFrame, time_column: str) -> DataFrame:
 
 
 def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
-    """Centre and divide by the population deviation; a constant column is divided by 1.
+    """Centre and divide by the population deviation; a constant column is divided by 1. NaN and
+    infinities count as missing.
 
     Means and deviations arrive as one scalar subquery over the same input.
     """
-    value = {c: fx.named(c).cast("double") for c in columns}
+    value = {c: fx.clean_number(fx.named(c)) for c in columns}
     stats = df.agg(
         F.struct(
             *[F.avg(v).alias(f"m_{c}") for c, v in value.items()],

@@ -65,19 +65,30 @@ def exact_quantiles(
 ) -> list[float | None]:
     """Linearly interpolated quantiles, exact at any size.
 
-    Each pass counts rows in at most ``2 * len(probabilities) * bins`` bins and then
-    narrows to the bins that hold the wanted ranks, so no task ever holds the values.
-    Doubles need a handful of passes over one column.
+    NULL and NaN are left out; infinities count as the least and greatest values. The first
+    pass counts rows by sign and power of two. Each further pass counts at most
+    ``2 * len(probabilities) * bins`` equal parts of the ranges that hold the wanted ranks and
+    narrows to the parts, so no task ever holds the values. A range spans a factor of two, that
+    is 2**52 doubles, so there are at most six such passes.
     """
     value = F.col(column).cast("double")
     data = df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    span = data.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
-    if not span["n"]:
+    counted = data.groupBy(_power("v").alias("slot")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    powers = sorted(counted.collect(), key=lambda r: r["slot"])  # one row per power of two
+    total = sum(r["n"] for r in powers)
+    if not total:
         return [None] * len(probabilities)
-    positions = [p * (span["n"] - 1) for p in probabilities]
-    wanted = {int(p) for p in positions} | {min(int(p) + 1, span["n"] - 1) for p in positions}
+    positions = [p * (total - 1) for p in probabilities]
+    wanted = {int(p) for p in positions} | {min(int(p) + 1, total - 1) for p in positions}
     # rank -> (low, high, number of rows below low)
-    pending = {rank: (span["low"], span["high"], 0) for rank in wanted}
+    pending: dict[int, tuple[float, float, int]] = {}
+    for rank in wanted:
+        below = 0
+        for row in powers:
+            if rank < below + row["n"]:
+                pending[rank] = (row["low"], row["high"], below)
+                break
+            below += row["n"]
     found: dict[int, float] = {}
     while pending:
         for rank, (low, high, _) in list(pending.items()):
@@ -98,15 +109,25 @@ def exact_quantiles(
     out: list[float | None] = []
     for p in positions:
         low = found[int(p)]
-        high = found[min(int(p) + 1, span["n"] - 1)]
-        out.append(low + (p - int(p)) * (high - low))
+        high = found[min(int(p) + 1, total - 1)]
+        part = p - int(p)
+        # No arithmetic where it is not needed: infinities have no difference.
+        out.append(low if low == high or not part else low * (1 - part) + high * part if abs(low) == float("inf") or abs(high) == float("inf") else low + part * (high - low))
     return out
 
 
+def _power(column: str) -> Column:
+    """Sign and power of two of a double as one number in the order of the values."""
+    v = F.col(column)
+    size = F.when(F.abs(v) == float("inf"), 3000).otherwise(F.floor(F.log2(F.abs(v))) + 1100)
+    return F.when(v == 0, 0).otherwise(F.signum(v) * size).cast("int")
+
+
 def _bin_counts(data: DataFrame, intervals: list[tuple], bins: int) -> list[list]:
     memberships = []
     for i, (low, high, _) in enumerate(intervals):
-        share = (F.col("v") - F.lit(low)) / F.lit(high - low)
+        # Halves, as the width of two large values may not be a number.
+        share = (F.col("v") / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
         slot = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
         inside = (F.col("v") >= low) & (F.col("v") <= high)
         memberships.append(F.when(inside, F.struct(F.lit(i).alias("i"), slot.alias("slot"))))

@@ -105,7 +105,7 @@ def numeric_profile(df: DataFrame, exclude: tuple[str, ...] = ("id",)) -> DataFr
         raise ValueError("no numeric columns")
 
     def cell(name: str):
-        v = F.col(f"`{name}`").cast("double")
+        v = fx.clean_number(fx.named(name))
         return F.struct(
             F.lit(name).alias("column_name"),
             F.count(v).alias("value_count"),

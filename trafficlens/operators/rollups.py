@@ -37,15 +37,17 @@ def hourly_features(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and distinct endpoints per hour.
 
-    Empty hours appear, and undefined values are 0. The raw rows shuffle once as
+    Empty hours appear, and undefined values are 0. Rows without a time belong to no hour; NaN and
+    infinite sizes count as missing. The raw rows shuffle once as
     partial aggregates; only the hourly rows join the spine.
     """
+    value = fx.number_of(df, size)
     per_hour = df.groupBy(_hour(df, time_column).alias("hour")).agg(
-        F.count(size).alias("packet_count"),
-        F.avg(size).alias("avg_packet_size"),
-        F.stddev_samp(size).alias("std_packet_size"),
-        F.min(size).alias("min_packet_size"),
-        F.max(size).alias("max_packet_size"),
+        F.count(value).alias("packet_count"),
+        F.avg(value).alias("avg_packet_size"),
+        F.stddev_samp(value).alias("std_packet_size"),
+        F.min(value).alias("min_packet_size"),
+        F.max(value).alias("max_packet_size"),
         F.count_distinct(source).alias("unique_source_ips"),
         F.count_distinct(dest).alias("unique_dest_ips"),
     )
@@ -57,18 +59,15 @@ def hourly_metrics(df: DataFrame, time_column: str, columns: Sequence[str], row_
     """Mean, sum and count of each metric plus the session count, per hour, in one exact pass."""
     aggregates = []
     for c in columns:
-        aggregates += [
-            F.avg(fx.named(c)).alias(f"{c}_mean"),
-            F.sum(fx.named(c)).alias(f"{c}_sum"),
-            F.count(fx.named(c)).alias(f"{c}_count"),
-        ]
+        value = fx.number_of(df, c)
+        aggregates += [F.avg(value).alias(f"{c}_mean"), F.sum(value).alias(f"{c}_sum"), F.count(value).alias(f"{c}_count")]
     aggregates.append(F.count(row_id).alias("session_count"))
     return df.groupBy(_hour(df, time_column).alias("hour")).agg(*aggregates)
 
 
 def hourly_resample(df: DataFrame, time_column: str, column: str) -> DataFrame:
     """Hourly mean; hours without rows are NULL."""
-    means = df.groupBy(_hour(df, time_column).alias("hour")).agg(F.avg(column).alias(f"mean_{column}"))
+    means = df.groupBy(_hour(df, time_column).alias("hour")).agg(F.avg(fx.number_of(df, column)).alias(f"mean_{column}"))
     return hour_spine(df, time_column).join(means, "hour", "left")
 
 
@@ -108,7 +107,7 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
 
     Bins without rows are present with count 0. A constant column spans half a unit each side.
     """
-    value = F.col(column).cast("double")
+    value = fx.clean_number(F.col(column))
     span = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("span")).scalar()
     flat = span.getField("low") == span.getField("high")
     low = F.when(flat, span.getField("low") - 0.5).otherwise(span.getField("low"))
@@ -127,7 +126,7 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
 
 def size_histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Histogram with the column's mean and exact median on every row, as a chart needs them."""
-    mean = df.agg(F.avg(column).alias("mean")).scalar()
+    mean = df.agg(F.avg(fx.number_of(df, column)).alias("mean")).scalar()
     median = exact_quantiles(df, column, [0.5])[0]
     return histogram(df, column, bins).withColumns(
         {"mean_value": mean, "median_value": F.lit(median).cast("double")}

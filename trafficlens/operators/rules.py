@@ -15,13 +15,15 @@ LARGE_PACKET = 4500
 SMALL_PACKET = 50
 RAPID_GAP_SECONDS = 0.1
 Z_LIMIT = 3.0
+LOST_GROUPS = 4096
 
 
 def zscore_flags(df: DataFrame, columns: Sequence[str], threshold: float = Z_LIMIT) -> DataFrame:
     """Flag rows further than ``threshold`` sample deviations from the mean in any column.
 
     A flagged row's prediction becomes 1; others keep theirs (0 / 'normal' when the
-    input has none). A zero or undefined deviation flags nothing.
+    input has none). A zero or undefined deviation flags nothing. NaN and infinities count
+    as missing.
     """
     present = [c for c in columns if c in df.columns]
     out = df
@@ -31,7 +33,7 @@ def zscore_flags(df: DataFrame, columns: Sequence[str], threshold: float = Z_LIM
         out = out.withColumn("traffic_type", F.lit("normal"))
     if not present:
         return out
-    number = {c: fx.named(c).cast("double") for c in present}
+    number = {c: fx.clean_number(fx.named(c)) for c in present}
     stats = df.agg(
         F.struct(
             *[F.avg(v).alias(f"m_{c}") for c, v in number.items()],
@@ -80,21 +82,26 @@ def interarrival(
             "_marker": F.lit(False),
         }
     )
+    # Rows without a source or a time have no neighbours; dealt out by hash, they form no large group.
+    lost = F.col(source).isNull() | micros.isNull()
+    sliced = sliced.withColumns(
+        {"_lost": F.when(lost, F.pmod(F.xxhash64(tie_breaker), F.lit(LOST_GROUPS))), "_slice": F.when(~lost, F.col("_slice"))}
+    )
     by_source = Window.partitionBy(source).orderBy("_slice")
     markers = (
-        sliced.filter(F.col(source).isNotNull() & F.col("_slice").isNotNull())
+        sliced.filter(F.col("_lost").isNull())
         .groupBy(source, "_slice")
         .agg(F.max("_at").alias("_last"))
         .select(source, "_slice", F.lag("_last").over(by_source).alias("_at"), F.lit(True).alias("_marker"))
         .filter(F.col("_at").isNotNull())
     )
-    in_slice = Window.partitionBy(source, "_slice").orderBy("_at", tie_breaker)
+    in_slice = Window.partitionBy(source, "_slice", "_lost").orderBy("_at", tie_breaker)
     previous = sliced.unionByName(markers, allowMissingColumns=True).withColumn(
         "_previous", F.lag("_at").over(in_slice)
     )
-    gap = F.when(F.col(source).isNotNull(), (F.col("_at") - F.col("_previous")) / F.lit(1e6))
+    gap = F.when(F.col("_lost").isNull(), (F.col("_at") - F.col("_previous")) / F.lit(1e6))
     rows = previous.filter(~F.col("_marker")).withColumn(output, F.coalesce(gap, F.lit(0.0)))
-    return rows.drop("_at", "_slice", "_marker", "_previous")
+    return rows.drop("_at", "_slice", "_marker", "_previous", "_lost")
 
 
 def rule_labels(
@@ -111,7 +118,8 @@ def rule_labels(
     """Label large, small and rapid packets: ``anomaly_flag`` 0/1, score -1/1, text label."""
     timed = interarrival(df, source, time_column, tie_breaker, slice_seconds=slice_seconds)
     gap = F.col("diff_seconds")
-    hit = (F.col(size) > large) | (F.col(size) < small) | ((gap > 0) & (gap < rapid))
+    bytes_ = fx.not_nan(F.col(size))
+    hit = (bytes_ > large) | (bytes_ < small) | ((gap > 0) & (gap < rapid))
     flag = F.coalesce(hit, F.lit(False)).cast("int")
     return timed.withColumns(
         {

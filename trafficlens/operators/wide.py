@@ -15,6 +15,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trafficlens.functions.columns import MAX_ABS_VALUE, clean_number, named
+
 NARROW_LIMIT = 32
 
 
@@ -32,15 +34,21 @@ def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def number_sql(column: str) -> str:
+    """The storable number in a column, else NULL; the text form of :func:`clean_number`."""
+    number = f"CAST({_quoted(column)} AS double)"
+    return f"CASE WHEN abs({number}) <= {MAX_ABS_VALUE!r}D THEN {number} END"
+
+
 def _constants(values: Sequence[float]) -> Column:
     """Array literal. SQL text, as building hundreds of literals one by one takes seconds."""
     return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
 
 
 def packed_array(columns: Sequence[str]) -> Column:
-    """Columns as one array<double> with NULL for missing entries."""
+    """Columns as one array<double> with NULL for missing entries, NaN and infinities."""
     array = F.expr("CAST(array(" + ", ".join(map(_quoted, columns)) + ") AS array<double>)")
-    return F.transform(array, lambda v: F.nanvl(v, F.lit(None).cast("double")))
+    return F.transform(array, clean_number)
 
 
 def filled_array(columns: Sequence[str], mean: Sequence[float]) -> Column:
@@ -52,7 +60,7 @@ def filled_array(columns: Sequence[str], mean: Sequence[float]) -> Column:
     if len(columns) > NARROW_LIMIT:
         return F.zip_with(packed_array(columns), _constants(mean), lambda v, m: F.coalesce(v, m))
     entries = [
-        f"coalesce(nanvl(CAST({_quoted(c)} AS double), CAST(NULL AS double)), {float(m)!r}D)"
+        f"coalesce({number_sql(c)}, {float(m)!r}D)"
         for c, m in zip(columns, mean)
     ]
     return F.expr("array(" + ", ".join(entries) + ")")
@@ -66,17 +74,13 @@ def scaled_array(stats: FeatureStats) -> Column:
         centred = F.zip_with(filled, _constants(stats.mean), lambda v, m: v - m)
         return F.zip_with(centred, _constants(width), lambda v, w: v / w)
     entries = [
-        f"(coalesce(nanvl(CAST({_quoted(c)} AS double), CAST(NULL AS double)), {float(m)!r}D) - {float(m)!r}D)"
+        f"(coalesce({number_sql(c)}, {float(m)!r}D) - {float(m)!r}D)"
         f" / {float(w)!r}D"
         for c, m, w in zip(stats.columns, stats.mean, width)
     ]
     return F.expr("array(" + ", ".join(entries) + ")")
 
 
-def filled_vector(stats: FeatureStats) -> Column:
-    return array_to_vector(filled_array(stats.columns, stats.mean))
-
-
 def scaled_vector(stats: FeatureStats) -> Column:
     return array_to_vector(scaled_array(stats))
 
@@ -102,15 +106,10 @@ def feature_stats(df: DataFrame, columns: Sequence[str]) -> FeatureStats:
     return FeatureStats(names, mean, [float(v * shrink) ** 0.5 for v in second["var"]], first["rows"])
 
 
-def _number(column: str) -> Column:
-    """Column as double, NaN as NULL."""
-    return F.nanvl(F.col(_quoted(column)).cast("double"), F.lit(None).cast("double"))
-
-
 def _narrow_stats(df: DataFrame, names: list[str]) -> FeatureStats:
     aggregates = [F.count("*").alias("rows")]
     for i, c in enumerate(names):
-        v = _number(c)
+        v = clean_number(named(c))
         aggregates += [
             F.avg(v).alias(f"mean{i}"),
             F.count(v).alias(f"seen{i}"),

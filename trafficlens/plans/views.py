@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from trafficlens.functions.columns import risk_band
 from trafficlens.operators.quality import newest_predictions
 
 DETECTOR = "isolation_forest"  # fixed value
+NEVER = -(1 << 62)  # a prediction without a time is older than any other
 
 TRAFFIC_SUMMARY = """
 WITH detector AS (
-  SELECT session_id, max_by(prediction, 2 * unix_micros(CAST(log_time AS TIMESTAMP)) + prediction) AS prediction
+  SELECT session_id, max_by(prediction, coalesce(2 * unix_micros(CAST(log_time AS TIMESTAMP)), {never}) + prediction) AS prediction
   FROM {predictions} WHERE model_type = '{model}' GROUP BY session_id
 ), hourly AS (
   SELECT to_date(s.TSesStart) AS date,
@@ -30,10 +33,7 @@ FROM hourly ORDER BY date DESC, hour DESC
 
 ANOMALY_ANALYSIS = """
 SELECT s.*, a.prediction, a.anomaly_score, a.traffic_type, a.is_anomaly,
-       CASE WHEN a.anomaly_score >= 0 THEN 'Low Risk'
-            WHEN a.anomaly_score >= -0.5 THEN 'Medium Risk'
-            WHEN a.anomaly_score IS NULL THEN 'Low Risk'
-            ELSE 'High Risk' END AS risk_level,
+       a.risk AS risk_level,
        a.model_type, a.log_time AS prediction_time
 FROM {sessions} s JOIN {newest} a ON a.session_id = s.id AND a.prediction = 1
 ORDER BY a.anomaly_score, s.TSesStart DESC
@@ -41,7 +41,7 @@ ORDER BY a.anomaly_score, s.TSesStart DESC
 
 SESSION_STATS = """
 WITH detector AS (
-  SELECT session_id, max_by(prediction, 2 * unix_micros(CAST(log_time AS TIMESTAMP)) + prediction) AS prediction
+  SELECT session_id, max_by(prediction, coalesce(2 * unix_micros(CAST(log_time AS TIMESTAMP)), {never}) + prediction) AS prediction
   FROM {predictions} WHERE model_type = '{model}' GROUP BY session_id
 ), endpoints AS (
   SELECT s.srcIP AS source_ip, s.dstIP AS dest_ip, s.srcPort AS source_port, s.dstPort AS dest_port,
@@ -74,11 +74,11 @@ def register_views(
     views = {
         "sessions": sessions,
         "predictions": predictions,
-        "newest": newest_predictions(predictions),
+        "newest": newest_predictions(predictions).withColumn("risk", risk_band(F.col("anomaly_score"))),
     }
     for name, frame in views.items():
         frame.createOrReplaceTempView(f"{prefix}{name}")
-    names = {name: f"{prefix}{name}" for name in views} | {"model": model}
+    names = {name: f"{prefix}{name}" for name in views} | {"model": model, "never": NEVER}
     texts = {
         "traffic_summary": TRAFFIC_SUMMARY,
         "anomaly_analysis": ANOMALY_ANALYSIS,
