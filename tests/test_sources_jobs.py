@@ -77,8 +77,40 @@ def test_literal_mark_reaches_the_scan(spark, folder):
 def test_load_layouts(spark, tmp_path):
     path = tmp_path / "n.csv"
     path.write_text("source_ip,dest_ip,timestamp,packet_size\na,b,2025-12-10 00:00:00,5\n")
-    got = readers.load_layouts(spark, {"packets": (str(path), schemas.layout("packets"), ["source_ip", "packet_size"])})
-    assert [tuple(r) for r in got["packets"].collect()] == [("a", 5)]
+    with open(path, "a") as file:
+        file.write("broken line\n")
+    aside = str(tmp_path / "aside")
+    got, rejected = readers.load_layouts(spark, {"packets": (str(path), schemas.layout("packets"), ["source_ip", "packet_size"])}, aside)
+    assert [tuple(r) for r in got["packets"].collect()] == [("a", 5)] and rejected == {"packets": 1}
+    assert [r[0] for r in spark.read.parquet(f"{aside}/packets").collect()] == ["broken line"]
+
+
+def test_types_come_from_all_rows(spark, tmp_path):
+    path = tmp_path / "long.csv"
+    lines = [f"{i};{i};;x" for i in range(10_000)] + [f"{i};{i}.5;{i};7" for i in range(500)]
+    path.write_text("id;a;late;text\n" + "\n".join(lines) + "\n")
+    found = schemas.infer_csv_schema(spark, str(path))
+    assert [f.dataType.simpleString() for f in found] == ["bigint", "double", "bigint", "string"]
+    good, bad = readers.split_bad_records(readers.read_csv(spark, str(path), found, sep=";"))
+    assert (good.count(), bad.count(), good.filter("a > -1").count()) == (10_500, 0, 10_500)
+
+
+def test_count_write_and_filter_agree_on_bad_rows(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("a,b,c\n" + "".join(f"{i},{i}.5,{'x' if i % 3 else 4}\n" for i in range(90)))
+    df = readers.read_csv(spark, str(path), schemas.T.StructType.fromDDL("a int, b double, c int"))
+    good, bad = readers.split_bad_records(df)
+    good.write.parquet(str(tmp_path / "good"))
+    kept, rejected = readers.set_aside(df, str(tmp_path / "aside"))
+    assert good.count() == kept.count() == spark.read.parquet(str(tmp_path / "good")).count() == 30
+    assert bad.count() == rejected == spark.read.parquet(str(tmp_path / "aside")).count() == 60
+
+
+def test_many_columns_are_inferred_in_one_pass(spark, tmp_path):
+    path, names = tmp_path / "wide.csv", [f"c{i}" for i in range(904)]
+    path.write_text(";".join(names) + "\n" + "".join(";".join(str(i + j / 2 if i % 2 else j) for i in range(904)) + "\n" for j in range(4)))
+    found = schemas.infer_csv_schema(spark, str(path))
+    assert {f.dataType.simpleString() for f in found} == {"bigint", "double"} and len(found) == 904
 
 
 def test_append_quarantine_and_overwrite(spark, tmp_path):
@@ -200,12 +232,24 @@ def test_mode_runs(spark, tmp_path):
     )
     assert done.steps[-1] == "prediction_saving" and done.metrics["accuracy"] > 0.95
     assert writers.read_metrics(spark, hist).count() == 1
-    got = jobs.run_mode(spark, http_rows(spark), out + "2", "unsupervised", encode=["request_method"], run_log=log, trees=10)
-    assert got.frames["predictions"].count() == 200
+    for _ in range(2):
+        got = jobs.run_mode(spark, http_rows(spark), out, "unsupervised", encode=["request_method"], run_log=log, trees=10)
+    both = got.frames["predictions"]
+    assert both.columns == schemas.layout("predictions").names
+    assert {r["model_type"]: r["count"] for r in both.groupBy("model_type").count().collect()} == {"random_forest": 200, "isolation_forest": 200}
+    assert both.filter("log_time is null or prediction is null or is_anomaly != prediction").isEmpty()
     with pytest.raises(ValueError, match="unknown mode"):
         jobs.run_mode(spark, http_rows(spark), out, "other", run_log=log)
     summary = monitoring.run_log_summary(writers.read_runs(spark, log)).first()
-    assert (summary["total_runs"], summary["successful_runs"], summary["supervised_runs"]) == (3, 2, 1)
+    assert (summary["total_runs"], summary["successful_runs"], summary["supervised_runs"]) == (4, 3, 1)
+
+
+def test_dirty_numbers_do_not_end_a_run(spark, tmp_path):
+    dirty = session_rows(spark, 120).withColumn("BPerSesIn", F.expr("case id % 9 when 0 then double('infinity') when 1 then double('nan') else BPerSesIn end"))
+    done = jobs.run_batch(spark, dirty, str(tmp_path / "o"), with_views=True, trees=3, max_depth=2)
+    assert done.frames["summary_stats"].first()["total_records"] == 120
+    assert done.frames["sessions"].filter("BPerSesIn is null").count() == 28
+    assert done.frames["predictions"].groupBy("model_type").count().count() == 2
 
 
 def test_hourly_sync(spark, tmp_path):

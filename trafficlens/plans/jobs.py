@@ -11,17 +11,18 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trafficlens.functions import columns as fx
 from trafficlens.operators import classifiers, correlation, evaluation, iforest, quality, rollups
+from trafficlens.operators.cleaning import flags_to_int, sanitize_numbers
 from trafficlens.operators.encoding import apply_encoder, fit_encoder
 from trafficlens.operators.features import preprocess
 from trafficlens.operators.monitoring import performance_record
-from trafficlens.operators.sampling import sample_rows, split_frames
-from trafficlens.plans.views import register_views
+from trafficlens.operators.sampling import hash_split, sample_rows, split_frames
+from trafficlens.plans.views import DETECTOR, register_views
 from trafficlens.session import materialize
 from trafficlens.sources import writers
 from trafficlens.sources.readers import conform
@@ -43,6 +44,9 @@ NOT_FEATURES = frozenset(
 )
 
 
+CLASSIFIER = "random_forest"  # fixed value
+
+
 @dataclass
 class RunOutcome:
     """What a run produced: finished steps, written frames, scalar facts."""
@@ -67,6 +71,12 @@ def has_labels(df: DataFrame, label: str) -> bool:
     return label in df.columns and bool(df.filter(F.col(label).isNotNull()).limit(1).count())
 
 
+def sanitized(df: DataFrame) -> DataFrame:
+    """Flags as 0/1; NaN, infinities and oversized values of floating columns become NULL."""
+    floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return sanitize_numbers(flags_to_int(df), floating)
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     writers.replace_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -148,7 +158,7 @@ def run_batch(
 
 
 def _batch_stages(spark, source, out, label, contamination, with_views, validate, outcome, forest_options) -> None:
-    sessions = _stored(source, f"{out}/sessions")
+    sessions = _stored(sanitized(source), f"{out}/sessions")
     outcome.frames["sessions"] = sessions
     outcome.steps.append("ingest")
     if validate:
@@ -186,20 +196,45 @@ def _batch_stages(spark, source, out, label, contamination, with_views, validate
             writers.export_csv(outcome.frames[name], f"{out}/export/{name}")
     outcome.steps.append("export")
 
+    now = F.lit(datetime.now(timezone.utc))
+    found = results.select(
+        F.col("original_id").alias("session_id"), F.col("is_anomaly").alias("prediction"), "anomaly_score", now.alias("log_time"))
+    predictions = store_predictions(found, out, DETECTOR)
+    if supervised is not None:
+        guessed = supervised.select(
+            F.col("original_id").alias("session_id"), F.col("predicted_label").alias("prediction"), "confidence_score", now.alias("log_time"))
+        predictions = store_predictions(guessed, out, CLASSIFIER)
+    outcome.frames["predictions"] = predictions
     if with_views:
-        predictions = results.select(
-            F.col("original_id").alias("session_id"),
-            F.lit("isolation_forest").alias("model_type"),
-            F.col("is_anomaly").alias("prediction"),
-            "anomaly_score",
-            fx.traffic_label(F.col("is_anomaly")).alias("traffic_type"),
-            "is_anomaly",
-            F.current_timestamp().alias("log_time"),
-        )
         outcome.frames.update(register_views(sessions, predictions))
         outcome.steps.append("views")
 
 
+def store_predictions(rows: DataFrame, out: str, model: str) -> DataFrame:
+    """Put one model's rows into the table of all predictions, in place of its former ones.
+
+    ``rows`` has session_id and prediction, and any of anomaly_score, confidence_score and log_time.
+    The table has the fixed layout, one folder per model and date, and both models' rows.
+    """
+    target = layout("predictions")
+    flag = F.col("prediction").cast("int")
+    known: dict[str, str | Column] = {f.name: f.name if f.name in rows.columns else F.lit(None) for f in target}
+    known |= {
+        "model_type": F.lit(model), "prediction": flag, "is_anomaly": flag, "traffic_type": fx.traffic_label(flag),
+        "risk_level": fx.risk_band(F.col("anomaly_score")) if "anomaly_score" in rows.columns else F.lit(None),
+    }
+    placed = conform(rows, known, target).drop("model_type")
+    writers.write_predictions(placed, f"{out}/predictions/model_type={model}", mode="overwrite")
+    return read_predictions(rows.sparkSession, out)
+
+
+def read_predictions(spark: SparkSession, out: str) -> DataFrame:
+    """All models' predictions in the fixed layout."""
+    target = layout("predictions")
+    stored = T.StructType([*target.fields, T.StructField("event_date", T.DateType())])
+    return spark.read.schema(stored).parquet(f"{out}/predictions").select(*target.names)
+
+
 def run_mode(
     spark: SparkSession,
     traffic: DataFrame,
@@ -222,7 +257,7 @@ def run_mode(
         if traffic.isEmpty():
             raise ValueError("no input rows")
         outcome.steps.append("ingest")
-        ready = _stored(preprocess(traffic, encode=encode), f"{out}/preprocessed")
+        ready = _stored(preprocess(sanitized(traffic), encode=encode), f"{out}/preprocessed")
         outcome.steps.append("preprocessing")
         stage = _supervised if mode == "supervised" else _unsupervised
         stage(spark, ready, out, outcome, history, options)
@@ -249,8 +284,8 @@ def _supervised(spark, ready, out, outcome, history, options) -> None:
         outcome.steps.append("model_evaluation")
     else:
         model = classifiers.load_model(path)
-    scored = classifiers.predict_binary(ready, model, "id", "random_forest")
-    outcome.frames["predictions"] = _stored(scored, f"{out}/predictions")
+    scored = classifiers.predict_binary(ready, model, "id", CLASSIFIER)
+    outcome.frames["predictions"] = store_predictions(scored.withColumn("log_time", F.lit(datetime.now(timezone.utc))), out, CLASSIFIER)
     outcome.steps.append("prediction_saving")
 
 
@@ -259,8 +294,8 @@ def _unsupervised(spark, ready, out, outcome, history, options) -> None:
     scored, model = iforest.detect(ready, "id", features, **options)
     model.save(spark, f"{out}/models/isolation_forest")
     outcome.steps.append("anomaly_detection")
-    rows = scored.select(F.col("id").alias("session_id"), "prediction", "anomaly_score", "traffic_type")
-    outcome.frames["predictions"] = _stored(rows, f"{out}/predictions")
+    rows = scored.select(F.col("id").alias("session_id"), "prediction", "anomaly_score", F.lit(datetime.now(timezone.utc)).alias("log_time"))
+    outcome.frames["predictions"] = store_predictions(rows, out, DETECTOR)
     outcome.steps.append("prediction_saving")
 
 
@@ -294,9 +329,9 @@ def hybrid_hourly(
     """Hourly detection, combined with a classifier where labels exist.
 
     The detector scores the hourly features. The classifier learns from packets whose
-    instant has a label (endpoint codes from one shared vocabulary, and size), scores
-    every packet, and its hourly mean decides. Without matching labels the detector
-    stands alone.
+    instant has a label (endpoint codes from one shared vocabulary, and size) and is on the
+    training side of a hash split by instant. It scores all other packets, and its hourly mean
+    decides. Without matching labels, and in hours without such packets, the detector stands alone.
     """
     kind = packets.schema[time_column].dataType.simpleString()
     hours = materialize(rollups.hourly_features(packets, time_column), "hourly-features")
@@ -311,13 +346,18 @@ def hybrid_hourly(
     coded = packets
     for column in ENDPOINTS:
         coded = apply_encoder(coded, encoder, column)
+    # Written once: counting, every step of the fit and scoring read it.
+    coded = materialize(hash_split(coded, time_column), "coded-packets")
     inputs = [f"{c}_encoded" for c in ENDPOINTS] + ["packet_size"]
-    train = quality.labels_by_time(coded, labels, time_column).filter("prediction IS NOT NULL")
+    known = quality.labels_by_time(coded, labels, time_column).filter("prediction IS NOT NULL")
+    train = known.filter("split = 'train'")
     if train.isEmpty():
         return rollups.hybrid_hours(own, nothing)
     train = train.withColumnRenamed("prediction", "label")
     model = classifiers.fit_random_forest(train, inputs, "label", **forest_options)
-    scored = model.transform(coded).select(
+    learned = labels.filter("prediction IS NOT NULL").select(time_column).distinct()
+    unseen = coded.filter("split = 'test'").unionByName(coded.filter("split = 'train'").join(learned, time_column, "left_anti"))
+    scored = model.transform(unseen).select(
         time_column,
         F.col("prediction").cast("int").alias("prediction"),
         classifiers.chance_of_one().alias("anomaly_score"),

@@ -6,6 +6,8 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,42 +108,35 @@ def to_storage(df: DataFrame) -> DataFrame:
     return df.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in storage_schema(df.schema)])
 
 
-def infer_csv_schema(spark: SparkSession, path: str, sep: str = ";", sample_rows: int = 10_000) -> T.StructType:
-    """Infer whole-number, number, flag or text per column from a bounded sample, once.
+#: What a text can be read as, from narrow to wide; a column takes the widest of its values.
+_KINDS = ("flag", "whole", "number", "text")
 
-    Later reads use the frozen result, so the full files are never scanned for types.
+
+def infer_csv_schema(spark: SparkSession, path: str, sep: str = ";") -> T.StructType:
+    """Whole-number, number, flag or text per column, from all rows of all files.
+
+    Every value is marked by what it can be read as, the marks of a row are one vector, and
+    one pass takes the maximum over the vectors, so hundreds of columns cost one aggregate.
+    A column without any value is text. Whole numbers widen to numbers, all else to text.
     """
-    sample = spark.read.option("sep", sep).option("header", True).csv(path).limit(sample_rows)
-
-    def all_cast(name: str, kind: str):
-        c = named(name)
-        return F.coalesce(F.bool_and(c.isNull() | c.try_cast(kind).isNotNull()), F.lit(False))
-
-    def looks_flag(name: str):
-        c = named(name)
-        return F.coalesce(F.bool_and(F.lower(c).isin("true", "false")), F.lit(False))
-
-    checks = F.array(
-        *[
-            F.struct(
-                looks_flag(c).alias("flag"),
-                all_cast(c, "long").alias("whole"),
-                all_cast(c, "double").alias("number"),
-                F.count(named(c)).alias("seen"),
-            )
-            for c in sample.columns
-        ]
-    )
-    found = sample.agg(checks.alias("checks")).first()["checks"]
+    rows = spark.read.option("sep", sep).option("header", True).csv(path)
+
+    def marks(value):
+        flag = F.lower(value).isin("true", "false")
+        whole, number = value.try_cast("long").isNotNull(), value.try_cast("double").isNotNull()
+        place = F.when(flag, 0).when(whole, 1).when(number, 2).otherwise(3)
+        return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(value.isNotNull() & (place == i), 1.0).otherwise(0.0))
+
+    packed = rows.select(F.array(*[named(c) for c in rows.columns]).alias("x"))
+    seen = packed.agg(Summarizer.max(array_to_vector(F.flatten(F.transform("x", marks)))).alias("seen")).first()["seen"]
     fields = []
-    for name, seen in zip(sample.columns, found):
-        if not seen["seen"]:
-            kind: T.DataType = T.StringType()
-        elif seen["flag"]:
-            kind = T.BooleanType()
-        elif seen["whole"]:
+    for i, name in enumerate(rows.columns):
+        here = set() if seen is None else {k for k, m in zip(_KINDS, seen[4 * i : 4 * i + 4]) if m}
+        if here == {"flag"}:
+            kind: T.DataType = T.BooleanType()
+        elif here == {"whole"}:
             kind = T.LongType()
-        elif seen["number"]:
+        elif here and here <= {"whole", "number"}:
             kind = T.DoubleType()
         else:
             kind = T.StringType()
@@ -149,15 +144,6 @@ def infer_csv_schema(spark: SparkSession, path: str, sep: str = ";", sample_rows
     return T.StructType(fields)
 
 
-def numeric_columns(df: DataFrame, exclude: Iterable[str] = ("id",)) -> list[str]:
-    """Numeric columns except ids and labels; an empty result is an error."""
-    skip = {e.lower() for e in exclude}
-    found = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name.lower() not in skip]
-    if not found:
-        raise ValueError("no numeric feature columns")
-    return found
-
-
 def require_columns(df: DataFrame, *names: str) -> None:
     """Fail before a plan is built when a needed column is absent."""
     missing = [n for n in names if n not in df.columns]
