@@ -194,29 +194,32 @@ def labels_by_time(spark, folder):
 @query(
     "alignment_audit",
     with_ctes(TRAFFIC, PREDS)
-    + """, bad AS (SELECT * FROM preds WHERE prediction = 1)
-SELECT (SELECT count(*) FROM traffic) AS traffic_rows, (SELECT count(*) FROM bad) AS prediction_rows,
+    + """SELECT (SELECT count(*) FROM traffic) AS traffic_rows, (SELECT count(*) FROM preds) AS prediction_rows,
   (SELECT count(*) FROM (SELECT date_trunc('hour', log_time) FROM traffic INTERSECT
-                         SELECT date_trunc('hour', log_time) FROM bad)) AS aligned_hours,
+                         SELECT date_trunc('hour', log_time) FROM preds)) AS aligned_hours,
   (SELECT count(*) FROM traffic WHERE packet_size > 200) AS traffic_anomalies,
-  (SELECT count(*) FROM bad WHERE prediction = 1) AS prediction_anomalies""",
+  (SELECT count(*) FROM preds WHERE prediction = 1) AS prediction_anomalies""",
 )
 def alignment_audit(spark, folder):
-    bad = tables.predictions(spark, folder).filter("prediction = 1")
     return quality.alignment_audit(
-        tables.traffic(spark, folder), bad, "log_time", "log_time", "packet_size", threshold=200
+        tables.traffic(spark, folder), tables.predictions(spark, folder), "log_time", "log_time", "packet_size", threshold=200
     )
 
 
 @query(
     "orphan_predictions",
-    with_ctes(TRAFFIC, PREDS)
-    + """SELECT session_id, model_type, prediction FROM preds
-WHERE NOT EXISTS (SELECT 1 FROM traffic t WHERE t.id = session_id AND t.traffic_type <> 'error')""",
+    with_ctes(SESSION_PREDS)
+    + """SELECT session_id, 'isolation_forest' AS model_type, prediction FROM newest
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = session_id)
+UNION ALL
+SELECT o_orderkey, 'isolation_forest', 1 FROM orders
+WHERE (300000.0::DOUBLE - o_totalprice) / 300000.0::DOUBLE < -0.25::DOUBLE
+  AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
 )
 def orphan_predictions(spark, folder):
-    kept = tables.traffic(spark, folder).filter("traffic_type <> 'error'")
-    lost = quality.orphans(tables.predictions(spark, folder), kept, "session_id", "id")
+    """Scores of orders, first and second ones, without any order line."""
+    lines = tables.table(spark, folder, "lineitem")
+    lost = quality.orphans(tables.session_predictions(spark, folder), lines, "session_id", "l_orderkey")
     return lost.select("session_id", "model_type", "prediction")
 
 
@@ -288,47 +291,43 @@ def hourly_metrics(spark, folder):
     return rounded(rollups.hourly_metrics(tables.traffic(spark, folder), "log_time", ["packet_size", "k"]))
 
 
-_ALERTS = "alerts AS (SELECT * FROM traffic WHERE packet_size > 150)"
+_ORDER_SPINE = """spine AS (SELECT unnest(generate_series(date_trunc('hour', min(o_orderdate)), date_trunc('hour', max(o_orderdate)),
+  INTERVAL 1 HOUR)) AS hour FROM orders)"""
 
 
 @query(
     "hourly_resample",
-    with_ctes(TRAFFIC, _ALERTS)
-    + """, spine AS (SELECT unnest(generate_series(date_trunc('hour', min(log_time)), date_trunc('hour', max(log_time)),
-  INTERVAL 1 HOUR)) AS hour FROM alerts)
-SELECT hour, round(m, 9) AS mean_packet_size FROM spine LEFT JOIN
-  (SELECT date_trunc('hour', log_time) AS hour, avg(packet_size) AS m FROM alerts GROUP BY 1) USING (hour)""",
+    with_ctes(_ORDER_SPINE)
+    + """SELECT hour, round(m, 6) AS mean_o_totalprice FROM spine LEFT JOIN
+  (SELECT date_trunc('hour', o_orderdate) AS hour, avg(o_totalprice) AS m FROM orders GROUP BY 1) USING (hour)""",
 )
 def hourly_resample(spark, folder):
-    """Hourly mean of the large packets; hours without any are NULL."""
-    alerts = tables.traffic(spark, folder).filter("packet_size > 150")
-    return rounded(rollups.hourly_resample(alerts, "log_time", "packet_size"))
+    """Hourly mean of the order prices; hours without an order are NULL."""
+    return rounded(rollups.hourly_resample(tables.table(spark, folder, "orders"), "o_orderdate", "o_totalprice"), 6)
 
 
 @query(
     "hourly_gaps",
-    with_ctes(TRAFFIC, _SPINE, _ALERTS)
-    + "SELECT hour FROM spine WHERE hour NOT IN (SELECT date_trunc('hour', log_time) FROM alerts)",
+    with_ctes(_ORDER_SPINE) + "SELECT hour FROM spine WHERE hour NOT IN (SELECT date_trunc('hour', o_orderdate) FROM orders)",
 )
 def hourly_gaps(spark, folder):
-    """Hours of the traffic span without a large packet."""
-    t = tables.traffic(spark, folder)
-    return rollups.hourly_gaps(t, t.filter("packet_size > 150"), "log_time", "log_time")
+    """Hours in the span of the orders without one."""
+    orders = tables.table(spark, folder, "orders")
+    return rollups.hourly_gaps(orders, orders, "o_orderdate", "o_orderdate")
 
 
 @query(
     "hourly_backfill",
-    with_ctes(TRAFFIC, _SPINE, _ALERTS)
+    with_ctes(_ORDER_SPINE)
     + """SELECT hour, 2000 + (hour(hour)::INT * 17) % 2000 AS packet_size,
   '192.168.' || (hour(hour) % 256)::VARCHAR || '.1' AS source_ip,
   '192.168.' || ((hour(hour) + 1) % 256)::VARCHAR || '.2' AS dest_ip
-FROM spine WHERE hour NOT IN (SELECT date_trunc('hour', log_time) FROM alerts)""",
+FROM spine WHERE hour NOT IN (SELECT date_trunc('hour', o_orderdate) FROM orders)""",
 )
 def hourly_backfill(spark, folder):
-    """One deterministic row for every hour without a large packet."""
-    t = tables.traffic(spark, folder)
-    gaps = rollups.hourly_gaps(t, t.filter("packet_size > 150"), "log_time", "log_time")
-    return features.hour_attributes(gaps, "hour")
+    """One deterministic row for every hour without an order."""
+    orders = tables.table(spark, folder, "orders")
+    return features.hour_attributes(rollups.hourly_gaps(orders, orders, "o_orderdate", "o_orderdate"), "hour")
 
 
 @query(
@@ -572,7 +571,7 @@ def run_report_text(spark, folder):
     CASE WHEN max(packet_size) > 200 THEN 1 ELSE 0 END AS prediction,
     ((200.0::DOUBLE - max(packet_size)) / 200.0::DOUBLE) AS anomaly_score FROM traffic GROUP BY 1),
 s AS (SELECT date_trunc('hour', log_time) AS hour, avg(CASE WHEN packet_size > 30 THEN 1 ELSE 0 END) AS mp,
-    avg((30.0::DOUBLE - packet_size) / 30.0::DOUBLE) AS ms FROM traffic WHERE traffic_type = 'error' GROUP BY 1)
+    avg((30.0::DOUBLE - packet_size) / 30.0::DOUBLE) AS ms FROM traffic GROUP BY 1)
 SELECT hour, prediction, round(anomaly_score, 9) AS anomaly_score,
   CASE WHEN mp IS NULL THEN NULL WHEN mp > 0.5 THEN 1 ELSE 0 END AS supervised_prediction,
   round(ms, 9) AS supervised_score,
@@ -586,16 +585,16 @@ SELECT hour, prediction, round(anomaly_score, 9) AS anomaly_score,
 FROM u LEFT JOIN s USING (hour)""",
 )
 def hybrid_hours(spark, folder):
-    """Hourly size detector combined with hourly labels of the error rows, where an hour has any."""
+    """Hourly size detector combined with hourly labels of all rows."""
     t = tables.traffic(spark, folder)
     largest = F.max("packet_size")
     own = t.groupBy(F.date_trunc("hour", "log_time").cast("timestamp_ntz").alias("hour")).agg(
         F.when(largest > 200, 1).otherwise(0).alias("prediction"),
         ((F.lit(200.0) - largest) / 200.0).alias("anomaly_score"),
     )
-    errors = t.filter("traffic_type = 'error'").select(
+    labels = t.select(
         "log_time",
         F.when(F.col("packet_size") > 30, 1).otherwise(0).alias("prediction"),
         ((F.lit(30.0) - F.col("packet_size")) / 30.0).alias("anomaly_score"),
     )
-    return rounded(rollups.hybrid_hours(own, rollups.hourly_predictions(errors, "log_time")))
+    return rounded(rollups.hybrid_hours(own, rollups.hourly_predictions(labels, "log_time")))

@@ -341,11 +341,9 @@ def label_encode(spark, folder):
 @query(
     "encode_endpoints",
     """WITH v AS (SELECT l_suppkey::VARCHAR AS value FROM lineitem UNION SELECT l_partkey::VARCHAR FROM lineitem),
-codes AS (SELECT value, (row_number() OVER (ORDER BY value COLLATE C) - 1)::BIGINT AS code FROM v)
+codes AS (SELECT value, (row_number() OVER (ORDER BY value) - 1)::BIGINT AS code FROM v)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a.code AS source_code, b.code AS dest_code
-FROM lineitem JOIN codes a ON a.value = l_suppkey::VARCHAR JOIN codes b ON b.value = l_partkey::VARCHAR""".replace(
-        " COLLATE C", ""
-    ),
+FROM lineitem JOIN codes a ON a.value = l_suppkey::VARCHAR JOIN codes b ON b.value = l_partkey::VARCHAR""",
 )
 def encode_endpoints(spark, folder):
     """One vocabulary over both endpoint columns, so their codes are comparable."""

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from trafficlens.functions import columns as fx
 from trafficlens.operators.evaluation import weighted_scores
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,6 +53,17 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("is_anomaly", F.col("prediction"))
 
 
+def dirty_traffic(spark: SparkSession, folder: str) -> DataFrame:
+    """The traffic with NaN sizes of errors, infinite ones of signups, and views without a time."""
+    size = (
+        F.when(F.col("traffic_type") == "error", F.lit(float("nan")))
+        .when(F.col("traffic_type") == "signup", F.lit(float("inf")))
+        .otherwise(F.col("packet_size"))
+    )
+    time = F.when(F.col("traffic_type") != "view", F.col("log_time"))
+    return traffic(spark, folder).withColumns({"packet_size": size, "log_time": time})
+
+
 def results(spark: SparkSession, folder: str) -> DataFrame:
     """The size detector's rows as anomaly results."""
     t = traffic(spark, folder)

@@ -45,12 +45,16 @@ def write_predictions(df: DataFrame, path: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy("event_date").parquet(path)
 
 
+#: Times in text keep their microseconds.
+TIME_TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    df.write.mode("overwrite").options(header=True, sep=sep, **TIME_TEXT).csv(path)
 
 
 def append_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("append").option("header", True).csv(path)
+    df.write.mode("append").options(header=True, **TIME_TEXT).csv(path)
 
 
 def append_json(df: DataFrame, path: str) -> None:
