@@ -245,3 +245,13 @@ def test_fit_rows_bound(spark):
     assert 350 < kept.count() < 650
     assert {r["id"] for r in kept.collect()} == {r["id"] for r in classifiers.bounded(df.repartition(5), 500).collect()}
     assert classifiers.bounded(df, 5000).count() == 5000
+
+
+def test_one_class_tells_whether_it_converged(spark):
+    from trafficlens.operators import one_class
+
+    df = cloud(spark)
+    whole = one_class.fit_one_class(df, ["x", "y"])
+    short = one_class.fit_one_class(df, ["x", "y"], steps=1)
+    assert whole.converged and whole.gap <= one_class.TOLERANCE
+    assert short.converged == (short.gap <= one_class.TOLERANCE) and short.gap >= whole.gap - 1e-9

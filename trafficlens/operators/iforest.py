@@ -26,7 +26,6 @@ from trafficlens.session import materialize, spread
 TREES = 100
 SAMPLE_SIZE = 256
 CONTAMINATION = 0.1
-LOWER_CONTAMINATION = 0.05
 AUTO_OFFSET = -0.5
 SEED = 42
 GROW_TASKS = 25
@@ -229,19 +228,14 @@ def detect(
 ) -> tuple[DataFrame, IsolationForest]:
     """Fit, set the threshold at the contamination quantile and score.
 
-    The raw scores are written once, as both the threshold and the result need them.
-    When nothing falls below the threshold, the lower contamination is tried on the
-    same scores; if that also finds nothing, nothing is reported.
+    Only the scores are written for the threshold, never the columns of the input; the
+    result is scored as it is read. When nothing falls below the threshold, nothing is reported.
     """
     model = fit_forest(df, id_column, features, trees, sample_size, seed)
     evenly = spread(df, model.rows)
     if contamination == "auto":
         return score_forest(evenly, model), model
-    scored = materialize(raw_scores(evenly, model), "forest-scores")
-    wanted = [float(contamination), min(float(contamination), LOWER_CONTAMINATION)]
-    for offset in exact_quantiles(scored, "raw_score", wanted):
-        model = replace(model, offset=float(offset))
-        if scored.filter(F.col("raw_score") < offset).limit(1).count():
-            break
-    return _decide(scored, model.offset), model
-
+    scores = materialize(raw_scores(evenly, model).select("raw_score"), "forest-scores")
+    offset = exact_quantiles(scores, "raw_score", [float(contamination)])[0]
+    model = replace(model, offset=AUTO_OFFSET if offset is None else float(offset))
+    return score_forest(evenly, model), model

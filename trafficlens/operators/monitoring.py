@@ -62,13 +62,15 @@ def retrain_decision(history: DataFrame, threshold: float = RETRAIN_DROP, window
 
 
 def monitoring_summary(history: DataFrame, window: int = WINDOW, threshold: float = RETRAIN_DROP) -> DataFrame:
-    """Run count, latest record and retraining decision in one row."""
+    """Run count, latest record, trend and retraining decision in one row; no trend without enough history."""
+    trend = metric_trend(history, window)
     decision = retrain_decision(history, threshold, window).select("retrain").scalar()
     latest = F.max(
         F.struct("timestamp", "accuracy", "precision", "recall", "f1_score", "sample_size")
     ).alias("latest")
     return history.agg(F.count("*").alias("total_runs"), latest).select(
-        "total_runs", "latest.*", decision.alias("retraining_needed")
+        "total_runs", "latest.*", decision.alias("retraining_needed"),
+        *[trend.select(name).scalar().alias(name) for name in ("accuracy_trend", "f1_trend")],
     )
 
 

@@ -491,7 +491,9 @@ def retrain_decision(spark, folder):
     + """SELECT (SELECT count(*) FROM history) AS total_runs, "timestamp", round(accuracy, 9) AS accuracy,
   round("precision", 9) AS "precision", round(recall, 9) AS recall, round(f1_score, 9) AS f1_score, sample_size,
   (SELECT count(*) = 10 AND (max_by(accuracy, x) < avg(accuracy) - 0.05
-    OR max_by(f1_score, x) < avg(f1_score) - 0.05) FROM recent) AS retraining_needed
+    OR max_by(f1_score, x) < avg(f1_score) - 0.05) FROM recent) AS retraining_needed,
+  (SELECT round(regr_slope(accuracy, x), 9) FROM recent HAVING count(*) = 10) AS accuracy_trend,
+  (SELECT round(regr_slope(f1_score, x), 9) FROM recent HAVING count(*) = 10) AS f1_trend
 FROM history ORDER BY "timestamp" DESC LIMIT 1""",
 )
 def monitoring_summary(spark, folder):
