@@ -2,9 +2,9 @@
 
 Pages become trees of elements. The pages of a host are aligned with one of them, the page of least
 hash, by simple tree matching: the largest order-preserving mapping between the trees in which
-parents map to parents and elements agree in name and class. Over all distinct pages of the host,
-an element whose own text is nearly always that of the reference is template, all other text fills
-a slot. The slots' text, added up the reference tree, shows the container of the content: the
+parents map to parents and elements agree in name and class. Over all pages of the host other than
+copies of the reference, a block whose text is nearly always that of the reference is template (on
+hosts with some distinct pages), all other text fills a slot. The slots' text, added up the reference tree, shows the container of the content: the
 article or main element of a page, else the deepest container that holds nearly all slot text.
 
 A page's main text are the blocks in that container, without template text and without elements
@@ -13,7 +13,7 @@ adverts, forms, scripts, styles, reader comments). A header inside an article ke
 
 White space inside a block becomes one space; blocks are joined by one space. Character references
 are decoded; an unfinished tag at the end of a page is dropped. Null html gives an empty text; a
-null url counts as host ''. Copies of a page count once in the induction. A page of its own host
+null url counts as host ''. A page of its own host
 has no partner: nothing is template, and its boilerplate is known by names only. Extra columns take
 no part; repeated rows give a row each; an empty table gives an empty result.
 """
@@ -29,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import slices, table
+from trafficlens.llm.common import materialize, slices, table
 from trafficlens.llm.url_rules import host_of
 
 CONSTANT_SHARE = 0.8
 MIN_PAGES = 4
 CONTAINER_SHARE = 0.9
 KNOWN_TREES = 64
+BROADCAST_BYTES = 16 << 20
 #: Largest number of cells of one matching of two child lists; longer lists are matched from both ends.
 CELLS = 200_000
 
@@ -310,9 +311,9 @@ def _dropped(node: Node) -> bool:
     return False
 
 
-def template_of(reference: list[Node], rows: list[tuple[int, int, int, int]]) -> tuple[set[int], int]:
+def template_of(reference: list[Node], rows: list[tuple[int, int, int, int]], n_distinct: int) -> tuple[set[int], int]:
     """Constant elements, and the container of the content, from (node, pages, same, chars)."""
-    constant = {n for n, pages, same, _ in rows if pages >= MIN_PAGES and same >= CONSTANT_SHARE * pages}
+    constant = {n for n, pages, same, _ in rows if n_distinct >= MIN_PAGES and pages >= MIN_PAGES - 1 and same >= CONSTANT_SHARE * pages}
     chars = [0] * len(reference)
     for n, _, _, c in rows:
         chars[n] += c
@@ -379,13 +380,17 @@ def _owned(node: Node) -> bool:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    trees = Trees()
+    trees, templates = Trees(), {}
     for part in slices(batches, "html"):
         texts = []
-        for html, reference, rows in zip(*(part.column(c).to_pylist() for c in ("html", "reference", "rows"))):
+        for host, html, reference, n, rows in zip(*(part.column(c).to_pylist() for c in ("host", "html", "reference", "n_distinct", "rows"))):
             page = parse(html or "")
             known = trees[reference or ""]
-            constant, container = template_of(known, [(r["node"], r["pages"], r["same"], r["chars"]) for r in rows or []])
+            if host not in templates:
+                if len(templates) >= KNOWN_TREES:
+                    templates.clear()
+                templates[host] = template_of(known, [(r["node"], r["pages"], r["same"], r["chars"]) for r in rows or []], n)
+            constant, container = templates[host]
             texts.append(main_text(page, align(page, known), constant, container))
         yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
@@ -395,14 +400,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), url.alias("url"), F.coalesce(host_of(url), F.lit("")).alias("host"),
                         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
-    references = rows.groupBy("host").agg(F.min(F.struct(F.xxhash64("html").alias("h"), "html")).alias("least")).select("host", F.col("least.html").alias("reference"))
-    distinct = rows.select("host", "html").distinct()
-    counted = distinct.join(references, "host").select("host", "html", "reference").mapInArrow(
+    references = rows.groupBy("host").agg(F.min(F.struct(F.xxhash64("html").alias("h"), "html")).alias("least"))
+    distinct = rows.select("host", F.xxhash64("html").alias("h")).distinct().groupBy("host").agg(F.count("*").alias("n_distinct"))
+    references = materialize(references.select("host", F.col("least.html").alias("reference")).join(distinct, "host"), "page-references")
+    bytes_ = references.agg(F.sum(F.octet_length("reference") + F.octet_length("host")).alias("b")).first()["b"] or 0
+
+    def with_host(pages: DataFrame, known: DataFrame) -> DataFrame:
+        # Reference pages up to a measured size go to all tasks, beyond it pages are shuffled to them.
+        return pages.join(F.broadcast(known) if bytes_ <= BROADCAST_BYTES else known, "host", "left")
+
+    counted = with_host(rows.select("host", "html"), references).where("html != reference").select("host", "html", "reference").mapInArrow(
         _statistics, "host string, node int, pages long, same long, chars long")
     counted = counted.groupBy("host", "node").agg(*[F.sum(c).alias(c) for c in ("pages", "same", "chars")])
     templates = counted.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars")).alias("rows"))
-    wrapped = references.join(templates, "host", "left")
-    found = rows.join(wrapped, "host", "left").select("page_id", "url", "html", "reference", "rows")
+    # A host's template has at most one row per element of its reference page.
+    wrapped = materialize(references.join(templates, "host", "left"), "page-templates")
+    found = with_host(rows, wrapped).select("page_id", "url", "host", "html", "reference", "n_distinct", "rows")
     found = found.mapInArrow(_extract, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
