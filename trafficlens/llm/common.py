@@ -14,8 +14,8 @@ __all__ = ["WORD", "documents", "materialize", "mix64", "slices", "table", "text
 
 #: A word, as the contracts give it: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 2 << 20
-HASH_BYTES = 512 << 10
+SLICE_BYTES = 1 << 20
+HASH_BYTES = 256 << 10
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -48,7 +48,16 @@ def powers(base: int, n: int) -> np.ndarray:
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 SIGN_VALUES = mix64(np.arange(256, dtype=np.uint64))
-UP, DOWN = powers(ODD, HASH_BYTES), powers(pow(ODD, -1, 1 << 64), HASH_BYTES)
+_known_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _up_and_down(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers up to a piece's length; made once per task, as functions travel to tasks without them."""
+    if n > HASH_BYTES:
+        return powers(ODD, n), powers(pow(ODD, -1, 1 << 64), n)
+    if HASH_BYTES not in _known_powers:
+        _known_powers[HASH_BYTES] = powers(ODD, HASH_BYTES), powers(pow(ODD, -1, 1 << 64), HASH_BYTES)
+    return _known_powers[HASH_BYTES]
 
 
 def _hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +68,7 @@ def _hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     if not space[0]:
         edges = np.concatenate([[0], edges])
     begin, end = edges[::2], edges[1::2]
-    up, down = (UP, DOWN) if len(signs) <= HASH_BYTES else (powers(ODD, len(signs)), powers(pow(ODD, -1, 1 << 64), len(signs)))
+    up, down = _up_and_down(len(signs))
     with np.errstate(over="ignore"):
         sums = np.concatenate([[np.uint64(0)], np.cumsum(SIGN_VALUES[signs] * up[: len(signs)])])
         value = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(ODD)

@@ -16,7 +16,7 @@ matched positions, and a pair that can reach the threshold lies in a band around
   Links are merged to components. Then, in buckets that still hold several components, each node
   outside the largest one is compared with all nodes of other components. So every pair of a bucket
   is compared or connected already, without listing the pairs of a large group. Such a comparison is
-  left out where 512 parity bits of the two shingle sets differ in more places than the sets may
+  left out where 1024 parity bits of the two shingle sets differ in more places than the sets may
   (each shingle that only one of them holds flips one bit): no similar pair fails that test.
 * Components: least labels along the links with pointer jumping, each round written to the shared
   folder.
@@ -47,7 +47,7 @@ TAKEN = 2
 SIMILARITY = 0.8
 ODD = np.uint64(0x9E3779B97F4A7C15)
 COLUMNS = 4096
-PARITY_BITS = 512
+PARITY_BITS = 1024
 BITS_MIN, BITS_MAX = 1 << 20, 1 << 27
 
 
