@@ -81,9 +81,9 @@ def _cost_of(span, word, model):
 
 
 def test_letter_counts_cover_all_documents(spark):
-    texts = ["Ab ab, x1", None, "ab", "ж ab"]
+    texts = ["Ab ab, x1", None, "ab", "ж— ab", "don't\nŒuvre ʼ a", ""]
     grams = Counter()
-    for w in ["ab", "ab", "ab", "ж", "ab"]:
+    for w in ["ab", "ab", "x", "ab", "ж", "ab", "don", "t", "œuvre", "ʼ", "a"]:
         padded = "^^" + "".join(map(tx.letter, w)) + "$"
         grams.update(padded[i : i + 3] for i in range(len(padded) - 2))
     assert tx.char_model(documents(spark, texts).repartition(3)).tri == grams

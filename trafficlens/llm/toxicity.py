@@ -5,7 +5,7 @@ a letter three or more times in a row, or letters with gaps between them) is a l
 has the letters it may stand for, a repeated letter or a separator may vanish, a gap may be nothing
 or a word boundary. The Viterbi path through the lattice under a trigram character model gives the
 restored word. A word without such signs has one path, itself. The character model counts the
-letters of all words of all documents.
+trigrams in all runs of letters of all documents.
 
 Scores come from a logistic model over the restored words and their beginnings of 4 to 6 letters
 (runs of a letter count once), and over whether a text holds any strong one, whose share of toxic
@@ -228,26 +228,53 @@ class FeatureIds(dict):
         return found
 
 
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams: Counter[str] = Counter()
+#: Codes of letters up to LAST_LETTER are their code points; then one for all other letters, and the end of a run.
+OTHER_CODE, END_CODE = ord(LAST_LETTER) + 1, ord(LAST_LETTER) + 2
+
+
+def _letter_codes(text: str) -> np.ndarray:
+    """Code of each letter of a text, 0 for all other signs."""
+    signs = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    known = np.array([i if chr(i).isalpha() else 0 for i in range(OTHER_CODE)])
+    known[: ord("a")] = 0
+    codes = known[np.minimum(signs, ord(LAST_LETTER))]
+    far = signs > ord(LAST_LETTER)
+    if far.any():
+        letters = [c for c in np.unique(signs[far]).tolist() if chr(c).isalpha()]
+        codes[far] = np.where(np.isin(signs[far], letters), OTHER_CODE, 0)
+    return codes
+
+
+def _gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams (rows of three codes, 0 before a run) of all runs of letters, and their numbers."""
+    codes = np.concatenate([[0, 0], _letter_codes(text), [0]])
+    last, before = codes[1:-1], codes[:-2]
+    # What follows a run of letters is its end; what precedes its second letter is only the first.
+    now = np.where((codes[2:] == 0) & (last > 0), END_CODE, codes[2:])
+    before = np.where(last > 0, before, 0)
+    used = np.flatnonzero(now)
+    # Only the letters at hand, so that the table of all triples stays small.
+    present = np.flatnonzero(np.bincount(now, minlength=END_CODE + 1))
+    present = present if len(present) and present[0] == 0 else np.concatenate([[0], present])
+    place = np.zeros(END_CODE + 1, np.int64)
+    place[present] = np.arange(len(present))
+    size = len(present)
+    a, b, c = place[before[used]], place[last[used]], place[now[used]]
+    counts = np.bincount((a * size + b) * size + c)
+    found = np.flatnonzero(counts)
+    return present[np.stack([found // size**2, found // size % size, found % size], axis=1)], counts[found]
 
-    def add(words: Counter[bytes]) -> None:
-        for word, n in words.items():
-            bare = core(word.decode("utf-8", "replace").lower())
-            if bare.isalpha():
-                padded = "^^" + "".join(map(letter, bare)) + "$"
-                for i in range(len(padded) - 2):
-                    grams[padded[i : i + 3]] += n
 
-    words: Counter[bytes] = Counter()
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    grams: Counter[tuple] = Counter()
     for part in slices(batches):
-        for text in texts_of(part.column("text")):
-            words.update(text.split())
-        if len(words) > CACHE:
-            add(words)
-            words = Counter()
-    add(words)
-    yield pa.RecordBatch.from_pydict({"gram": list(grams), "n": list(grams.values())}, schema=pa.schema([("gram", pa.string()), ("n", pa.int64())]))
+        text = b"\n".join(texts_of(part.column("text"))).decode("utf-8", "replace").lower()
+        codes, counts = _gram_counts(text)
+        for gram, n in zip(map(tuple, codes.tolist()), counts.tolist()):
+            grams[gram] += n
+    signs = {0: "^", OTHER_CODE: OTHER, END_CODE: "$"}
+    names = ["".join(signs.get(c) or chr(c) for c in gram) for gram in grams]
+    yield pa.RecordBatch.from_pydict({"gram": names, "n": list(grams.values())}, schema=pa.schema([("gram", pa.string()), ("n", pa.int64())]))
 
 
 def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
