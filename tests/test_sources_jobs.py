@@ -252,6 +252,28 @@ def test_dirty_numbers_do_not_end_a_run(spark, tmp_path):
     assert done.frames["predictions"].groupBy("model_type").count().count() == 2
 
 
+def test_jobs_leave_no_working_tables(spark, tmp_path, monkeypatch):
+    from trafficlens import session
+
+    place = tmp_path / "work"
+    monkeypatch.setattr(session, "work_dir", lambda spark: str(place))
+    done = jobs.run_batch(spark, session_rows(spark, 80), str(tmp_path / "o"), trees=3, max_depth=2)
+    jobs.run_mode(spark, http_rows(spark), str(tmp_path / "p"), "supervised", encode=["request_method"], trees=3, max_depth=2)
+    assert done.frames["predictions"].count() == 160
+    assert place.exists() and not [p for p in place.iterdir() if not p.name.startswith(".")]
+
+
+def test_working_folder_without_a_setting(spark):
+    from types import SimpleNamespace
+
+    from trafficlens.session import work_dir
+
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: {"spark.checkpoint.dir": "file:///shared/"}.get(key, *default)))
+    assert work_dir(named) == "file:///shared"
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: {"spark.sql.warehouse.dir": "/w/"}.get(key, *default)))
+    assert work_dir(bare) == "/w/_work"
+
+
 def test_hourly_sync(spark, tmp_path):
     rows = [("a", "b", T0 + timedelta(hours=i // 3), 10 + i % 3) for i in range(72)] + [("a", "b", T0 + timedelta(hours=30), 9000)]
     df = spark.createDataFrame(rows, schemas.layout("packets"))

@@ -23,7 +23,7 @@ from trafficlens.operators.features import preprocess
 from trafficlens.operators.monitoring import performance_record
 from trafficlens.operators.sampling import hash_split, sample_rows, split_frames
 from trafficlens.plans.views import DETECTOR, register_views
-from trafficlens.session import materialize
+from trafficlens.session import materialize, scratch
 from trafficlens.sources import writers
 from trafficlens.sources.readers import conform
 from trafficlens.sources.schemas import layout, require_columns
@@ -149,7 +149,8 @@ def run_batch(
     outcome = RunOutcome()
     begun = datetime.now(timezone.utc)
     try:
-        _batch_stages(spark, source, out, label, contamination, with_views, validate, outcome, forest_options)
+        with scratch(spark):
+            _batch_stages(spark, source, out, label, contamination, with_views, validate, outcome, forest_options)
     except Exception as error:
         _record(spark, run_log, "batch", begun, False, outcome, str(error))
         raise
@@ -257,10 +258,11 @@ def run_mode(
         if traffic.isEmpty():
             raise ValueError("no input rows")
         outcome.steps.append("ingest")
-        ready = _stored(preprocess(sanitized(traffic), encode=encode), f"{out}/preprocessed")
-        outcome.steps.append("preprocessing")
-        stage = _supervised if mode == "supervised" else _unsupervised
-        stage(spark, ready, out, outcome, history, options)
+        with scratch(spark):
+            ready = _stored(preprocess(sanitized(traffic), encode=encode), f"{out}/preprocessed")
+            outcome.steps.append("preprocessing")
+            stage = _supervised if mode == "supervised" else _unsupervised
+            stage(spark, ready, out, outcome, history, options)
     except Exception as error:
         _record(spark, run_log, mode, begun, False, outcome, str(error))
         raise

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +43,6 @@ def work_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-        spark.conf.set(CHECKPOINT_CONF, folder)
     return folder.rstrip("/")
 
 
@@ -53,10 +54,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for made in _open_scratch:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_open_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that :func:`materialize` writes inside the block, when it ends.
+
+    For jobs whose results are stored elsewhere; a frame that still reads such a table cannot
+    be used afterwards.
+    """
+    made: list[str] = []
+    _open_scratch.append(made)
+    try:
+        yield
+    finally:
+        # By identity: two blocks may hold equal lists.
+        _open_scratch[:] = [x for x in _open_scratch if x is not made]
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; larger inputs keep Spark's own join choice.
 
