@@ -6,15 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trafficlens.session import materialize, work_dir
-
-__all__ = ["WORD", "documents", "materialize", "mix64", "slices", "table", "texts_of", "word_hashes", "work_dir"]
+from trafficlens.session import materialize  # noqa: F401  (for the operators)
 
 #: A word, as the contracts give it: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
+#: A null id stands after all others.
+LAST = 2**63 - 1
 HASH_BYTES = 256 << 10
 ODD = 0x9E3779B97F4A7C15
 
@@ -101,7 +102,7 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each part holds some megabytes of text, or one row."""
+    """Cut batches so that each part holds about a megabyte of text, or one row."""
     for batch in batches:
         lengths = [0 if v is None else v for v in pa.compute.binary_length(batch.column(text)).to_pylist()]
         begun, total = 0, 0
@@ -112,3 +113,24 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             total += n
         if begun < batch.num_rows:
             yield batch.slice(begun)
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, row, text): the id, null ids last, and a hash of id and text that tells rows of one id apart."""
+    doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
+    return docs.select(doc.alias("doc"), F.xxhash64(doc, F.col(f"`{text_col}`")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+
+
+def bit_table(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
+    """One bit per key modulo ``bits``; collected as at most bits/64 words."""
+    slot = key.bitwiseAND(F.lit(bits - 1))
+    words = keys.select(slot.alias("slot")).selectExpr("slot >> 6 AS w", "shiftleft(1L, cast(slot & 63 AS int)) AS b")
+    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    table = np.zeros(bits >> 6, np.int64)
+    table[rows["w"].to_numpy()] = rows["b"].to_numpy()
+    return table.view(np.uint64)
+
+
+def has_bit(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys & np.uint64(len(table) * 64 - 1)
+    return ((table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)

@@ -37,8 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.llm.common import documents, materialize, mix64, slices, texts_of, word_hashes
-from trafficlens.llm.repeats import _bit_table, _has, _keyed
+from trafficlens.llm.common import LAST, bit_table, documents, has_bit, keyed_texts, materialize, mix64, slices, texts_of, word_hashes
 
 SHINGLE = 5
 BANDS = 24
@@ -141,7 +140,7 @@ def _sequences(size: int, shared):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             rows = part.column("row").to_numpy(zero_copy_only=False)
-            at = np.flatnonzero(_has(shared.value, rows.astype(np.int64).view(np.uint64)))
+            at = np.flatnonzero(has_bit(shared.value, rows.astype(np.int64).view(np.uint64)))
             if not len(at):
                 continue
             chosen = part.take(pa.array(at))
@@ -200,7 +199,7 @@ def _verified(pairs: DataFrame, keyed: DataFrame, size: int, similarity: float,
     bits = BITS_MIN
     while bits < BITS_MAX and bits < 32 * pairs.count():
         bits *= 2
-    shared = spark.sparkContext.broadcast(_bit_table(ends, F.col("row"), bits))
+    shared = spark.sparkContext.broadcast(bit_table(ends, F.col("row"), bits))
     texts = keyed.mapInArrow(_sequences(size, shared), "doc long, row long, shingles binary").dropDuplicates(["doc", "row"])
     texts = materialize(texts.select(F.struct("doc", "row").alias("node"), "shingles"), f"near-texts-{tag}")
     met = (
@@ -230,7 +229,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc, row, class): every row with the least (id, row hash) of its class; ``row`` is xxhash64 of id and text."""
     tag = uuid.uuid4().hex[:8]
-    keyed = _keyed(docs, id_col, text_col)
+    keyed = keyed_texts(docs, id_col, text_col)
     sketched = materialize(keyed.select("doc", "row", "text").mapInArrow(
         _sketcher(size, bands, rows), "doc long, row long, h1 long, h2 long, n int, bands array<long>, parity array<long>"), f"near-sketch-{tag}")
     full = sketched.where("h1 IS NOT NULL")
@@ -275,7 +274,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The documents without all but the first (by id) of each class of near duplicates."""
     kept = near_duplicates(docs, id_col, text_col, **settings).where("class.doc = doc AND class.row = row").select("doc", "row").distinct()
-    doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1))
+    doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
     rows = docs.select(doc.alias("_doc"), F.xxhash64(doc, F.col(f"`{text_col}`")).alias("_row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"))
     joined = rows.join(kept.withColumnsRenamed({"doc": "_doc", "row": "_row"}), ["_doc", "_row"])
     return joined.dropDuplicates(["_doc", "_row"]).select("_all.*")

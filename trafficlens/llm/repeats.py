@@ -31,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.llm.common import documents, materialize, mix64, powers, slices, texts_of, word_hashes
+from trafficlens.llm.common import LAST, bit_table, documents, has_bit, keyed_texts, materialize, mix64, powers, slices, texts_of, word_hashes
 
 WINDOW = 20
 ANCHOR = 8
@@ -43,7 +43,6 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 FLUSH_ROWS = 400_000
 BITS_MIN, BITS_MAX, BITS_PER_PATH = 1 << 20, 1 << 28, 16
-LAST = 2**63 - 1
 
 
 class Paths:
@@ -120,21 +119,6 @@ def _first_paths(window: int, anchor: int):
     return scan
 
 
-def _bit_table(keys: DataFrame, key: Column, bits: int) -> np.ndarray:
-    """One bit per key modulo ``bits``; collected as at most bits/64 words."""
-    slot = key.bitwiseAND(F.lit(bits - 1))
-    words = keys.select(slot.alias("slot")).selectExpr("slot >> 6 AS w", "shiftleft(1L, cast(slot & 63 AS int)) AS b")
-    rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    table = np.zeros(bits >> 6, np.int64)
-    table[rows["w"].to_numpy()] = rows["b"].to_numpy()
-    return table.view(np.uint64)
-
-
-def _has(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = keys & np.uint64(len(table) * 64 - 1)
-    return ((table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
-
-
 OCCURRENCES = "anchor long, span long, doc long, row long, start int, n int, windows array<long>"
 
 
@@ -147,10 +131,10 @@ def _occurrences(window: int, anchor: int, shared):
             paths = Paths(texts_of(part.column("text")), window, anchor)
             if not len(paths.doc):
                 continue
-            keep = np.flatnonzero(_has(path_bits, paths.anchor ^ paths.span))
+            keep = np.flatnonzero(has_bit(path_bits, paths.anchor ^ paths.span))
             if not len(keep):
                 continue
-            branching = _has(branch_bits, paths.anchor[keep])
+            branching = has_bit(branch_bits, paths.anchor[keep])
             offsets, values = paths.windows(keep[branching])
             lengths = np.zeros(len(keep), np.int64)
             lengths[branching] = np.diff(offsets)
@@ -167,17 +151,12 @@ def _occurrences(window: int, anchor: int, shared):
     return scan
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
-    return docs.select(doc.alias("doc"), F.xxhash64(doc, F.col(f"`{text_col}`")).alias("row"), F.col(f"`{text_col}`").alias("text"))
-
-
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc, row, start, n): n windows from ``start`` on that occur earlier. ``row`` tells rows of one id apart."""
     if not 0 < anchor <= window:
         raise ValueError(f"an anchor of {anchor} words does not fit into a window of {window}")
-    spark, keyed = docs.sparkSession, _keyed(docs, id_col, text_col)
+    spark, keyed = docs.sparkSession, keyed_texts(docs, id_col, text_col)
     tag = uuid.uuid4().hex[:8]
     local = keyed.select("doc", "text").mapInArrow(_first_paths(window, anchor), "anchor long, span long, doc long, start int, n long")
     paths = (
@@ -195,8 +174,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     while bits < BITS_MAX and bits < BITS_PER_PATH * known.count():
         bits *= 2
     shared = spark.sparkContext.broadcast((
-        _bit_table(known, F.col("anchor").bitwiseXOR(F.col("span")), bits),
-        _bit_table(known.where("branch"), F.col("anchor"), bits),
+        bit_table(known, F.col("anchor").bitwiseXOR(F.col("span")), bits),
+        bit_table(known.where("branch"), F.col("anchor"), bits),
     ))
     found = keyed.mapInArrow(_occurrences(window, anchor, shared), OCCURRENCES).join(known, ["anchor", "span"])
     is_first = (F.col("doc") == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
