@@ -101,3 +101,40 @@ def test_alignment_is_the_largest(seed):
         assert a[x].key == b[y].key and (x == 0 or mapping[a[x].parent.number] == b[y].parent.number)
     ordered = sorted(mapping.items())
     assert [y for _, y in ordered] == sorted(y for _, y in ordered)
+
+
+def test_long_child_lists_are_aligned_between_their_ends():
+    # 600 siblings, and template blocks at places that shift from page to page.
+    def page(shift):
+        blocks = ["<p>x</p>"] * 600
+        for k in range(8):
+            blocks.insert(40 + 70 * k + (shift * (k + 1)) % 9, f"<div class=hint{'abcdefgh'[k]}>{'<b>x</b>' * 12}</div>")
+        return w.parse("<div>" + "<h2>x</h2>" * (shift % 3) + "".join(blocks) + "<h3>x</h3>" * (shift % 2) + "</div>")
+
+    a, b = page(1), page(6)
+    mapping = w.align(a, b)
+    hints = [n for n in a if "hint" in n.key]
+    assert len(hints) == 8 and all(n.number in mapping and b[mapping[n.number]].key == n.key for n in hints)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_long_lists_are_matched_as_short_ones(seed):
+    r = random.Random(seed)
+    left, right = ([r.randrange(5) for _ in range(r.randrange(1, 90))] for _ in range(2))
+
+    def gain(x, y):
+        return 0 if x % 2 != y % 2 else 1 + min(x, y)
+
+    short, long = w._largest(left, right, gain), w._largest_of_long(left, right, gain)
+    assert sum(gain(left[i], right[j]) for i, j in short) == sum(gain(left[i], right[j]) for i, j in long)
+    assert short == long
+
+
+def test_template_blocks_shift_inside_a_long_article(spark):
+    def page(k):
+        blocks = [f"<p>par {i} of {k}</p>" for i in range(600)]
+        blocks.insert(200 + k, f"<div class=hint>Read this in our app now{'<b>!</b>' * 12}</div>")
+        return f"<div class=head{'abcdef'[k]}>top {k}</div><article>" + f"<h2>h {k}</h2>" * (k % 2) + "".join(blocks) + f"<ul><li>end {k}</ul></article>"
+
+    for text in texts(spark, [(k, f"http://h.example/{k}", page(k)) for k in range(6)]).values():
+        assert "our app" not in text and text.count("par ") == 600

@@ -20,11 +20,13 @@ no part; repeated rows give a row each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +39,7 @@ MIN_PAGES = 4
 CONTAINER_SHARE = 0.9
 KNOWN_TREES = 64
 BROADCAST_BYTES = 16 << 20
-#: Largest number of cells of one matching of two child lists; longer lists are matched from both ends.
+#: Beyond so many cells two child lists are matched without keeping the whole table.
 CELLS = 200_000
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -169,89 +171,176 @@ def parse(html: str) -> list[Node]:
 
 def align(page: list[Node], reference: list[Node]) -> dict[int, int]:
     """Simple tree matching: page element -> reference element."""
-    sizes: dict[tuple[int, int], tuple[int, list[tuple[Node, Node]]]] = {}
-
-    def match(a: Node, b: Node) -> int:
-        if a.key != b.key:
-            return 0
-        found = sizes.get((a.number, b.number))
-        if found is None:
-            found = sizes[a.number, b.number] = _match_children(a.children, b.children, match)
-        return found[0] + 1
-
-    # Depth-first without recursion limits: children are matched before their parents.
-    for level in _levels(page, reference):
-        for a, b in level:
-            match(a, b)
-    mapping, open_ = {}, [(page[0], reference[0])]
+    # Parents map to parents, so only elements on a path of keys that both trees have can be mapped.
+    known: dict[tuple[int, str], int] = {}
+    there = _path_numbers(reference, known, True)
+    here = _path_numbers(page, known, False)
+    met = set(here)
+    shapes = Shapes()
+    left = shapes.of(page, [p >= 0 for p in here])
+    right = shapes.of(reference, [p in met for p in there])
+    shapes.match(left[0][0], right[0][0])
+    mapping, open_ = {}, [(0, 0)]
     while open_:
         a, b = open_.pop()
-        mapping[a.number] = b.number
-        open_ += sizes[a.number, b.number][1]
+        mapping[a] = b
+        x, y = left[a], right[b]
+        pairs = zip(x[1], y[1]) if x[0] == y[0] else ((x[1][i], y[1][j]) for i, j in shapes.found[x[0], y[0]][1])
+        open_ += pairs
     return mapping
 
 
-def _levels(page: list[Node], reference: list[Node]) -> list[list[tuple[Node, Node]]]:
-    """Pairs of elements that may be matched, the deepest first."""
-    levels, now = [], [(page[0], reference[0])]
-    while now:
-        levels.append(now)
-        now = [(x, y) for a, b in now for x, y in _comparable(a.children, b.children) if x.children or y.children]
-    return levels[::-1]
-
-
-def _comparable(left: list[Node], right: list[Node]) -> Iterator[tuple[Node, Node]]:
-    if len(left) * len(right) > CELLS:
-        yield from (p for p in _from_ends(left, right) if p[0].key == p[1].key)
-        return
-    by_key: dict[str, list[Node]] = {}
-    for y in right:
-        by_key.setdefault(y.key, []).append(y)
-    for x in left:
-        for y in by_key.get(x.key, ()):
-            yield x, y
-
-
-def _from_ends(left: list[Node], right: list[Node]) -> list[tuple[Node, Node]]:
-    """For very long lists: the equal run from the front and the one from the back."""
-    n = min(len(left), len(right))
+def _path_numbers(nodes: list[Node], known: dict[tuple[int, str], int], grow: bool) -> list[int]:
+    """A number per path of keys from the root; -1 for one that is not known."""
+    numbers: list[int] = []
+    for node in nodes:
+        path = (numbers[node.parent.number] if node.parent else -2, node.key)
+        numbers.append(known.setdefault(path, len(known)) if grow else known.get(path, -1))
+    return numbers
+
+
+class Shapes:
+    """Trees by their keys alone: equal trees share a number, so a pair of shapes is matched once."""
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.keys: list[str] = []
+        self.children: list[tuple[int, ...]] = []
+        self.sizes: list[int] = []
+        #: Of two unequal shapes with one key: the size of their matching, and the pairs of children.
+        self.found: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+
+    def of(self, nodes: list[Node], kept: list[bool]) -> list[tuple[int, list[int]]]:
+        """Shape and children of every kept element."""
+        out: list = [None] * len(nodes)
+        for node in reversed(nodes):
+            if not kept[node.number]:
+                continue
+            inner = [c.number for c in node.children if kept[c.number]]
+            children = tuple([out[c][0] for c in inner])
+            number = self.numbers.setdefault((node.key, children), len(self.keys))
+            if number == len(self.keys):
+                self.keys.append(node.key)
+                self.children.append(children)
+                self.sizes.append(1 + sum(self.sizes[c] for c in children))
+            out[node.number] = number, inner
+        return out
+
+    def gain(self, a: int, b: int) -> int:
+        if a == b:
+            return self.sizes[a]
+        return self.found[a, b][0] if self.keys[a] == self.keys[b] else 0
+
+    def match(self, a: int, b: int) -> None:
+        # Depth-first without recursion: children are matched before their parents.
+        open_ = [(a, b, False)]
+        while open_:
+            a, b, ready = open_.pop()
+            if a == b or (a, b) in self.found:
+                continue
+            x, y = self.children[a], self.children[b]
+            front, back = _equal_ends(x, y)
+            if ready:
+                self.found[a, b] = self._match_children(x, y, front, back)
+                continue
+            open_.append((a, b, True))
+            by_key: dict[str, list[int]] = {}
+            for d in set(y[front:len(y) - back]):
+                by_key.setdefault(self.keys[d], []).append(d)
+            for c in set(x[front:len(x) - back]):
+                open_ += [(c, d, False) for d in by_key.get(self.keys[c], ()) if c != d and (c, d) not in self.found]
+
+    def _match_children(self, x: tuple[int, ...], y: tuple[int, ...], front: int, back: int) -> tuple[int, list[tuple[int, int]]]:
+        # Equal children at both ends belong to a largest matching; so do none without a partner's key.
+        keys = self.keys
+        names = {keys[d] for d in y[front:len(y) - back]}
+        rows = [i for i in range(front, len(x) - back) if keys[x[i]] in names]
+        names = {keys[x[i]] for i in rows}
+        columns = [j for j in range(front, len(y) - back) if keys[y[j]] in names]
+        pairs = [(i, i) for i in range(front)]
+        if rows:
+            largest = _largest if len(rows) * len(columns) <= CELLS else _largest_of_long
+            pairs += [(rows[i], columns[j]) for i, j in largest([x[i] for i in rows], [y[j] for j in columns], self.gain)]
+        pairs += [(len(x) - k, len(y) - k) for k in range(back, 0, -1)]
+        return 1 + sum(self.gain(x[i], y[j]) for i, j in pairs), pairs
+
+
+def _equal_ends(x: tuple[int, ...], y: tuple[int, ...]) -> tuple[int, int]:
+    """Lengths of the equal run from the front and of the one from the back."""
+    n = min(len(x), len(y))
     front = 0
-    while front < n and left[front].key == right[front].key:
+    while front < n and x[front] == y[front]:
         front += 1
     back = 0
-    while back < n - front and left[-1 - back].key == right[-1 - back].key:
+    while back < n - front and x[-1 - back] == y[-1 - back]:
         back += 1
-    return list(zip(left[:front], right[:front])) + (list(zip(left[-back:], right[-back:])) if back else [])
+    return front, back
 
 
-def _match_children(left: list[Node], right: list[Node], match) -> tuple[int, list[tuple[Node, Node]]]:
-    if not left or not right:
-        return 0, []
-    if len(left) * len(right) > CELLS:
-        pairs = _from_ends(left, right)
-        return sum(match(x, y) for x, y in pairs), pairs
-    table = [[0] * (len(right) + 1)]
-    gains = []
+def _largest(left: list[int], right: list[int], gain) -> list[tuple[int, int]]:
+    """The order-preserving pairs with the largest sum of gains."""
+    table, gains = [[0] * (len(right) + 1)], []
+    by_shape: dict[int, list[int]] = {}
     for x in left:
-        above, row, gain = table[-1], [0], []
-        for j, y in enumerate(right):
-            g = match(x, y) if x.key == y.key else 0
-            gain.append(g)
-            row.append(max(above[j + 1], row[j], above[j] + g if g else 0))
+        row_gains = by_shape.get(x)
+        if row_gains is None:
+            row_gains = by_shape[x] = [gain(x, y) for y in right]
+        above, row, last = table[-1], [0], 0
+        for j, g in enumerate(row_gains):
+            last = max(above[j + 1], last, above[j] + g)
+            row.append(last)
         table.append(row)
-        gains.append(gain)
+        gains.append(row_gains)
     pairs, i, j = [], len(left), len(right)
     while i and j:
-        g = gains[i - 1][j - 1]
         # From the front on equal sizes: a match is left out only if it is not needed.
         if table[i][j] == table[i - 1][j]:
             i -= 1
         elif table[i][j] == table[i][j - 1]:
             j -= 1
-        elif g:
-            pairs.append((left[i - 1], right[j - 1]))
+        else:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+    return pairs[::-1]
+
+
+def _largest_of_long(left: list[int], right: list[int], gain) -> list[tuple[int, int]]:
+    """The same for long lists: every k-th row of the table is kept, those between are made again on the way back."""
+    distinct, column = np.unique(np.array(right), return_inverse=True)
+    shapes = distinct.tolist()
+    by_shape: dict[int, np.ndarray] = {}
+
+    def row_after(above: np.ndarray, x: int) -> np.ndarray:
+        if x not in by_shape:
+            by_shape[x] = np.array([gain(x, y) for y in shapes], np.int32)
+        row = np.zeros_like(above)
+        np.maximum(above[1:], above[:-1] + by_shape[x][column], out=row[1:])
+        return np.maximum.accumulate(row, out=row)
+
+    step = max(1, math.isqrt(len(left)))
+    row = np.zeros(len(right) + 1, np.int32)
+    kept = [row]
+    for i, x in enumerate(left, 1):
+        row = row_after(row, x)
+        if i % step == 0:
+            kept.append(row)
+    pairs, i, j, rows, begun = [], len(left), len(right), [], len(left) + 1
+    while i and j:
+        if i - 1 < begun:
+            begun = (i - 1) // step * step
+            rows = [kept[begun // step]]
+            for x in left[begun:i]:
+                rows.append(row_after(rows[-1], x))
+        row, above = rows[i - begun], rows[i - begun - 1]
+        if row[j] == above[j]:
+            i -= 1
+        elif row[j] == row[j - 1]:
+            # Left to the first column of this size.
+            j = int(np.searchsorted(row, row[j]))
+        else:
             i, j = i - 1, j - 1
-    return table[-1][-1], pairs[::-1]
+            pairs.append((i, j))
+    return pairs[::-1]
 
 
 class Trees(dict):
