@@ -138,3 +138,22 @@ def test_template_blocks_shift_inside_a_long_article(spark):
 
     for text in texts(spark, [(k, f"http://h.example/{k}", page(k)) for k in range(6)]).values():
         assert "our app" not in text and text.count("par ") == 600
+
+
+def test_blocks_that_one_page_lacks_and_other_layouts_are_template(spark):
+    one = "<body><div class=top>Menu of {k}</div><div class=text>{hint}<p>One {k} goes on and on for {k} lines</p></div><p class=end>Made by us</p></body>"
+    two = "<body><section class=wide><div class=lead>Our second look</div><p>Two {k} is a story of {k}</p></section></body>"
+    hint = "<div class=hint>Read this in our app now</div>"
+    rows = [(0, "http://h.example/", None), (1, "http://h.example/1", "<body></body>")]
+    rows += [(k, f"http://h.example/{k}", one.format(k=f"n{k}", hint=hint if k % 4 else "")) for k in range(10, 20)]
+    rows += [(k, f"http://h.example/{k}", two.format(k=f"n{k}")) for k in range(20, 28)]
+    for k, text in texts(spark, rows).items():
+        assert "our app" not in text and "Made by" not in text and "second look" not in text
+        assert k < 10 or f"n{k}" in text
+
+
+def test_near_copies_are_not_template(spark):
+    html = "<body><article><h1>One</h1><p>and the same</p><p>part {k}</p></article></body>"
+    rows = [(k, f"http://h.example/{k}", html.format(k=k)) for k in range(3)] + [(k, f"http://h.example/{k}", f"<body><article><h1>T{k}</h1><p>other {k}</p></article></body>") for k in (7, 8)]
+    for k, text in texts(spark, rows * 3).items():
+        assert text == (f"One and the same part {k}" if k < 3 else f"T{k} other {k}")

@@ -1,11 +1,16 @@
 """Main text of web pages by wrapper induction.
 
 Pages become trees of elements. The pages of a host are aligned with one of them, the page of least
-hash, by simple tree matching: the largest order-preserving mapping between the trees in which
+hash among those of at least the median length of the host's distinct pages that are not empty, by
+simple tree matching: the largest order-preserving mapping between the trees in which
 parents map to parents and elements agree in name and class. Over all pages of the host other than
 copies of the reference, a block whose text is nearly always that of the reference is template (on
-hosts with some distinct pages), all other text fills a slot. The slots' text, added up the reference tree, shows the container of the content: the
-article or main element of a page, else the deepest container that holds nearly all slot text.
+hosts with some distinct pages). So is a text that nearly all of the host's distinct pages with a path
+of keys have in a block at this path, whether the reference has the block or not; with it blocks are
+found that the reference lacks, and those of other layouts. All other text fills a slot. The slots'
+text, added up the reference tree, shows the container of the content: the article or main element of
+a page, else the deepest container that holds nearly all slot text, by the page's own tree where the
+container of the reference is not aligned.
 
 A page's main text are the blocks in that container, without template text and without elements
 that are boilerplate by their name, class, id or role (menus, headers, footers, sidebars, notices,
@@ -24,6 +29,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import numpy as np
@@ -33,11 +39,13 @@ from pyspark.sql import functions as F
 
 from trafficlens.llm.common import materialize, slices, table
 from trafficlens.llm.url_rules import host_of
+from trafficlens.session import broadcast_if_small
 
 CONSTANT_SHARE = 0.8
 MIN_PAGES = 4
 CONTAINER_SHARE = 0.9
 KNOWN_TREES = 64
+KNOWN_PATHS = 100_000
 BROADCAST_BYTES = 16 << 20
 #: Beyond so many cells two child lists are matched without keeping the whole table.
 CELLS = 200_000
@@ -353,17 +361,54 @@ class Trees(dict):
         return value
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+class Paths(dict):
+    """Hashes of paths of keys from the root, by the hash of the parent's path and a key."""
+
+    def __missing__(self, path: tuple[int, str]) -> int:
+        if len(self) >= KNOWN_PATHS:
+            self.clear()
+        value = self[path] = _hash(f"{path[0]} {path[1]}")
+        return value
+
+    def of(self, nodes: list[Node]) -> list[int]:
+        out: list[int] = []
+        for node in nodes:
+            out.append(self[out[node.parent.number] if node.parent else 0, node.key])
+        return out
+
+
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and reference element: pages aligned, with the same text, and characters of slots."""
-    trees, counts, same, chars = Trees(), Counter(), Counter(), Counter()
+    """Per host and reference element: pages aligned, with the same text, and characters of slots.
+
+    Rows without a node name a page's paths of blocks (text null) and the texts at them.
+    """
+    trees, paths, counts, same, chars, read = Trees(), Paths(), Counter(), Counter(), Counter(), set()
     for part in slices(batches, "html"):
-        for host, html, reference in zip(*(part.column(c).to_pylist() for c in ("host", "html", "reference"))):
+        found: set[tuple[str, int, int | None, int]] = set()
+        for host, html, reference, h in zip(*(part.column(c).to_pylist() for c in ("host", "html", "reference", "h"))):
+            is_reference = html == reference
+            if is_reference and host in read:
+                continue
             page, known = parse(html or ""), trees[reference]
-            mapping = align(page, known)
+            if is_reference:
+                read.add(host)
+            mapping = {} if is_reference else align(page, known)
+            path_of = paths.of(page)
             for node in page:
                 text = "" if node.tag in INLINE else node.own_text()
                 if not text:
                     continue
+                dropped = _dropped(node)
+                if not dropped:
+                    path = path_of[node.number]
+                    found.add((host, path, None, h))
+                    found.add((host, path, _hash(text), h))
+                if is_reference:
+                    continue
                 at = node
                 while at.number not in mapping:
                     at = at.parent
@@ -373,13 +418,21 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if text == known[mapping[at.number]].own_text():
                         same[key] += 1
                         continue
-                if not _dropped(node):
+                if not dropped:
                     chars[key] += len(text)
+        hosts, path, text, h = zip(*found) if found else ((), (), (), ())
+        none = pa.nulls(len(found), pa.int64())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(hosts, pa.string()), pa.nulls(len(found), pa.int32()), *[pa.array(c, pa.int64()) for c in (path, text, h)], none, none, none], names=COUNTS)
     keys = list(counts.keys() | chars.keys())
+    none = pa.nulls(len(keys), pa.int64())
     yield pa.RecordBatch.from_arrays([
-        pa.array([h for h, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int32()),
+        pa.array([h for h, _ in keys], pa.string()), pa.array([n for _, n in keys], pa.int32()), none, none, none,
         *[pa.array([c[k] for k in keys], pa.int64()) for c in (counts, same, chars)],
-    ], names=["host", "node", "pages", "same", "chars"])
+    ], names=COUNTS)
+
+
+COUNTS = ["host", "node", "path", "text", "h", "pages", "same", "chars"]
 
 
 def _dropped(node: Node) -> bool:
@@ -406,17 +459,23 @@ def template_of(reference: list[Node], rows: list[tuple[int, int, int, int]], n_
     chars = [0] * len(reference)
     for n, _, _, c in rows:
         chars[n] += c
-    for node in reversed(reference[1:]):
+    return constant, _container(reference, chars).number
+
+
+def _container(nodes: list[Node], chars: list[int]) -> Node:
+    """The deepest container with nearly all of the characters, given by element."""
+    for node in reversed(nodes[1:]):
         chars[node.parent.number] += chars[node.number]
-    at = reference[0]
+    at = nodes[0]
     while True:
         inner = [c for c in at.children if chars[c.number] >= CONTAINER_SHARE * max(1, chars[0]) and c.tag in CONTAINERS]
         if not inner:
-            return constant, at.number
+            return at
         at = inner[0]
 
 
-def main_text(page: list[Node], mapping: dict[int, int], constant: set[int], container: int) -> str:
+def main_text(page: list[Node], mapping: dict[int, int], constant: set[int], container: int, recurring: frozenset[int] | set[int] = frozenset()) -> str:
+    """``constant``: elements of the reference, ``recurring``: elements of the page that are template."""
     articles = [n for n in page if (n.tag in ("article", "main") or n.role == "main") and not _dropped(n)]
     tops = []
     for n in articles:
@@ -426,7 +485,10 @@ def main_text(page: list[Node], mapping: dict[int, int], constant: set[int], con
         if up is None:
             tops.append(n)
     if not tops:
-        tops = [n for n in page if mapping.get(n.number) == container] or page[:1]
+        tops = [n for n in page if mapping.get(n.number) == container]
+    if not tops:
+        slots = [n.tag not in INLINE and n.number not in recurring and mapping.get(n.number) not in constant and not _dropped(n) for n in page]
+        tops = [_container(page, [len(n.own_text()) if slot else 0 for n, slot in zip(page, slots)])]
     out: list[str] = []
 
     def walk(top: Node) -> None:
@@ -440,7 +502,7 @@ def main_text(page: list[Node], mapping: dict[int, int], constant: set[int], con
                 out.append(" ")
                 continue
             block = x.tag not in INLINE
-            fixed = block and mapping.get(x.number) in constant
+            fixed = block and (mapping.get(x.number) in constant or x.number in recurring)
             header = x.tag == "header"
             items: list = [] if not block else [" "]
             for item in x.items:
@@ -469,18 +531,23 @@ def _owned(node: Node) -> bool:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    trees, templates = Trees(), {}
+    trees, paths, templates = Trees(), Paths(), {}
     for part in slices(batches, "html"):
         texts = []
-        for host, html, reference, n, rows in zip(*(part.column(c).to_pylist() for c in ("host", "html", "reference", "n_distinct", "rows"))):
+        for host, html, reference, n, rows, known_texts in zip(*(part.column(c).to_pylist() for c in ("host", "html", "reference", "n_distinct", "rows", "texts"))):
             page = parse(html or "")
             known = trees[reference or ""]
             if host not in templates:
                 if len(templates) >= KNOWN_TREES:
                     templates.clear()
-                templates[host] = template_of(known, [(r["node"], r["pages"], r["same"], r["chars"]) for r in rows or []], n)
-            constant, container = templates[host]
-            texts.append(main_text(page, align(page, known), constant, container))
+                at_paths: dict[int, set[int]] = {}
+                for r in known_texts or []:
+                    at_paths.setdefault(r["path"], set()).add(r["text"])
+                templates[host] = *template_of(known, [(r["node"], r["pages"], r["same"], r["chars"]) for r in rows or []], n), at_paths
+            constant, container, at_paths = templates[host]
+            path_of = paths.of(page) if at_paths else []
+            recurring = {n for n, p in enumerate(path_of) if p in at_paths and page[n].tag not in INLINE and _hash(page[n].own_text()) in at_paths[p]}
+            texts.append(main_text(page, align(page, known), constant, container, recurring))
         yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
@@ -489,22 +556,34 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), url.alias("url"), F.coalesce(host_of(url), F.lit("")).alias("host"),
                         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
-    references = rows.groupBy("host").agg(F.min(F.struct(F.xxhash64("html").alias("h"), "html")).alias("least"))
-    distinct = rows.select("host", F.xxhash64("html").alias("h")).distinct().groupBy("host").agg(F.count("*").alias("n_distinct"))
-    references = materialize(references.select("host", F.col("least.html").alias("reference")).join(distinct, "host"), "page-references")
+    rows = rows.withColumn("h", F.xxhash64("html"))
+    length = F.octet_length("html")
+    distinct = rows.select("host", "h", length.alias("length")).distinct().groupBy("host").agg(
+        F.count("*").alias("n_distinct"), F.percentile_approx(F.when(F.col("length") > 0, F.col("length")), 0.5).alias("usual"))
+    distinct = broadcast_if_small(materialize(distinct, "page-hosts"))
+    # An empty or stub page shows no template, so the shorter half of a host's pages is no reference.
+    fit = rows.join(distinct, "host").where(length >= F.coalesce("usual", F.lit(0)))
+    references = fit.groupBy("host").agg(F.min(F.struct("h", "html")).alias("least"))
+    references = materialize(references.select("host", F.col("least.html").alias("reference")).join(distinct.drop("usual"), "host"), "page-references")
     bytes_ = references.agg(F.sum(F.octet_length("reference") + F.octet_length("host")).alias("b")).first()["b"] or 0
 
     def with_host(pages: DataFrame, known: DataFrame) -> DataFrame:
         # Reference pages up to a measured size go to all tasks, beyond it pages are shuffled to them.
         return pages.join(F.broadcast(known) if bytes_ <= BROADCAST_BYTES else known, "host", "left")
 
-    counted = with_host(rows.select("host", "html"), references).where("html != reference").select("host", "html", "reference").mapInArrow(
-        _statistics, "host string, node int, pages long, same long, chars long")
-    counted = counted.groupBy("host", "node").agg(*[F.sum(c).alias(c) for c in ("pages", "same", "chars")])
-    templates = counted.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars")).alias("rows"))
-    # A host's template has at most one row per element of its reference page.
-    wrapped = materialize(references.join(templates, "host", "left"), "page-templates")
-    found = with_host(rows, wrapped).select("page_id", "url", "host", "html", "reference", "n_distinct", "rows")
+    counted = with_host(rows.select("host", "html", "h"), references).select("host", "html", "reference", "h").mapInArrow(
+        _statistics, "host string, node int, path long, text long, h long, pages long, same long, chars long")
+    # Copies of a page are one page for the texts at paths.
+    sums = [F.sum(c).alias(c) for c in ("pages", "same", "chars")]
+    counted = counted.groupBy("host", "node", "path", "text", "h").agg(*sums).groupBy("host", "node", "path", "text").agg(F.count("*").alias("on"), *sums)
+    counted = materialize(counted.where(F.col("node").isNotNull() | (F.col("on") >= MIN_PAGES)), "page-counts")
+    templates = counted.where("node IS NOT NULL").groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars")).alias("rows"))
+    at_path = counted.where("node IS NULL AND text IS NULL").select("host", "path", F.col("on").alias("of"))
+    texts = counted.where("text IS NOT NULL").join(at_path, ["host", "path"]).where(F.col("on") - 1 >= CONSTANT_SHARE * (F.col("of") - 1))
+    texts = texts.groupBy("host").agg(F.collect_list(F.struct("path", "text")).alias("texts"))
+    # A host's template has at most one row per element of its reference page, and few texts per path.
+    wrapped = materialize(references.join(templates, "host", "left").join(texts, "host", "left"), "page-templates")
+    found = with_host(rows, wrapped).select("page_id", "url", "host", "html", "reference", "n_distinct", "rows", "texts")
     found = found.mapInArrow(_extract, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
