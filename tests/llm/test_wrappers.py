@@ -157,3 +157,18 @@ def test_near_copies_are_not_template(spark):
     rows = [(k, f"http://h.example/{k}", html.format(k=k)) for k in range(3)] + [(k, f"http://h.example/{k}", f"<body><article><h1>T{k}</h1><p>other {k}</p></article></body>") for k in (7, 8)]
     for k, text in texts(spark, rows * 3).items():
         assert text == (f"One and the same part {k}" if k < 3 else f"T{k} other {k}")
+
+
+@pytest.mark.parametrize("n", [2, 3])
+def test_hosts_of_few_pages_have_template(spark, n):
+    html = "<body><article><h1>Head {k}</h1><div class=hint>Read this now</div><p>Words of page {k}, which no other page has but {k}</p><p>shared line</p></article></body>"
+    near = "<body><article><h1>One</h1><div class=text>This is long and the same on both pages</div><p>{k}</p></article></body>"
+    rows = [(k, f"http://h.example/{k}", html.format(k=f"n{k}" * 9)) for k in range(n)] + [(k, f"http://near.example/{k}", near.format(k=k)) for k in (10, 11)]
+    for k, text in texts(spark, rows).items():
+        assert "Read this" not in text and ("shared line" in text if k < 10 else "long and the same" in text)
+
+
+def test_body_beside_teasers_is_kept(spark):
+    html = "<body><div class=page><div class=text><p>Story {k}" + " with many words" * 30 + " of {k}</p></div><article><p>Teaser {k}</p></article></div></body>"
+    for k, text in texts(spark, [(k, f"http://h.example/{k}", html.format(k=k)) for k in range(6)]).items():
+        assert text.startswith(f"Story {k} with many")

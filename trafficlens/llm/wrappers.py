@@ -8,9 +8,11 @@ copies of the reference, a block whose text is nearly always that of the referen
 hosts with some distinct pages). So is a text that nearly all of the host's distinct pages with a path
 of keys have in a block at this path, whether the reference has the block or not; with it blocks are
 found that the reference lacks, and those of other layouts. All other text fills a slot. The slots'
-text, added up the reference tree, shows the container of the content: the article or main element of
-a page, else the deepest container that holds nearly all slot text, by the page's own tree where the
-container of the reference is not aligned.
+text, added up the reference tree, shows the container of the content: the article or main elements of
+a page, unless they hold less than half of the slot text in the induced container, else the deepest
+container that holds nearly all slot text, by the page's own tree where the container of the reference
+is not aligned. On hosts of two or three distinct pages, only blocks with a class or id that are equal
+on all of them are template, and only if most text of the reference differs.
 
 A page's main text are the blocks in that container, without template text and without elements
 that are boilerplate by their name, class, id or role (menus, headers, footers, sidebars, notices,
@@ -44,6 +46,8 @@ from trafficlens.session import broadcast_if_small
 CONSTANT_SHARE = 0.8
 MIN_PAGES = 4
 CONTAINER_SHARE = 0.9
+#: On fewer pages than MIN_PAGES, template text may be at most this share of the reference; articles by name hold at least this share of a page's slots.
+HALF = 0.5
 KNOWN_TREES = 64
 KNOWN_PATHS = 100_000
 BROADCAST_BYTES = 16 << 20
@@ -455,7 +459,14 @@ def _dropped(node: Node) -> bool:
 
 def template_of(reference: list[Node], rows: list[tuple[int, int, int, int]], n_distinct: int) -> tuple[set[int], int]:
     """Constant elements, and the container of the content, from (node, pages, same, chars)."""
-    constant = {n for n, pages, same, _ in rows if n_distinct >= MIN_PAGES and pages >= MIN_PAGES - 1 and same >= CONSTANT_SHARE * pages}
+    if n_distinct >= MIN_PAGES:
+        constant = {n for n, pages, same, _ in rows if pages >= MIN_PAGES - 1 and same >= CONSTANT_SHARE * pages}
+    else:
+        # Two or three pages: named blocks equal on all of them, if most text of the reference differs.
+        texts = [0 if n.tag in INLINE or _dropped(n) else len(n.own_text()) for n in reference]
+        equal = {n for n, pages, same, _ in rows if same == pages >= n_distinct - 1 > 0}
+        alike = sum(texts[n] for n in equal) > HALF * sum(texts)
+        constant = set() if alike else {n for n in equal if reference[n].key != reference[n].tag + "."}
     chars = [0] * len(reference)
     for n, _, _, c in rows:
         chars[n] += c
@@ -484,11 +495,14 @@ def main_text(page: list[Node], mapping: dict[int, int], constant: set[int], con
             up = up.parent
         if up is None:
             tops.append(n)
+    slots = [n.tag not in INLINE and n.number not in recurring and mapping.get(n.number) not in constant and not _dropped(n) for n in page]
+    chars = [len(n.own_text()) if slot else 0 for n, slot in zip(page, slots)]
+    induced = [n for n in page if mapping.get(n.number) == container]
     if not tops:
-        tops = [n for n in page if mapping.get(n.number) == container]
-    if not tops:
-        slots = [n.tag not in INLINE and n.number not in recurring and mapping.get(n.number) not in constant and not _dropped(n) for n in page]
-        tops = [_container(page, [len(n.own_text()) if slot else 0 for n, slot in zip(page, slots)])]
+        tops = induced or [_container(page, chars)]
+    elif len(mapping) > 1 and induced and _below(tops, page, chars) < HALF * _below(induced, page, chars):
+        # Teasers: most of the page's slots lie in the container, outside the articles.
+        tops = induced
     out: list[str] = []
 
     def walk(top: Node) -> None:
@@ -521,6 +535,16 @@ def main_text(page: list[Node], mapping: dict[int, int], constant: set[int], con
     return " ".join("".join(out).split())
 
 
+def _below(tops: list[Node], page: list[Node], chars: list[int]) -> int:
+    """Characters of some elements and all below them."""
+    inside = [False] * len(page)
+    for n in tops:
+        inside[n.number] = True
+    for n in page[1:]:
+        inside[n.number] = inside[n.number] or inside[n.parent.number]
+    return sum(c for c, i in zip(chars, inside) if i)
+
+
 def _owned(node: Node) -> bool:
     up = node.parent
     while up is not None:
