@@ -7,6 +7,7 @@ from trafficlens.llm import (
     mixing,
     one_bit,
     order_minhash,
+    personal_data,
     repeats,
     rule_ensemble,
     token_counts,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_one_bit_neighbours": one_bit.op8_one_bit_neighbours,
     "op9_order_minhash": order_minhash.op9_order_minhash,
     "op10_mixing": mixing.op10_mixing,
+    "op12_personal_data": personal_data.op12_personal_data,
 }
 ORACLES = {
     "op4_substring_dedup": repeats.ORACLE,
