@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.llm.common import documents, materialize, slices, table, texts_of
+from trafficlens.llm.common import broadcast_value, documents, materialize, shared_value, slices, table, texts_of
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -261,7 +261,7 @@ def _reporter(shared, threshold: float, overlap: float):
     schema = pa.schema([("doc", pa.int64()), ("number", pa.int32()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared.value, threshold, overlap)
+        finder = Finder(shared_value(shared), threshold, overlap)
         for part in slices(batches):
             best = finder.find(texts_of(part.column("text")))
             if best:
@@ -274,7 +274,7 @@ def _reporter(shared, threshold: float, overlap: float):
 
 def _remover(shared, threshold: float, overlap: float):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared.value, threshold, overlap)
+        finder = Finder(shared_value(shared), threshold, overlap)
         for part in slices(batches, "_text"):
             leaked = {d for d, _ in finder.find(texts_of(part.column("_text")))}
             yield part.filter(pa.array([i not in leaked for i in range(part.num_rows)], pa.bool_())) if leaked else part
@@ -310,7 +310,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     found = spark.createDataFrame([], "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
     for index in indexes(docs, items, text_col, item_col, item_text, threshold, part_bytes):
         names = F.broadcast(spark.createDataFrame([(i, item[0]) for i, item in enumerate(index.items)], "number int, item_id long"))
-        shared = spark.sparkContext.broadcast(index)
+        shared = broadcast_value(spark, index)
         hits = rows.mapInArrow(_reporter(shared, threshold, overlap), "doc long, number int, score double, question_overlap double, answer_overlap double")
         found = found.unionByName(hits.join(names, "number").select(F.col("doc").alias("doc_id"), "item_id", "score", "question_overlap", "answer_overlap"))
     return found
@@ -324,7 +324,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     rows = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col(f"`{text_col}`").alias("_text"))
     schema = T.StructType([*fields, T.StructField("_text", docs.schema[at].dataType)])
     for index in indexes(docs, items, text_col, item_col, item_text, threshold, part_bytes):
-        rows = rows.mapInArrow(_remover(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap), schema)
+        rows = rows.mapInArrow(_remover(broadcast_value(docs.sparkSession, index), threshold, overlap), schema)
     return rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,16 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def broadcast_value(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast an object of this library. It travels with its classes, as workers cannot import them."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(shared: Broadcast) -> object:
+    """The object behind :func:`broadcast_value`, in a task."""
+    return pickle.loads(shared.value)
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.llm.common import documents, materialize, slices, table, texts_of
+from trafficlens.llm.common import broadcast_value, documents, materialize, shared_value, slices, table, texts_of
 
 #: Letters that a sign may stand for.
 SIGNS = {
@@ -326,7 +326,7 @@ class Model:
 
 def _candidates(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, found = Restorer(shared.value), Counter()
+        restorer, found = Restorer(shared_value(shared)), Counter()
         for part in slices(batches):
             for text in texts_of(part.column("text")):
                 found.update({f for w in restore(text, restorer) for f in features_of(w)})
@@ -337,7 +337,7 @@ def _candidates(shared):
 
 def _present(shared, known: dict[str, int]):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = FeatureIds(known, Restorer(shared.value))
+        ids = FeatureIds(known, Restorer(shared_value(shared)))
         for part in slices(batches):
             found = [sorted(ids.text(t)) for t in texts_of(part.column("text"))]
             yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("y"), pa.array(found, pa.list_(pa.int32()))], names=["doc", "y", "ids"])
@@ -349,7 +349,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
         text_col: str = "text", train_rows: int = TRAIN_ROWS, features: int = FEATURES) -> Model:
     spark, tag = docs.sparkSession, uuid.uuid4().hex[:8]
     chars = char_model(docs, text_col)
-    shared = spark.sparkContext.broadcast(chars)
+    shared = broadcast_value(spark, chars)
     rows = training_rows(docs, labels, label, modulus, rest, id_col, text_col, train_rows)
     rows = materialize(rows.groupBy("text").agg(F.min("doc").alias("doc"), F.max("y").alias("y")), f"toxic-train-{tag}")
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -388,7 +388,7 @@ def surely(k: int, n: int) -> float:
 
 def _score(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = shared.value.scorer()
+        of = shared_value(shared).scorer()
         for part in slices(batches, "_text"):
             scores = pa.array([of(t) for t in texts_of(part.column("_text"))], pa.float64())
             kept = part.drop_columns(["_text"])
@@ -399,7 +399,7 @@ def _score(shared):
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """The documents with a score from 0 to 1; a column of that name is replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = broadcast_value(docs.sparkSession, model)
     columns = [c for c in docs.columns if c != name]
     fields = [T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(columns)]
     rows = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)], F.col(f"`{text_col}`").alias("_text"))
