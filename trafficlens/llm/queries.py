@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from trafficlens.llm import (
     benchmark_leaks,
+    hard_negatives,
     mixing,
     one_bit,
     order_minhash,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_one_bit_neighbours": one_bit.op8_one_bit_neighbours,
     "op9_order_minhash": order_minhash.op9_order_minhash,
     "op10_mixing": mixing.op10_mixing,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_personal_data": personal_data.op12_personal_data,
 }
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op6_url_filters": url_rules.ORACLE,
     "op8_one_bit_neighbours": one_bit.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
 }
