@@ -14,6 +14,7 @@ from trafficlens.llm import (
     token_counts,
     toxicity,
     url_rules,
+    whitening,
     wrappers,
 )
 
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_personal_data": personal_data.op12_personal_data,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {
     "op4_substring_dedup": repeats.ORACLE,
