@@ -3,10 +3,14 @@
 Only about trees x sample rows are shuffled to grow the trees, whatever the size
 of the input; scoring is one pass without a shuffle. Neither depends on how the
 input is partitioned.
+
+Everything random comes from MD5 sums: a row's tickets from its id, a node's feature and cut from
+tree and node. So any engine that has MD5 can grow the same forest from the same table.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
@@ -29,7 +33,11 @@ CONTAMINATION = 0.1
 AUTO_OFFSET = -0.5
 SEED = 42
 GROW_TASKS = 25
-_HASH_SPAN = 1 << 52
+#: Digits of an MD5 sum that make a random number, and how many such numbers there are.
+_DIGITS = 13
+_HASH_SPAN = 1 << (4 * _DIGITS)
+#: Path lengths are whole multiples of this, so that their sums are exact.
+PATH_UNIT = 2.0**-32
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
@@ -68,6 +76,16 @@ def expected_path(size: np.ndarray | float):
     return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
 
 
+def _lot(*parts: Column) -> Column:
+    text = F.concat_ws("|", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("long")
+
+
+def node_chance(seed: int, tree: int, node: int, what: str) -> float:
+    """Random number from 0 to below 1 of a node, numbered as in a heap."""
+    return int(hashlib.md5(f"{seed}|{tree}|{node}|{what}".encode()).hexdigest()[:_DIGITS], 16) / _HASH_SPAN
+
+
 def _draw(df: DataFrame, id_column: str, rows: int, sample: int, trees: int, seed: int) -> DataFrame:
     """(tree, id, x): each tree gets the ``sample`` rows with the smallest hash among its draw.
 
@@ -77,10 +95,10 @@ def _draw(df: DataFrame, id_column: str, rows: int, sample: int, trees: int, see
     share = min(1.0, (sample + 6.0 * math.sqrt(sample)) / rows)
     any_tree = min(1.0, share * trees)
     key = F.col(id_column)
-    lot = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_HASH_SPAN))
+    lot = _lot(key, F.lit(seed))
     candidates = df.filter(lot < int(any_tree * _HASH_SPAN)) if any_tree < 1.0 else df
     per_tree = candidates.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    ticket = F.pmod(F.xxhash64(key, F.col("tree"), F.lit(seed)), F.lit(_HASH_SPAN))
+    ticket = _lot(key, F.col("tree"), F.lit(seed))
     drawn = per_tree.withColumn("ticket", ticket)
     inner = share / any_tree
     if inner < 1.0:
@@ -96,27 +114,28 @@ def _draw(df: DataFrame, id_column: str, rows: int, sample: int, trees: int, see
     )
 
 
-def _grow(points: np.ndarray, depth_limit: int, rng: np.random.Generator) -> list[tuple]:
+def _grow(points: np.ndarray, depth_limit: int, seed: int, tree: int) -> list[tuple]:
     """One random tree as node rows; leaves carry the full expected path length."""
     nodes: list[list] = [[-1, np.inf, 0, 0, 0.0]]
-    todo = [(0, np.arange(len(points)), 0)]
+    todo = [(0, 0, np.arange(len(points)), 0)]
     while todo:
-        slot, members, depth = todo.pop()
+        slot, place, members, depth = todo.pop()
         part = points[members]
         low, high = part.min(axis=0), part.max(axis=0)
         open_features = np.flatnonzero(high > low)
         if depth >= depth_limit or not len(open_features):
-            nodes[slot] = [-1, np.inf, slot, slot, depth + float(expected_path(len(members)))]
+            path = math.floor((depth + float(expected_path(len(members)))) / PATH_UNIT + 0.5) * PATH_UNIT
+            nodes[slot] = [-1, np.inf, slot, slot, path]
             continue
-        f = int(rng.choice(open_features))
-        cut = float(rng.uniform(low[f], high[f]))
+        f = int(open_features[int(node_chance(seed, tree, place, "feature") * len(open_features))])
+        cut = float(low[f] + node_chance(seed, tree, place, "cut") * (high[f] - low[f]))
         if cut <= low[f]:
-            cut = float(np.nextafter(low[f], high[f]))
+            cut = float(high[f])
         below = part[:, f] < cut
         left, right = len(nodes), len(nodes) + 1
         nodes[slot] = [f, cut, left, right, 0.0]
         nodes += [[-1, np.inf, left, left, 0.0], [-1, np.inf, right, right, 0.0]]
-        todo += [(left, members[below], depth + 1), (right, members[~below], depth + 1)]
+        todo += [(left, 2 * place + 1, members[below], depth + 1), (right, 2 * place + 2, members[~below], depth + 1)]
     return [(i, *n) for i, n in enumerate(nodes)]
 
 
@@ -140,9 +159,8 @@ def fit_forest(
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
         points = np.vstack(pdf.sort_values("place")["x"].to_numpy())
-        rng = np.random.default_rng([seed, tree])
         out = pd.DataFrame(
-            _grow(points, depth_limit, rng), columns=["node", "feature", "threshold", "left", "right", "path"]
+            _grow(points, depth_limit, seed, tree), columns=["node", "feature", "threshold", "left", "right", "path"]
         )
         out.insert(0, "tree", tree)
         return out

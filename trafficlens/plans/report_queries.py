@@ -260,20 +260,23 @@ def score_audit(spark, folder):
     return rounded(rollups.score_audit(tables.results(spark, folder)))
 
 
-_SPINE = """spine AS (SELECT unnest(generate_series(date_trunc('hour', min(log_time)), date_trunc('hour', max(log_time)),
+SPINE = """spine AS (SELECT unnest(generate_series(date_trunc('hour', min(log_time)), date_trunc('hour', max(log_time)),
   INTERVAL 1 HOUR)) AS hour FROM traffic)"""
 
 
+HOURS = """per_hour AS (SELECT date_trunc('hour', log_time) AS hour, count(packet_size) AS n, avg(packet_size) AS a,
+  stddev_samp(packet_size) AS s, min(packet_size) AS lo, max(packet_size) AS hi,
+  count(DISTINCT source_id) AS src, count(DISTINCT traffic_type) AS dst FROM traffic GROUP BY 1),
+hours AS (SELECT hour, coalesce(n, 0) AS packet_count, coalesce(a, 0) AS avg_packet_size, coalesce(s, 0) AS std_packet_size,
+  coalesce(lo, 0) AS min_packet_size, coalesce(hi, 0) AS max_packet_size, coalesce(src, 0) AS unique_source_ips,
+  coalesce(dst, 0) AS unique_dest_ips FROM spine LEFT JOIN per_hour USING (hour))"""
+
+
 @query(
     "hourly_features",
-    with_ctes(TRAFFIC, _SPINE)
-    + """, h AS (SELECT date_trunc('hour', log_time) AS hour, count(packet_size) AS n, avg(packet_size) AS a,
-  stddev_samp(packet_size) AS s, min(packet_size) AS lo, max(packet_size) AS hi,
-  count(DISTINCT source_id) AS src, count(DISTINCT traffic_type) AS dst FROM traffic GROUP BY 1)
-SELECT hour, coalesce(n, 0) AS packet_count, round(coalesce(a, 0), 9) AS avg_packet_size,
-  round(coalesce(s, 0), 9) AS std_packet_size, coalesce(lo, 0) AS min_packet_size, coalesce(hi, 0) AS max_packet_size,
-  coalesce(src, 0) AS unique_source_ips, coalesce(dst, 0) AS unique_dest_ips
-FROM spine LEFT JOIN h USING (hour)""",
+    with_ctes(TRAFFIC, SPINE, HOURS)
+    + """SELECT hour, packet_count, round(avg_packet_size, 9) AS avg_packet_size, round(std_packet_size, 9) AS std_packet_size,
+  min_packet_size, max_packet_size, unique_source_ips, unique_dest_ips FROM hours""",
 )
 def hourly_features(spark, folder):
     t = tables.traffic(spark, folder)

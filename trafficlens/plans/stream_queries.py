@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trafficlens.operators import iforest
 from trafficlens.plans import tables
+from trafficlens.plans.forest_sql import forest_ctes
 from trafficlens.plans.registry import TRAFFIC, query, rounded, with_ctes
 from trafficlens.session import work_dir
 from trafficlens.streaming import incremental
@@ -41,7 +42,13 @@ def hourly_stream(spark, folder):
     return rounded(done.withColumn("hour", F.col("hour").cast("timestamp_ntz")), total_packet_size=6)
 
 
-@query("stream_scores")
+@query(
+    "stream_scores",
+    with_ctes(TRAFFIC, forest_ctes("traffic", "id", ["packet_size"], "auto"))
+    + """SELECT id AS session_id, prediction, round(anomaly_score, 9) AS anomaly_score,
+  CASE WHEN anomaly_score < -0.5 THEN 'High Risk' WHEN anomaly_score < 0 THEN 'Medium Risk' ELSE 'Low Risk' END AS risk_level
+FROM forest_scores JOIN forest_rows USING (rid)""",
+)
 def stream_scores(spark, folder):
     """Rows scored as they arrive, with a forest frozen before the stream starts."""
     t = tables.traffic(spark, folder).select("id", "packet_size")
@@ -49,6 +56,5 @@ def stream_scores(spark, folder):
     place = _place(spark, "stream-scores")
     stream = _event_stream(spark, folder)
     incremental.score_new_rows(stream, model, f"{place}/out", f"{place}/checkpoint").awaitTermination()
-    return incremental.read_scored(spark, f"{place}/out").select(
-        "session_id", "prediction", "anomaly_score", "risk_level"
-    )
+    done = incremental.read_scored(spark, f"{place}/out")
+    return rounded(done.select("session_id", "prediction", "anomaly_score", "risk_level"))
