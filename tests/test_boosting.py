@@ -125,6 +125,9 @@ def test_one_class_no_rows_and_unlabelled_rows(spark):
 
 def test_many_valued_features_are_cut_at_quantiles(spark):
     df = spark.range(1000).selectExpr("id", "cast(id as double) a", "cast(id % 3 as double) b")
-    assert boosting.feature_edges(df, ["a", "b"], 4) == [[249.75, 499.5, 749.25, 999.0], [0.0, 1.0, 2.0]]
-    x = np.array([[0.0, 0.0], [249.75, 1.0], [250.0, 5.0], [np.nan, np.nan]])
-    assert boosting.bin_numbers(x, [[249.75, 499.5, 749.25, 999.0], [0.0, 1.0, 2.0]]).tolist() == [[1, 1], [1, 2], [2, 4], [0, 0]]
+    # A hot row counts in the quantiles, not in what is collected.
+    hot = df.unionByName(spark.range(3000).selectExpr("id", "2000D a", "0D b"))
+    assert boosting.feature_edges(hot, ["a", "b"], 4) == [[999.0, 2000.0], [0.0, 1.0, 2.0]]
+    assert boosting.feature_edges(df, ["a", "b"], 4) == [[249.0, 499.0, 749.0, 999.0], [0.0, 1.0, 2.0]]
+    x = np.array([[0.0, 0.0], [249.0, 1.0], [250.0, 5.0], [np.nan, np.nan]])
+    assert boosting.bin_numbers(x, [[249.0, 499.0, 749.0, 999.0], [0.0, 1.0, 2.0]]).tolist() == [[1, 1], [1, 2], [2, 4], [0, 0]]

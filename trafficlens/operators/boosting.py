@@ -8,7 +8,8 @@ are dealt out. All rows take part; nothing is sampled.
 
 Rows are packed into blocks of bin numbers, written once; the margins are rewritten with them after
 every ``WRITE_EVERY`` rounds, and trees since then are walked again. A missing number (NULL, NaN,
-infinite) lies below all others. Rows without a label are left out. A feature's cuts are its distinct values where it has at most ``bins``, else exact quantiles.
+infinite) lies below all others. Rows without a label are left out. A feature's cuts are its distinct values where it has at most ``bins``, else quantiles of a
+bounded sample (``EDGE_ROWS``); the histograms count all rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficlens.functions import columns as fx
-from trafficlens.operators.ordering import exact_quantiles
 from trafficlens.operators.wide import packed_array
 from trafficlens.session import materialize, spread
 
@@ -36,6 +36,8 @@ UNIT = 1 << 24
 BLOCK_ROWS = 8192
 WRITE_EVERY = 8
 MAX_CLASSES = 1_000
+#: Rows, and bytes of them, from which cuts of many-valued features are taken.
+EDGE_ROWS, EDGE_BYTES = 1 << 16, 32 << 20
 
 BLOCKS = "n int, y binary, bins binary, margins binary"
 CELLS = "class int, node int, feature int, bin int, g long, h long, n long"
@@ -70,23 +72,38 @@ class BoostedTrees:
 
 
 def feature_edges(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[list[float]]:
-    """Cuts per feature: the distinct values of few-valued features, else exact quantiles."""
-    numbers = df.select(*[fx.clean_number(fx.named(c)).alias(f"_{i}") for i, c in enumerate(features)])
-    about = numbers.agg(*[F.approx_count_distinct(c).alias(c) for c in numbers.columns]).first()
-    few = [i for i, c in enumerate(numbers.columns) if about[c] <= 2 * bins]
+    """Cuts per feature: the distinct values of few-valued features, else quantiles of a bounded sample.
+
+    The sample is chosen by a hash of the row, so it does not depend on how rows are dealt out; equal
+    rows are counted before they are collected.
+    """
+    names = [f"_{i}" for i in range(len(features))]
+    numbers = df.select(*[fx.clean_number(fx.named(c)).alias(n) for n, c in zip(names, features)])
+    about = numbers.agg(F.count("*").alias("rows"), *[F.approx_count_distinct(c).alias(c) for c in names]).first()
+    few = [i for i, c in enumerate(names) if about[c] <= 2 * bins]
     known: dict[int, list[float]] = {i: [] for i in few}
     if few:
-        pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_{i}").alias("v")) for i in few])
+        pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(names[i]).alias("v")) for i in few])
         # At most about 2 * bins values per feature, by the count above.
         for r in numbers.select(F.explode(pairs).alias("p")).select("p.*").where("v IS NOT NULL").distinct().collect():
             known[r["i"]].append(r["v"])
+    many = [i for i in range(len(features)) if i not in known or len(known[i]) > bins]
+    sample = None
+    if many:
+        held = [names[i] for i in many]
+        share = min(1.0, min(EDGE_ROWS, EDGE_BYTES // (8 * len(held))) / max(about["rows"], 1))
+        chosen = numbers.select(*held).filter(F.pmod(F.xxhash64(*held), F.lit(1 << 30)) < int(share * (1 << 30)))
+        sample = chosen.groupBy(*held).agg(F.count("*").alias("n")).toPandas()
     edges = []
-    for i, c in enumerate(numbers.columns):
-        if i in known and len(known[i]) <= bins:
+    for i, c in enumerate(names):
+        if i not in many:
             edges.append(sorted(v + 0.0 for v in known[i]))
-        else:
-            found = exact_quantiles(numbers, c, [k / bins for k in range(1, bins + 1)])
-            edges.append(sorted({float(v) for v in found if v is not None}))
+            continue
+        v = sample[c].to_numpy(dtype="float64")
+        order = np.argsort(v[~np.isnan(v)], kind="stable")
+        v, upto = v[~np.isnan(v)][order], np.cumsum(sample["n"].to_numpy()[~np.isnan(v)][order])
+        ranks = [-(-k * int(upto[-1]) // bins) for k in range(1, bins + 1)] if len(v) else []
+        edges.append(np.unique(v[np.searchsorted(upto, ranks)]).tolist() if ranks else [])
     return edges
 
 

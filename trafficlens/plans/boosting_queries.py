@@ -1,23 +1,23 @@
-"""Boosted return flags of order lines: nodes, predictions, losses and importance, with the boosting itself in SQL."""
+"""Return flags of order lines by boosted trees, with the boosting itself in SQL, and by a forest without a depth bound."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trafficlens.operators import boosting
+from trafficlens.operators import boosting, deep_forest
 from trafficlens.operators.sampling import hash_split
 from trafficlens.plans import tables
 from trafficlens.plans.registry import query, rounded
 
-FEATURES = ("line_number", "quantity", "discount", "tax", "ship_month")
+FEATURES = ("line_number", "quantity", "discount", "tax", "ship_quarter")
 ROUNDS, DEPTH = 4, 3
 
 
 def lines(spark, folder):
-    month = F.year("l_shipdate") * 12 + F.month("l_shipdate")
+    quarter = F.year("l_shipdate") * 4 + F.quarter("l_shipdate")
     rows = tables.table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_returnflag", F.col("l_linenumber").alias("line_number"), F.col("l_quantity").alias("quantity"),
-        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), month.alias("ship_month"))
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"), quarter.alias("ship_quarter"))
     return hash_split(rows, "l_orderkey")
 
 
@@ -32,13 +32,11 @@ def _sql(rounds: int, depth: int) -> str:
     unit, classes = boosting.UNIT, 3
     ctes = ["""raw AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, l_orderkey, l_partkey, l_returnflag, l_linenumber::DOUBLE AS x0, l_quantity AS x1, l_discount AS x2, l_tax AS x3,
-    (year(l_shipdate) * 12 + month(l_shipdate))::DOUBLE AS x4, ('0x' || substr(md5(l_orderkey::VARCHAR || '|42'), 1, 8))::BIGINT % 100 >= 80 AS held_out
+    (year(l_shipdate) * 4 + quarter(l_shipdate))::DOUBLE AS x4, ('0x' || substr(md5(l_orderkey::VARCHAR || '|42'), 1, 8))::BIGINT % 100 >= 80 AS held_out
   FROM lineitem)""",
             "flags AS (SELECT list(DISTINCT l_returnflag ORDER BY l_returnflag) AS names FROM raw WHERE NOT held_out)"]
-    edges = " UNION ALL ".join(
-        f"SELECT {j} AS j, CASE WHEN count(DISTINCT x{j}) <= {boosting.BINS} THEN list(DISTINCT x{j} ORDER BY x{j}) ELSE "
-        f"list_sort(list_distinct(quantile_cont(x{j}, [{', '.join(f'{k / boosting.BINS}' for k in range(1, boosting.BINS + 1))}]))) END AS e FROM raw WHERE NOT held_out"
-        for j in range(len(FEATURES)))
+    # All these features have few values, so every value is a cut.
+    edges = " UNION ALL ".join(f"SELECT {j} AS j, list(DISTINCT x{j} ORDER BY x{j}) AS e FROM raw WHERE NOT held_out" for j in range(len(FEATURES)))
     ctes.append(f"edges AS MATERIALIZED ({edges})")
     cells = " UNION ALL ".join(f"SELECT rid, {j} AS j, x{j} AS x FROM raw" for j in range(len(FEATURES)))
     ctes.append(f"long AS MATERIALIZED (SELECT rid, j, 1 + len(list_filter(e, lambda v: v < x)) AS b FROM ({cells}) JOIN edges USING (j))")
@@ -139,3 +137,23 @@ FROM (SELECT unnest({_NAMES}) AS name, generate_subscripts({_NAMES}, 1) - 1 AS j
 def boosted_importance(spark, folder):
     """Share of the gain and number of cuts of every feature."""
     return rounded(boosting.importance(spark, fitted(spark, folder)[1]), importance=6)
+
+
+@query(
+    "deep_forest_fit",
+    """WITH rows_ AS (SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_returnflag AS traffic_type FROM lineitem),
+votes AS (SELECT l_linenumber, l_quantity, l_extendedprice, l_discount, traffic_type AS vote, count(*) AS n FROM rows_ GROUP BY ALL),
+groups AS (
+  SELECT l_linenumber, l_quantity, l_extendedprice, l_discount, vote, n::DOUBLE / sum(n) OVER same AS share
+  FROM votes WINDOW same AS (PARTITION BY l_linenumber, l_quantity, l_extendedprice, l_discount)
+  QUALIFY row_number() OVER (PARTITION BY l_linenumber, l_quantity, l_extendedprice, l_discount ORDER BY n DESC, vote) = 1)
+SELECT l_orderkey, l_partkey, traffic_type, vote AS predicted_traffic_type, round(share, 9) AS prediction_confidence
+FROM rows_ JOIN groups USING (l_linenumber, l_quantity, l_extendedprice, l_discount)""",
+)
+def deep_forest_fit(spark, folder):
+    """Trees grown to the end on all lines give every line its own flag, or the most frequent one of equal lines."""
+    rows = tables.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", F.col("l_returnflag").alias("traffic_type"), "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
+    forest = deep_forest.fit(rows, ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount"], "traffic_type", trees=2, bootstrap=False, fit_rows=rows.count())
+    out = deep_forest.predict(rows, forest, "predicted_traffic_type", "prediction_confidence")
+    return rounded(out.select("l_orderkey", "l_partkey", "traffic_type", "predicted_traffic_type", "prediction_confidence"))
