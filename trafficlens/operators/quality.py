@@ -66,7 +66,10 @@ def alignment_audit(
     size: str,
     threshold: float,
 ) -> DataFrame:
-    """Row counts of both tables, number of shared hours, and anomalies on each side."""
+    """Row counts of both tables, number of shared hours, and anomalies on each side.
+
+    An infinite size is above the threshold, a NaN one unknown.
+    """
     t_kind = traffic.schema[traffic_time].dataType.simpleString()
     p_kind = predictions.schema[prediction_time].dataType.simpleString()
     t_hours = traffic.select(fx.hour_of(F.col(traffic_time), t_kind).alias("hour")).distinct()
@@ -76,7 +79,7 @@ def alignment_audit(
         F.struct(F.count("*").alias("n"), F.count_if(F.col("prediction") == 1).alias("bad")).alias("p")
     ).scalar()
     left = traffic.agg(
-        F.count("*").alias("traffic_rows"), F.count_if(F.col(size) > threshold).alias("traffic_anomalies")
+        F.count("*").alias("traffic_rows"), F.count_if(fx.not_nan(F.col(size)) > threshold).alias("traffic_anomalies")
     )
     return left.select(
         "traffic_rows",

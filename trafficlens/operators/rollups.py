@@ -148,15 +148,16 @@ def summary_extended(results: DataFrame, labels: DataFrame) -> DataFrame:
     """Summary with score range and model accuracy.
 
     ``results`` has original_id, anomaly_score, is_anomaly; ``labels`` has original_id, label,
-    predicted_label. Both reduce to one row before they meet.
+    predicted_label. Both reduce to one row before they meet. NaN and infinite scores count as missing.
     """
+    score = fx.number_of(results, "anomaly_score")
     scores = results.agg(
         F.count("*").alias("total_records"),
         F.count_if(F.col("is_anomaly") == 1).alias("anomaly_count"),
         F.count_if(F.col("is_anomaly") == 0).alias("normal_count"),
-        F.avg("anomaly_score").alias("avg_anomaly_score"),
-        F.min("anomaly_score").alias("min_anomaly_score"),
-        F.max("anomaly_score").alias("max_anomaly_score"),
+        F.avg(score).alias("avg_anomaly_score"),
+        F.min(score).alias("min_anomaly_score"),
+        F.max(score).alias("max_anomaly_score"),
     )
     checked = labels.agg(
         F.struct(
@@ -174,19 +175,20 @@ def summary_extended(results: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def score_audit(df: DataFrame, score: str = "anomaly_score") -> DataFrame:
-    """Row count, score range and number of missing scores."""
+    """Row count, score range and number of missing scores, NaN and infinite ones among them."""
+    value = fx.number_of(df, score)
     return df.agg(
         F.count("*").alias("row_count"),
-        F.min(score).alias("min_score"),
-        F.max(score).alias("max_score"),
-        F.count_if(F.col(score).isNull()).alias("missing_scores"),
+        F.min(value).alias("min_score"),
+        F.max(value).alias("max_score"),
+        F.count_if(value.isNull()).alias("missing_scores"),
     )
 
 
 def hourly_predictions(df: DataFrame, time_column: str, cut: float = 0.5) -> DataFrame:
     """Mean prediction and score per hour; an hour is anomalous above the cut."""
     per_hour = df.groupBy(_hour(df, time_column).alias("hour")).agg(
-        F.avg("prediction").alias("mean_prediction"), F.avg("anomaly_score").alias("supervised_score")
+        F.avg("prediction").alias("mean_prediction"), F.avg(fx.number_of(df, "anomaly_score")).alias("supervised_score")
     )
     flag = F.when(F.col("mean_prediction") > cut, 1).otherwise(0)
     return per_hour.select(

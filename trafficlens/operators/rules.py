@@ -117,6 +117,13 @@ def rule_labels(
 ) -> DataFrame:
     """Label large, small and rapid packets: ``anomaly_flag`` 0/1, score -1/1, text label."""
     timed = interarrival(df, source, time_column, tie_breaker, slice_seconds=slice_seconds)
+    return label_gaps(timed, size, large, small, rapid)
+
+
+def label_gaps(
+    timed: DataFrame, size: str = "packet_size", large: float = LARGE_PACKET, small: float = SMALL_PACKET, rapid: float = RAPID_GAP_SECONDS
+) -> DataFrame:
+    """The labels of rows whose gap to the former row of their source is in ``diff_seconds``."""
     gap = F.col("diff_seconds")
     bytes_ = fx.not_nan(F.col(size))
     hit = (bytes_ > large) | (bytes_ < small) | ((gap > 0) & (gap < rapid))

@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.operators import correlation, features, iforest, rollups, rules
+from trafficlens.operators import correlation, features, iforest, quality, rollups, rules
 from trafficlens.plans import jobs, tables
 from trafficlens.plans.registry import HISTORY, LABELLED, PREDS, RUNS, SESSIONS, TRAFFIC, query, rounded, with_ctes
 from trafficlens.session import work_dir
-from trafficlens.sources import readers, schemas, writers
+from trafficlens.sources import batches, readers, schemas, writers
 
 # The same rows as tables.dirty_traffic, with NULL for what counts as missing.
 DIRTY = """dirty AS (
@@ -95,15 +95,16 @@ def hourly_dirty(spark, folder):
 @query(
     "infer_schema_audit",
     """SELECT * FROM (VALUES ('event_id', 'bigint'), ('ts', 'string'), ('user_id', 'bigint'), ('event_type', 'string'), ('value', 'double'),
-  ('large', 'boolean'), ('rare', 'bigint')) AS t(column_name, column_type)""",
+  ('large', 'boolean'), ('rare', 'bigint'), ('code', 'string'), ('unit', 'string')) AS t(column_name, column_type)""",
 )
 def infer_schema_audit(spark, folder):
-    """Types of the events written as CSV; one column has values in error rows only."""
+    """Types of the events written as CSV; one column has values in error rows only, two hold codes."""
     path = _place(spark, "typed-csv")
     events = tables.table(spark, folder, "events")
     rows = events.select(
         "event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "value", (F.col("value") > 100).alias("large"),
-        F.when(F.col("event_type") == "error", F.col("user_id")).alias("rare"))
+        F.when(F.col("event_type") == "error", F.col("user_id")).alias("rare"),
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("code"), F.concat(F.col("user_id").cast("string"), F.lit("D")).alias("unit"))
     writers.export_csv(rows, path, sep=";")
     found = schemas.infer_csv_schema(spark, path)
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in found], "column_name string, column_type string")
@@ -267,3 +268,80 @@ def hourly_sync_audit(spark, folder):
     packets = t.select("id", F.col("log_time").alias("timestamp"), "packet_size")
     model = iforest.fit_forest(packets.withColumn("hour", F.hour("timestamp")), "id", ["packet_size", "hour"])
     return jobs.hourly_sync(packets, model, _place(spark, "sync"), threshold=200).drop("prediction_anomalies")
+
+
+@query(
+    "alignment_dirty",
+    with_ctes(TRAFFIC, PREDS, DIRTY)
+    + """SELECT (SELECT count(*) FROM dirty) AS traffic_rows, (SELECT count(*) FROM preds) AS prediction_rows,
+  (SELECT count(*) FROM (SELECT date_trunc('hour', log_time) FROM dirty WHERE log_time IS NOT NULL INTERSECT
+                         SELECT date_trunc('hour', log_time) FROM preds)) AS aligned_hours,
+  (SELECT count(*) FROM dirty WHERE packet_size > 200 OR traffic_type = 'signup') AS traffic_anomalies,
+  (SELECT count(*) FROM preds WHERE prediction = 1) AS prediction_anomalies""",
+)
+def alignment_dirty(spark, folder):
+    """An infinite size is an anomaly, a NaN one is not."""
+    return quality.alignment_audit(
+        tables.dirty_traffic(spark, folder), tables.predictions(spark, folder), "log_time", "log_time", "packet_size", threshold=200)
+
+
+@query(
+    "summary_dirty",
+    with_ctes(TRAFFIC, DIRTY, LABELLED)
+    + """SELECT count(*) AS total_records, count(CASE WHEN k > 50 THEN 1 END) AS anomaly_count, count(CASE WHEN k <= 50 THEN 1 END) AS normal_count,
+  round(avg(packet_size), 9) AS avg_anomaly_score, min(packet_size) AS min_anomaly_score, max(packet_size) AS max_anomaly_score,
+  (SELECT count(*) FROM labelled) AS supervised_predictions, round(count(CASE WHEN k > 50 THEN 1 END) * 100.0::DOUBLE / count(*), 2) AS anomaly_percentage,
+  (SELECT round(count(CASE WHEN label = predicted_label THEN 1 END) * 100.0::DOUBLE / count(*), 2) FROM labelled) AS model_accuracy,
+  count(*) - count(packet_size) AS missing_scores FROM dirty""",
+)
+def summary_dirty(spark, folder):
+    """Score range and mean where scores are NaN or infinite."""
+    rows = tables.dirty_traffic(spark, folder).select(
+        F.col("id").alias("original_id"), F.col("packet_size").alias("anomaly_score"), F.when(F.col("k") > 50, 1).when(F.col("k") <= 50, 0).alias("is_anomaly"))
+    missing = rollups.score_audit(rows).select("missing_scores").scalar()
+    return rounded(rollups.summary_extended(rows, tables.labelled(spark, folder)).withColumn("missing_scores", missing))
+
+
+@query(
+    "batch_append",
+    with_ctes(TRAFFIC, DIRTY)
+    + """SELECT traffic_type, traffic_type NOT IN ('error') AND log_time IS NOT NULL AS complete, count(*) AS row_count, sum(id)::BIGINT AS id_sum
+FROM dirty GROUP BY ALL""",
+)
+def batch_append(spark, folder):
+    """Three batches, one of which fails at first and one of which comes twice; good and bad rows by type."""
+    root, rows = _place(spark, "batches"), tables.dirty_traffic(spark, folder)
+
+    def batch(k):
+        return rows.filter(F.pmod("id", F.lit(3)) == k)
+
+    batches.append_batch(batch(0), root, "first", ["packet_size", "log_time"])
+    # An attempt that ends after writing and before its marker leaves nothing to see.
+    batch(1).withColumn(batches.COMPLETE, F.lit(True)).write.partitionBy(batches.COMPLETE).parquet(f"{root}/batches/batch=second/attempt=failed")
+    for k, name in ((1, "second"), (0, "first"), (2, "third")):
+        batches.append_batch(batch(k), root, name, ["packet_size", "log_time"])
+    kept = batches.read_batches(spark, root).withColumn("complete", F.lit(True)).unionByName(batches.read_batches(spark, root, False).withColumn("complete", F.lit(False)))
+    return kept.groupBy("traffic_type", "complete").agg(F.count("*").alias("row_count"), F.sum("id").alias("id_sum"))
+
+
+@query(
+    "incremental_ties",
+    with_ctes(TRAFFIC)
+    + """, hours AS (SELECT id, date_trunc('hour', log_time) AS hour, (SELECT date_trunc('day', min(log_time)) + (max(log_time) - min(log_time)) / 2 FROM traffic) AS middle FROM traffic),
+marked AS (SELECT *, hour < date_trunc('hour', middle) OR (hour = date_trunc('hour', middle) AND id % 3 <> 0) AS early FROM hours)
+SELECT id, hour, CASE WHEN early THEN 1 ELSE 2 END AS load FROM marked""",
+)
+def incremental_ties(spark, folder):
+    """Two loads that split the rows of one instant; no row is lost or loaded twice."""
+    t = tables.traffic(spark, folder)
+    rows = t.select("id", F.date_trunc("hour", "log_time").cast("timestamp_ntz").alias("hour"))
+    ends = t.agg(F.min("log_time").alias("a"), F.max("log_time").alias("b")).first()
+    middle = ends["a"].replace(hour=0, minute=0, second=0, microsecond=0) + (ends["b"] - ends["a"]) / 2
+    middle = F.date_trunc("hour", F.lit(middle)).cast("timestamp_ntz")
+    arrived = rows.filter((F.col("hour") < middle) | ((F.col("hour") == middle) & (F.col("id") % 3 != 0)))
+    nothing = spark.createDataFrame([], "hour timestamp_ntz, id long")
+    path = _place(spark, "marks")
+    first = readers.rows_since(arrived, nothing, "hour", "id")
+    writers.replace_table(readers.composite_mark(first, "hour", "id"), path)
+    second = readers.rows_since(rows, spark.read.parquet(path), "hour", "id")
+    return first.withColumn("load", F.lit(1)).unionByName(second.withColumn("load", F.lit(2)))

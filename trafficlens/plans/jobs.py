@@ -6,6 +6,7 @@ failing stage stops the run; a run record is written either way.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -111,13 +112,14 @@ def classify_sessions(
 def summary_row(results: DataFrame, supervised: DataFrame | None, accuracy: float | None) -> DataFrame:
     """The stored one-row summary."""
     count = supervised.agg(F.count("*").alias("n")).scalar() if supervised is not None else F.lit(0)
+    score = fx.number_of(results, "anomaly_score")
     base = results.agg(
         F.count("*").alias("total_records"),
         F.count_if(F.col("is_anomaly") == 1).alias("anomaly_count"),
         F.count_if(F.col("is_anomaly") == 0).alias("normal_count"),
-        F.avg("anomaly_score").alias("avg_anomaly_score"),
-        F.min("anomaly_score").alias("min_anomaly_score"),
-        F.max("anomaly_score").alias("max_anomaly_score"),
+        F.avg(score).alias("avg_anomaly_score"),
+        F.min(score).alias("min_anomaly_score"),
+        F.max(score).alias("max_anomaly_score"),
     )
     target = layout("summary_stats")
     mapping = {f.name: f.name for f in target} | {
@@ -392,7 +394,7 @@ def chart_data(df: DataFrame) -> dict[str, DataFrame]:
 def _record(spark, run_log, mode, begun, success, outcome, error) -> None:
     if run_log:
         ended = datetime.now(timezone.utc)
-        run_id = f"{mode}_{begun:%Y%m%d_%H%M%S}"
+        run_id = f"{mode}_{begun:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}"
         writers.append_run(
             spark, run_log, run_id, mode, begun, ended, success, outcome.steps, error, outcome.metrics, outcome.stats
         )

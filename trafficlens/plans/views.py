@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.functions.columns import risk_band
+from trafficlens.functions.columns import number_of, risk_band
 from trafficlens.operators.quality import newest_predictions
 
 DETECTOR = "isolation_forest"  # fixed value
@@ -61,6 +61,10 @@ FROM endpoints WHERE session_count > 1 ORDER BY session_count DESC
 """
 
 
+#: Session columns that the reports sum and average.
+AMOUNTS = ("PktPerSesIn", "PktPerSesOut", "BPerSesIn", "BPerSesOut", "SessDuration")
+
+
 def register_views(
     sessions: DataFrame, predictions: DataFrame, prefix: str = "", model: str = DETECTOR
 ) -> dict[str, DataFrame]:
@@ -71,8 +75,10 @@ def register_views(
     aggregate on the join key yields without a further shuffle.
     """
     spark = sessions.sparkSession
+    # NaN and infinities count as missing in the sums and means of the reports.
+    amounts = {c: number_of(sessions, c) for c in AMOUNTS if c in sessions.columns}
     views = {
-        "sessions": sessions,
+        "sessions": sessions.withColumns(amounts) if amounts else sessions,
         "predictions": predictions,
         "newest": newest_predictions(predictions).withColumn("risk", risk_band(F.col("anomaly_score"))),
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,9 @@ def work_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        local = spark.sparkContext.master.startswith("local")
+        if not local and folder.startswith("file:"):
+            raise ValueError(f"name a shared folder in {CHECKPOINT_CONF}: executors do not share {folder}")
     return folder.rstrip("/")
 
 
@@ -54,13 +58,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    for made in _open_scratch:
+    for made in _open_scratch.get():
         made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_open_scratch: list[list[str]] = []
+#: The open blocks of this thread or task, so that jobs side by side keep to their own tables.
+_open_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("open_scratch", default=())
 
 
 @contextmanager
@@ -71,12 +76,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     be used afterwards.
     """
     made: list[str] = []
-    _open_scratch.append(made)
+    before = _open_scratch.set((*_open_scratch.get(), made))
     try:
         yield
     finally:
-        # By identity: two blocks may hold equal lists.
-        _open_scratch[:] = [x for x in _open_scratch if x is not made]
+        _open_scratch.reset(before)
         for path in made:
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

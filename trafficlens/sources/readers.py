@@ -95,6 +95,28 @@ def high_water_mark(df: DataFrame, time_column: str, fallback: datetime | str) -
     return df.agg(F.coalesce(F.max(time_column), F.lit(fallback).cast(kind)).alias("mark")).scalar()
 
 
+def rows_since(df: DataFrame, mark: DataFrame, time_column: str, key: str) -> DataFrame:
+    """Rows not loaded before, given a composite mark: the newest loaded time and the keys loaded at it.
+
+    Rows of the mark's own time that arrive later are new, unless their key is in the mark. An empty mark takes
+    all rows; rows without a time are never new. Make the mark with :func:`composite_mark`.
+    """
+    newest = mark.agg(F.max(time_column)).scalar()
+    later = df.filter(F.col(time_column).isNotNull() & F.coalesce(F.col(time_column) >= newest, F.lit(True)))
+    return later.join(mark.select(time_column, key), [time_column, key], "left_anti").select(*df.columns)
+
+
+def composite_mark(loaded: DataFrame, time_column: str, key: str, before: DataFrame | None = None) -> DataFrame:
+    """(time, key) of the loaded rows that have the newest time, those of the former mark among them.
+
+    Store it with the run; a load without rows keeps the former mark.
+    """
+    rows = loaded.select(time_column, key)
+    if before is not None:
+        rows = rows.unionByName(before.select(time_column, key))
+    return rows.filter(F.col(time_column) == rows.agg(F.max(time_column)).scalar()).distinct()
+
+
 def set_aside(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     """Good rows, and the number of bad ones, whose raw texts are appended under ``path``."""
     good, bad = split_bad_records(df)

@@ -112,18 +112,25 @@ def to_storage(df: DataFrame) -> DataFrame:
 _KINDS = ("flag", "whole", "number", "text")
 
 
+WHOLE = r"^-?(0|[1-9][0-9]*)$"
+NUMBER = r"^(-?(0|[1-9][0-9]*)(\.[0-9]*([eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)|-?\.[0-9]+([eE][+-]?[0-9]+)?|NaN|-?(Infinity|inf))$"
+
+
 def infer_csv_schema(spark: SparkSession, path: str, sep: str = ";") -> T.StructType:
     """Whole-number, number, flag or text per column, from all rows of all files.
 
     Every value is marked by what it can be read as, the marks of a row are one vector, and
     one pass takes the maximum over the vectors, so hundreds of columns cost one aggregate.
-    A column without any value is text. Whole numbers widen to numbers, all else to text.
+    A column without any value is text. Whole numbers widen to numbers, all else to text. Only plain
+    numbers count as such: codes with leading zeros or a plus sign ('007', '+49'), numbers with a type
+    letter ('1D') and whole numbers beyond 64 bits stay text, as a number would not keep them.
     """
     rows = spark.read.option("sep", sep).option("header", True).csv(path)
 
     def marks(value):
         flag = F.lower(value).isin("true", "false")
-        whole, number = value.try_cast("long").isNotNull(), value.try_cast("double").isNotNull()
+        whole = value.rlike(WHOLE) & value.try_cast("long").isNotNull()
+        number = value.rlike(NUMBER)
         place = F.when(flag, 0).when(whole, 1).when(number, 2).otherwise(3)
         return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(value.isNotNull() & (place == i), 1.0).otherwise(0.0))
 

@@ -29,14 +29,18 @@ def with_event_time(df: DataFrame, time_column: str, delay: str) -> DataFrame:
 
 
 def hourly_stream(df: DataFrame, time_column: str, size: str, delay: str = "2 hours") -> DataFrame:
-    """Tumbling hourly count, mean, sum and extremes; closed hours equal the batch rollup."""
+    """Tumbling hourly count, mean, sum and extremes; closed hours equal the batch rollup.
+
+    NaN and infinite sizes count as missing, and rows without a time belong to no hour.
+    """
     timed = with_event_time(df, time_column, delay)
+    value = fx.number_of(timed, size)
     hours = timed.groupBy(F.window(time_column, "1 hour").alias("w")).agg(
-        F.count(size).alias("packet_count"),
-        F.avg(size).alias("avg_packet_size"),
-        F.sum(size).alias("total_packet_size"),
-        F.min(size).alias("min_packet_size"),
-        F.max(size).alias("max_packet_size"),
+        F.count(value).alias("packet_count"),
+        F.avg(value).alias("avg_packet_size"),
+        F.sum(value).alias("total_packet_size"),
+        F.min(value).alias("min_packet_size"),
+        F.max(value).alias("max_packet_size"),
     )
     return hours.select(F.col("w.start").alias("hour"), *[c for c in hours.columns if c != "w"])
 
@@ -53,6 +57,64 @@ def run_hourly(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def merge_hours(stream: DataFrame, path: str, checkpoint: str, time_column: str, size: str) -> StreamingQuery:
+    """Keep hourly counts, sums and extremes under ``path`` up to date, late rows included.
+
+    Every micro-batch writes its own partial sums into its own folder, so a batch that is retried
+    replaces itself, and no hour is ever closed: rows of any age correct theirs. Read with :func:`read_hours`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partial_hours(batch, time_column, size).write.mode("overwrite").parquet(f"{path}/batches/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+_PARTS = {"packet_count": F.sum, "total_packet_size": F.sum, "min_packet_size": F.min, "max_packet_size": F.max}
+
+
+def partial_hours(df: DataFrame, time_column: str, size: str) -> DataFrame:
+    """What adds up: count, sum and extremes per hour; rows without a time belong to no hour."""
+    value = fx.number_of(df, size).cast("double")
+    hour = fx.hour_of(F.col(time_column), df.schema[time_column].dataType.simpleString())
+    return df.filter(F.col(time_column).isNotNull()).groupBy(hour.alias("hour")).agg(
+        F.count(value).alias("packet_count"), F.sum(value).alias("total_packet_size"), F.min(value).alias("min_packet_size"), F.max(value).alias("max_packet_size"))
+
+
+def _stored_hours(spark: SparkSession, path: str) -> tuple[DataFrame, int | None]:
+    """Partial sums: those merged last, and of the batches since; with the number of the newest batch."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def numbers(pattern: str) -> list[int]:
+        found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}/_SUCCESS")) or []
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+
+    merged, batches = numbers("merged/upto=*"), numbers("batches/batch=*")
+    upto = merged[-1] if merged else -1
+    parts = [f"{path}/merged/upto={upto}"] * bool(merged) + [f"{path}/batches/batch={b}" for b in batches if b > upto]
+    if not parts:
+        raise ValueError(f"no hours are stored under {path}")
+    # A list of whole folders, so that no partition column is made of their names.
+    frames = spark.read.option("recursiveFileLookup", True).parquet(*parts)
+    return frames, max([upto, *batches])
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("hour").agg(*[add(name).alias(name) for name, add in _PARTS.items()])
+
+
+def read_hours(spark: SparkSession, path: str) -> DataFrame:
+    """The hourly table as it would be after one pass over all rows seen so far."""
+    hours = _summed(_stored_hours(spark, path)[0])
+    return hours.withColumn("avg_packet_size", F.try_divide("total_packet_size", "packet_count"))
+
+
+def compact_hours(spark: SparkSession, path: str) -> None:
+    """Merge the partial sums of all batches into one table; readers change over when it is complete."""
+    parts, newest = _stored_hours(spark, path)
+    _summed(parts).write.mode("overwrite").parquet(f"{path}/merged/upto={newest}")
+
+
 def prediction_rows(scored: DataFrame, id_column: str, time_column: str, model_type: str) -> DataFrame:
     """Scored rows in the layout of the predictions table."""
     score = F.col("anomaly_score")
