@@ -133,3 +133,14 @@ def test_empty_table(spark):
     df = documents(spark, [])
     assert om.near_duplicates(df).collect() == []
     assert om.keep_one(df).collect() == []
+
+
+def test_null_ids_stay_null(spark, tmp_path):
+    from cases import documents, words
+
+    from trafficlens.llm.order_minhash import op9_order_minhash
+
+    text = words(80, seed=1)
+    documents(spark, [text, text, words(80, seed=2), None], ids=[None, 5, None, 9]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, op9_order_minhash(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted([(5, 5), (None, 5), (None, None), (9, 9)], key=repr)

@@ -93,3 +93,36 @@ def test_word_hashes_tell_words_apart_across_pieces():
         assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen)
     assert np.array_equal(hashes, np.concatenate([word_hashes([w])[0] for w in texts]))
+
+
+def thue_morse(length):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(length))
+
+
+def test_words_built_to_collide_are_told_apart(spark):
+    one = thue_morse(2048)
+    other = one.translate(str.maketrans("ab", "ba"))
+    hashes, _ = word_hashes([f"{one} {other} {one}".encode()])
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+    around = [f"x{i}" for i in range(25)]
+    rows = [(1, " ".join([*around[:10], one, *around[10:]])), (2, " ".join([*around[:10], other, *around[10:]]))]
+    df = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    assert found(df) == brute(rows, 20)
+
+
+def test_word_hashes_tell_words_of_all_lengths_apart():
+    r = random.Random(8)
+    held = sorted({"".join(r.choices("ab\x00é", k=r.randrange(1, 40))) for _ in range(4000)} | {"a" * n for n in range(1, 60)} | {"\x00" * n for n in range(1, 30)})
+    hashes, counts = word_hashes([w.encode() for w in held])
+    assert counts.tolist() == [1] * len(held) and len(set(hashes.tolist())) == len(held)
+    again, _ = word_hashes([" ".join(held).encode()])
+    assert again.tolist() == hashes.tolist()
+
+
+def test_many_equal_rows_share_their_marks(spark):
+    text = words(60, seed=4)
+    df = documents(spark, [text] * 400, ids=[7] * 400)
+    marks = repeats.repeated_windows(df).groupBy("doc", "row").agg(repeats.F.collect_set(repeats.F.struct("start", "n")).alias("m"))
+    assert sum(len(r["m"]) for r in marks.collect()) < 100
+    rows = [(7, text)] * 400
+    assert found(df) == brute(rows, 20)

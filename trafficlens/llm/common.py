@@ -60,17 +60,7 @@ def powers(base: int, n: int) -> np.ndarray:
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
-SIGN_VALUES = mix64(np.arange(256, dtype=np.uint64))
-_known_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _up_and_down(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers up to a piece's length; made once per task, as functions travel to tasks without them."""
-    if n > HASH_BYTES:
-        return powers(ODD, n), powers(pow(ODD, -1, 1 << 64), n)
-    if HASH_BYTES not in _known_powers:
-        _known_powers[HASH_BYTES] = powers(ODD, HASH_BYTES), powers(pow(ODD, -1, 1 << 64), HASH_BYTES)
-    return _known_powers[HASH_BYTES]
+PIECE = 8
 
 
 def _hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -81,11 +71,19 @@ def _hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     if not space[0]:
         edges = np.concatenate([[0], edges])
     begin, end = edges[::2], edges[1::2]
-    up, down = _up_and_down(len(signs))
+    # Every word is cut into pieces of eight bytes. A piece and its number in the word are scrambled
+    # before they are added up, so no two words meet by the form of their letters alone.
+    pieces = (end - begin + PIECE - 1) // PIECE
+    first = np.cumsum(pieces) - pieces
+    number = np.arange(pieces.sum()) - np.repeat(first, pieces)
+    at = np.repeat(begin, pieces) + PIECE * number
+    left = np.minimum(np.repeat(end, pieces) - at, PIECE).astype(np.uint64)
+    every = np.ndarray(len(text), "<u8", text + bytes(PIECE), strides=(1,))
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(SIGN_VALUES[signs] * up[: len(signs)])])
-        value = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(ODD)
-    return mix64(value), begin
+        value = every[at] & (np.uint64(2**64 - 1) >> (np.uint64(8 * PIECE) - np.uint64(8) * left))
+        value = mix64(value ^ mix64((number.astype(np.uint64) + np.uint64(1)) * np.uint64(ODD)))
+        whole = np.add.reduceat(value, first) if len(first) else value
+        return mix64(whole + (end - begin).astype(np.uint64) * np.uint64(ODD)), begin
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -283,4 +283,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 def op9_order_minhash(spark, folder: str) -> DataFrame:
     """Every document with the id of its class: the least id of its near duplicates."""
     found = near_duplicates(documents(spark, folder))
-    return found.select(F.col("doc").alias("doc_id"), F.col("class.doc").alias("class_id"))
+    # Null ids travel as the greatest number.
+    return found.select(*[F.when(c != LAST, c).alias(n) for c, n in ((F.col("doc"), "doc_id"), (F.col("class.doc"), "class_id"))])

@@ -221,7 +221,7 @@ def _cut(window: int, columns: list[str], with_text: bool):
 
 def _with_marks(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int, columns: list[str], with_text: bool) -> DataFrame:
     marks = repeated_windows(docs, id_col, text_col, window, anchor)
-    marks = marks.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "n")).alias("_marks"))
+    marks = marks.groupBy("doc", "row").agg(F.collect_set(F.struct("start", "n")).alias("_marks"))
     doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST))
     # Columns travel under numbers, so that names of the input cannot clash with those used here.
     names = [f"_{i}" for i in range(len(columns))]
