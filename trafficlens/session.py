@@ -44,7 +44,7 @@ def work_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-        local = spark.sparkContext.master.startswith("local")
+        local = (spark.conf.get("spark.master", None) or "local").startswith("local")
         if not local and folder.startswith("file:"):
             raise ValueError(f"name a shared folder in {CHECKPOINT_CONF}: executors do not share {folder}")
     return folder.rstrip("/")
