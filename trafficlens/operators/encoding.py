@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.functions.columns import named
 from trafficlens.operators.ordering import dense_ids
 from trafficlens.session import broadcast_if_small, materialize
+from trafficlens.sources import batches
 
 HOT_SHARE = 1000
 SALTS = 4096
@@ -30,6 +33,45 @@ def fit_encoder(df: DataFrame, *columns: str) -> DataFrame:
     return materialize(dense_ids(vocabulary(df, *columns), ["value"], "code", start=0), "vocabulary")
 
 
+def extend_codes(df: DataFrame, path: str, version: int, *columns: str) -> bool:
+    """Add the values of one load to the codes under ``path``; False if the version is stored already.
+
+    Codes that were given stay as they are. New values get the next codes, in ascending value order.
+    A version holds its load's counts and only the codes it gave, so earlier versions stay readable.
+    Versions are whole numbers from 1, added in order by one writer; a load that fails leaves nothing to see.
+    """
+    spark = df.sparkSession
+    stored = _versions(spark, path)
+    if version in stored:
+        return False
+    if version != len(stored) + 1:
+        raise ValueError(f"version {len(stored) + 1} comes next, not {version}")
+    counts = materialize(vocabulary(df, *columns), "vocabulary")
+    known = read_codes(spark, path).select("value", "code") if stored else spark.createDataFrame([], "value string, code long")
+    found = counts.join(known, "value", "left")
+    first = known.agg(F.coalesce(F.max("code") + 1, F.lit(0)).alias("k")).first()["k"]
+    added = dense_ids(found.filter(F.col("code").isNull()).drop("code"), ["value"], "code", start=first)
+    again = found.filter(F.col("code").isNotNull()).withColumn("code", F.lit(None).cast("long"))
+    place = f"version={version}/attempt={uuid.uuid4().hex}"
+    added.unionByName(again).select("value", "frequency", F.col("code").cast("long")).write.parquet(f"{path}/codes/{place}")
+    return batches.commit(spark, path, str(version), place)
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """Folder of each stored version."""
+    return {int(place.split("/")[0].split("=")[1]): place for place in batches.committed(spark, path)}
+
+
+def read_codes(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The vocabulary as of a version, by default the newest, in the form that :func:`apply_encoder` takes."""
+    stored = _versions(spark, path)
+    if not stored or (version is not None and version not in stored):
+        raise ValueError(f"no version {version or ''} of codes is stored under {path}")
+    parts = [f"{path}/codes/{place}" for v, place in stored.items() if version is None or v <= version]
+    rows = spark.read.option("recursiveFileLookup", True).schema("value string, frequency long, code long").parquet(*parts)
+    return rows.groupBy("value").agg(F.sum("frequency").alias("frequency"), F.min("code").alias("code"))
+
+
 def apply_encoder(df: DataFrame, encoder: DataFrame, column: str, output: str | None = None) -> DataFrame:
     """Replace values by codes. Values the encoder has not seen get the extra code k; NULL stays NULL.
 

@@ -88,7 +88,7 @@ def anomaly_analysis(spark, folder):
     )
 
 
-_ENDPOINT_SQL = (
+ENDPOINT_SQL = (
     with_ctes(SESSIONS, SESSION_PREDS)
     + """SELECT src AS source_ip, dst AS dest_ip, sport AS source_port, dport AS dest_port, count(*) AS session_count,
   round(sum(pkt_in + pkt_out), 4) AS total_packets, round(sum(b_in + b_out), 4) AS total_bytes,
@@ -108,14 +108,14 @@ def _endpoint_stats(spark, folder):
     return rounded(views["session_stats"], 6, total_packets=4, total_bytes=4, anomaly_rate=2)
 
 
-@query("endpoint_stats", _ENDPOINT_SQL + " ORDER BY session_count DESC")
+@query("endpoint_stats", ENDPOINT_SQL + " ORDER BY session_count DESC")
 def endpoint_stats(spark, folder):
     return _endpoint_stats(spark, folder)
 
 
 @query(
     "top_endpoints",
-    f"SELECT * FROM ({_ENDPOINT_SQL}) ORDER BY session_count DESC, total_bytes DESC, source_ip, dest_ip, dest_port LIMIT 20",
+    f"SELECT * FROM ({ENDPOINT_SQL}) ORDER BY session_count DESC, total_bytes DESC, source_ip, dest_ip, dest_port LIMIT 20",
 )
 def top_endpoints(spark, folder):
     order = [F.desc("session_count"), F.desc("total_bytes"), "source_ip", "dest_ip", "dest_port"]

@@ -44,6 +44,12 @@ def append_batch(df: DataFrame, root: str, batch_id: str, required: Sequence[str
         complete = complete & present
     attempt = f"batch={batch_id}/attempt={uuid.uuid4().hex}"
     df.withColumn(COMPLETE, complete).write.partitionBy(COMPLETE).parquet(f"{root}/batches/{attempt}")
+    return commit(spark, root, batch_id, attempt)
+
+
+def commit(spark: SparkSession, root: str, batch_id: str, attempt: str) -> bool:
+    """Make a written attempt the batch's rows; False if another attempt is."""
+    files, marker = _place(spark, f"{root}/committed/{batch_id}")
     # Creating without overwriting succeeds for one writer only.
     try:
         out = files.create(marker, False)
