@@ -38,14 +38,17 @@ def test_search_finds_all_above_the_threshold():
 
 
 def brute(docs, texts, threshold, overlap):
-    """Every passage against every item."""
+    """Every item against every passage of the length that its own number of words asks for."""
     index = index_of(texts, threshold)
-    ids, length, out = bl.TermIds(index.terms), max(bl.PASSAGE, 2 * index.longest), set()
+    ids, out = bl.TermIds(index.terms), set()
     for d, text in docs:
         flat = [x for x in map(ids.__getitem__, (text or "").encode().split()) if x > -2]
-        for begin in range(0, max(1, len(flat)), length // 2):
-            passage = flat[begin : begin + length]
-            for i in range(len(texts)):
+        for i, item in enumerate(texts):
+            half = 64
+            while half < len(item.split()):
+                half *= 2
+            for begin in range(0, max(1, len(flat)), half):
+                passage = flat[begin : begin + 2 * half]
                 score = sum(index.impacts[i].get(t, 0.0) for t in set(passage))
                 q, a = (bl.share_held(p, passage) for p in index.pieces[i])
                 if score >= threshold and q >= overlap and a >= overlap:
@@ -55,7 +58,7 @@ def brute(docs, texts, threshold, overlap):
 
 def test_equals_brute_force(spark):
     r = random.Random(2)
-    tests = [words(r.randrange(10, 60), seed=900 + k, vocabulary=700) for k in range(30)]
+    tests = [words(r.randrange(10, 60) if k % 6 else r.randrange(60, 300), seed=900 + k, vocabulary=700) for k in range(30)]
     docs = []
     for k in range(60):
         text = words(r.randrange(0, 400), seed=k, vocabulary=700).split()
@@ -71,6 +74,25 @@ def test_equals_brute_force(spark):
         assert {(x["doc_id"], x["item_id"]) for x in got.collect()} == brute(docs, tests, bl.THRESHOLD, bl.OVERLAP)
 
 
+def test_other_items_and_parts_change_nothing(spark):
+    question = words(20, seed=31, vocabulary=500) + "?"
+    answer = words(12, seed=32, vocabulary=500)
+    apart = f"{question} {words(600, seed=33)} {answer}"
+    df = documents(spark, [apart, f"x {question} {answer} y", words(100, seed=34)])
+    few = [(1, f"{question} {answer}"), (2, words(40, seed=35))]
+    long = " ".join(f"q{k}" for k in range(1500))
+    many = [*few, (3, long), (4, long), *[(10 + k, " ".join(f"z{k}x{j}" for j in range(5 + 9 * k))) for k in range(20)]]
+    for rows in (few, many):
+        for part_bytes in (1 << 24, 4000):
+            got = bl.leaks(df, items(spark, rows), part_bytes=part_bytes)
+            assert [(x["doc_id"], x["item_id"]) for x in got.collect()] == [(1, 1)]
+            assert sorted(x["doc_id"] for x in bl.without_leaks(df, items(spark, rows), part_bytes=part_bytes).collect()) == [0, 2]
+
+
+def test_passage_length_follows_the_item():
+    assert [bl.passage_length(n) for n in (1, 2, 63, 64, 65, 128, 129, 1500)] == [128, 128, 128, 128, 256, 256, 512, 4096]
+
+
 def test_question_and_answer_must_both_be_held(spark):
     question = "which of the two rivers that cross the northern valley carries more water in spring?"
     answer = "the eastern one because of melting snow"

@@ -1,8 +1,9 @@
 """Benchmark items in training documents: BM25 over an inverted index of items, by block-max WAND.
 
 The test items are indexed (term -> items with BM25 impacts, in blocks with their largest impact).
-Every document is cut into overlapping passages, long enough that each item lies whole in one of
-them, and each passage is a query. Impacts are divided by the score an item has for its own text,
+Every document is cut into overlapping passages, and each passage is a query. Items of up to 64
+words meet passages of 128 words; for longer ones the passage is twice the next power of two, so
+each item lies whole in one of them and its passages depend on its own length alone. Impacts are divided by the score an item has for its own text,
 so a score is the share of an item that a passage holds, and all items with a score of at least
 ``threshold`` are retrieved. A retrieved item counts as leaked if the passage also holds at least
 ``overlap`` of the three-word pieces of its question and of its answer.
@@ -16,26 +17,32 @@ documents; that choice only moves work and never changes what is found.
 Question and answer: what stands up to the last question mark and after it; without one, the last
 quarter of the words is the answer. Words are letters and digits, lower-cased.
 
-The index is cut into parts of at most ``PART_BYTES`` of item text, with statistics over all items;
-each part is sent to the tasks and all documents meet it. Null and empty texts (of documents and of
-items) match nothing. Null item ids are allowed. Equal items are found each; repeated rows of
-documents give a row each. Extra columns take no part. Empty tables give an empty result.
+Equal items are merged. The rest is cut by length class and hash into parts of about ``PART_BYTES``
+of item text, with statistics over all items; each part's lists are built in a task. The driver
+holds and sends out ``PART_BYTES`` of parts at a time, which all documents meet in one pass.
+Adding items changes the rows of others through the BM25 statistics only.
+
+Null and empty texts (of documents and of items) match nothing. Null item ids are allowed. Equal
+items are found each; repeated rows of documents give a row each. Extra columns take no part. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trafficlens.llm.common import broadcast_value, documents, materialize, shared_value, slices, table, texts_of
+from trafficlens.llm.common import documents, materialize, slices, table, texts_of
+from trafficlens.session import broadcast_if_small
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -84,13 +91,13 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Index:
-    """Inverted index of some items, with statistics over all items."""
+    """Inverted index of some items (name, words, length of the question), with statistics over all items."""
 
     def __init__(self, items: list[tuple], df: dict[str, int], n_items: int, mean_length: float, threshold: float, seen: dict[str, int]):
         self.items = items
         self.terms: dict[str, int] = {}
         lists: list[list[tuple[int, float]]] = []
-        self.longest = max((len(w) for _, w, _ in items), default=1)
+        self.length = passage_length(max((len(w) for _, w, _ in items), default=1))
         for number, (_, words, _) in enumerate(items):
             impact = {}
             for term, tf in Counter(words).items():
@@ -215,6 +222,11 @@ class TermIds(dict):
         return value
 
 
+def passage_length(words: int) -> int:
+    """Length of the passages for an item of so many words."""
+    return max(PASSAGE, 2 << (words - 1).bit_length())
+
+
 def passages(counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, begin, end) of overlapping passages; a step is half a passage."""
     step = length // 2
@@ -230,51 +242,70 @@ def passages(counts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, n
 class Finder:
     """Leaked items in batches of texts."""
 
-    def __init__(self, index: Index, threshold: float, overlap: float):
-        self.index, self.threshold, self.overlap = index, threshold, overlap
-        self.ids = TermIds(index.terms)
-        self.length = max(PASSAGE, 2 * index.longest)
-        self.weights = np.concatenate([index.rare_top, [0.0]])
-
-    def find(self, texts: list[bytes]) -> dict[tuple[int, int], tuple[float, float, float]]:
-        """(text, item) -> best score and overlaps."""
-        index, least = self.index, self.index.open - 1e-6
+    def __init__(self, indexes: list[Index], threshold: float, overlap: float):
+        self.threshold, self.overlap = threshold, overlap
+        terms: dict[str, int] = {}
+        for index in indexes:
+            for term in index.terms:
+                terms.setdefault(term, len(terms))
+        self.ids = TermIds(terms)
+        self.indexes = []
+        for index in indexes:
+            # The index's number of each term; unknown words (-1) read the last place.
+            own = np.full(len(terms) + 1, -1, np.int32)
+            own[[terms[t] for t in index.terms]] = list(index.terms.values())
+            self.indexes.append((index, own, np.concatenate([index.rare_top, [0.0]])))
+
+    def find(self, texts: list[bytes]) -> dict[tuple[int, str], tuple[float, float, float]]:
+        """(text, name of the item) -> best score and overlaps."""
         lists = [t.split() for t in texts]
-        flat = np.fromiter(map(self.ids.__getitem__, chain.from_iterable(lists)), np.int32)
+        words = np.fromiter(map(self.ids.__getitem__, chain.from_iterable(lists)), np.int32)
         of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        of, flat = of[flat > -2], flat[flat > -2]
-        doc, begin, end = passages(np.bincount(of, minlength=len(lists)).astype(np.int64), self.length)
-        sums = np.concatenate([[0.0], np.cumsum(self.weights[flat])])
-        best: dict[tuple[int, int], tuple] = {}
-        for j in np.flatnonzero(sums[end] - sums[begin] >= least).tolist():
-            passage = flat[begin[j] : end[j]].tolist()
-            terms = set(passage) - {-1}
-            for number, score in index.search(terms, self.threshold):
-                question, answer = (share_held(p, passage) for p in index.pieces[number])
-                if question >= self.overlap and answer >= self.overlap:
-                    key = (int(doc[j]), number)
-                    best[key] = max(best.get(key, (0.0,)), (score, question, answer))
+        of, words = of[words > -2], words[words > -2]
+        counts = np.bincount(of, minlength=len(lists)).astype(np.int64)
+        best: dict[tuple[int, str], tuple] = {}
+        for index, own, weights in self.indexes:
+            flat = own[words]
+            doc, begin, end = passages(counts, index.length)
+            sums = np.concatenate([[0.0], np.cumsum(weights[flat])])
+            for j in np.flatnonzero(sums[end] - sums[begin] >= index.open - 1e-6).tolist():
+                passage = flat[begin[j] : end[j]].tolist()
+                for number, score in index.search(set(passage) - {-1}, self.threshold):
+                    question, answer = (share_held(p, passage) for p in index.pieces[number])
+                    if question >= self.overlap and answer >= self.overlap:
+                        key = (int(doc[j]), index.items[number][0])
+                        best[key] = max(best.get(key, (0.0,)), (score, question, answer))
         return best
 
 
-def _reporter(shared, threshold: float, overlap: float):
-    schema = pa.schema([("doc", pa.int64()), ("number", pa.int32()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
+def _restored(shared: Broadcast) -> list[Index]:
+    """Indexes from their values, in a task."""
+    found = []
+    for values in shared.value:
+        index = Index.__new__(Index)
+        vars(index).update(pickle.loads(values))
+        found.append(index)
+    return found
+
+
+def _reporter(shared: Broadcast, threshold: float, overlap: float):
+    schema = pa.schema([("doc", pa.int64()), ("key", pa.string()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared_value(shared), threshold, overlap)
+        finder = Finder(_restored(shared), threshold, overlap)
         for part in slices(batches):
             best = finder.find(texts_of(part.column("text")))
             if best:
                 docs = part.column("doc").take(pa.array([d for d, _ in best]))
                 scores = list(zip(*best.values()))
-                yield pa.RecordBatch.from_arrays([docs, pa.array([i for _, i in best], pa.int32()), *[pa.array(s, pa.float64()) for s in scores]], schema=schema)
+                yield pa.RecordBatch.from_arrays([docs, pa.array([k for _, k in best]), *[pa.array(s, pa.float64()) for s in scores]], schema=schema)
 
     return report
 
 
-def _remover(shared, threshold: float, overlap: float):
+def _remover(shared: Broadcast, threshold: float, overlap: float):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared_value(shared), threshold, overlap)
+        finder = Finder(_restored(shared), threshold, overlap)
         for part in slices(batches, "_text"):
             leaked = {d for d, _ in finder.find(texts_of(part.column("_text")))}
             yield part.filter(pa.array([i not in leaked for i in range(part.num_rows)], pa.bool_())) if leaked else part
@@ -282,24 +313,54 @@ def _remover(shared, threshold: float, overlap: float):
     return remove
 
 
-def indexes(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text: str, threshold: float, part_bytes: int) -> list[Index]:
-    """The items' index, in parts of bounded size."""
-    texts = docs.select(F.col(f"`{text_col}`").alias("text"))
+def _builder(n_items: int, mean_length: float, threshold: float):
+    def build(part: pa.Table) -> pa.Table:
+        rows = sorted(part.select(["key", "words", "answer", "terms"]).to_pylist(), key=lambda r: r["key"])
+        terms = [t for r in rows for t in r["terms"]]
+        index = Index([(r["key"], r["words"], r["answer"]) for r in rows], {t["term"]: t["df"] for t in terms}, n_items, mean_length, threshold,
+                      {t["term"]: t["n"] or 0 for t in terms})
+        return pa.table({"length": part.column("length")[:1], "part": part.column("part")[:1], "index": pa.array([pickle.dumps(vars(index))], pa.binary())})
+
+    return build
+
+
+def named_items(items: DataFrame, item_col: str, item_text: str) -> DataFrame:
+    """(item, words, answer, key) of all items with words; equal items have one key."""
     named = items.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text}`").alias("text"))
-    words = materialize(named.mapInArrow(_item_words, "item long, words array<string>, answer int").where(F.size("words") > 0), "leak-items")
-    stats = words.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean"), F.sum(F.length(F.array_join("words", " "))).alias("size")).first()
+    words = named.mapInArrow(_item_words, "item long, words array<string>, answer int").where(F.size("words") > 0)
+    return materialize(words.withColumn("key", F.sha2(F.concat_ws(" ", F.col("answer").cast("string"), "words"), 256)), "leak-items")
+
+
+def _length_class() -> Column:
+    """:func:`passage_length` of the item as a column."""
+    return F.greatest(F.lit(PASSAGE), F.expr("shiftleft(2, if(size(words) = 1, 0, length(bin(size(words) - 1))))"))
+
+
+def indexes(texts: DataFrame, words: DataFrame, threshold: float, part_bytes: int) -> Iterator[Broadcast]:
+    """The items' index, a bounded number of parts at a time, sent to the tasks."""
+    spark = words.sparkSession
+    stats = words.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean")).first()
     if not stats["n"]:
-        return []
+        return
     df = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     sampled = texts.sample(SAMPLE, seed=1).mapInArrow(_word_counts, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    known = materialize(df.join(sampled, "term", "left"), "leak-terms")
-    parts, found = -(-stats["size"] // part_bytes), []
-    for k in range(parts):
-        here = words.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k)
-        held = sorted(((r["item"], r["words"], r["answer"]) for r in here.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        terms = here.select(F.explode("words").alias("term")).distinct().join(known, "term").collect()
-        found.append(Index(held, {r["term"]: r["df"] for r in terms}, stats["n"], stats["mean"], threshold, {r["term"]: r["n"] or 0 for r in terms}))
-    return found
+    merged = words.groupBy("key").agg(F.first("words").alias("words"), F.first("answer").alias("answer")).withColumn("length", _length_class())
+    sizes = merged.groupBy("length").agg(F.sum(F.length(F.array_join("words", " "))).alias("size"))
+    parts = {r["length"]: -(-r["size"] // part_bytes) for r in sizes.collect()}  # one row per power of two
+    count = F.coalesce(*[F.when(F.col("length") == length, n) for length, n in parts.items()])
+    dealt = merged.withColumn("part", F.pmod(F.xxhash64("key"), count))
+    known = merged.select("key", F.explode(F.array_distinct("words")).alias("term")).join(df, "term").join(sampled, "term", "left")
+    with_terms = dealt.join(known.groupBy("key").agg(F.collect_list(F.struct("term", "df", "n")).alias("terms")), "key")
+    built = materialize(with_terms.groupBy("length", "part").applyInArrow(
+        _builder(stats["n"], stats["mean"], threshold), "length int, part long, index binary"), "leak-index")
+    held: list[bytes] = []
+    places = built.select("length", "part", F.length("index").alias("size")).orderBy("length", "part").collect()  # one short row per part
+    for place in places:
+        if held and sum(map(len, held)) + place["size"] > part_bytes:
+            yield spark.sparkContext.broadcast(held)
+            held = []
+        held.append(bytes(built.where((F.col("length") == place["length"]) & (F.col("part") == place["part"])).first()["index"]))
+    yield spark.sparkContext.broadcast(held)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -307,24 +368,24 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """(doc_id, item_id, score, question_overlap, answer_overlap) of every document that holds an item."""
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    words = named_items(items, item_col, item_text)
+    names = broadcast_if_small(words.select("key", F.col("item").alias("item_id")))
     found = spark.createDataFrame([], "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
-    for index in indexes(docs, items, text_col, item_col, item_text, threshold, part_bytes):
-        names = F.broadcast(spark.createDataFrame([(i, item[0]) for i, item in enumerate(index.items)], "number int, item_id long"))
-        shared = broadcast_value(spark, index)
-        hits = rows.mapInArrow(_reporter(shared, threshold, overlap), "doc long, number int, score double, question_overlap double, answer_overlap double")
-        found = found.unionByName(hits.join(names, "number").select(F.col("doc").alias("doc_id"), "item_id", "score", "question_overlap", "answer_overlap"))
+    for shared in indexes(rows.select("text"), words, threshold, part_bytes):
+        hits = rows.mapInArrow(_reporter(shared, threshold, overlap), "doc long, key string, score double, question_overlap double, answer_overlap double")
+        found = found.unionByName(hits.join(names, "key").select(F.col("doc").alias("doc_id"), "item_id", "score", "question_overlap", "answer_overlap"))
     return found
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                   threshold: float = THRESHOLD, overlap: float = OVERLAP, part_bytes: int = PART_BYTES) -> DataFrame:
-    """The documents that hold no item, in one pass per part of the index and without a shuffle."""
+    """The documents that hold no item, without a shuffle of documents."""
     fields = [T.StructField(f"_{i}", f.dataType) for i, f in enumerate(docs.schema)]
     at = docs.columns.index(text_col)
     rows = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col(f"`{text_col}`").alias("_text"))
     schema = T.StructType([*fields, T.StructField("_text", docs.schema[at].dataType)])
-    for index in indexes(docs, items, text_col, item_col, item_text, threshold, part_bytes):
-        rows = rows.mapInArrow(_remover(broadcast_value(docs.sparkSession, index), threshold, overlap), schema)
+    for shared in indexes(docs.select(F.col(f"`{text_col}`").alias("text")), named_items(items, item_col, item_text), threshold, part_bytes):
+        rows = rows.mapInArrow(_remover(shared, threshold, overlap), schema)
     return rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
