@@ -95,6 +95,7 @@ def test_narrow_and_wide_correlation_agree(spark, monkeypatch):
     rows = [(1e9 + (1e-4 if i % 2 else -1e-4), float(i % 2), float(i), NAN if i == 3 else 5.0, 7.0) for i in range(60)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
     names = df.columns
+    monkeypatch.setattr(correlation, "PAIRWISE_LIMIT", len(names))
     narrow = {(r[0], r[1]): r[2] for r in correlation.correlation_long(df, names).collect()}
     monkeypatch.setattr(correlation, "PAIRWISE_LIMIT", 2)
     for r in correlation.correlation_long(df, names).collect():

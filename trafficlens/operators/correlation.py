@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from trafficlens.functions.columns import clean_number, named
 from trafficlens.operators.wide import feature_stats, packed_array
 
-PAIRWISE_LIMIT = 12
+PAIRWISE_LIMIT = 3
 FLAT = 1e-12  # deviation, in units of the mean or 1, up to which a column counts as constant
 
 

@@ -20,7 +20,7 @@ DIRTY = """dirty AS (
 _D = with_ctes(TRAFFIC, DIRTY)
 
 
-def _place(spark, label: str) -> str:
+def place(spark, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
@@ -99,7 +99,7 @@ def hourly_dirty(spark, folder):
 )
 def infer_schema_audit(spark, folder):
     """Types of the events written as CSV; one column has values in error rows only, two hold codes."""
-    path = _place(spark, "typed-csv")
+    path = place(spark, "typed-csv")
     events = tables.table(spark, folder, "events")
     rows = events.select(
         "event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "value", (F.col("value") > 100).alias("large"),
@@ -118,7 +118,7 @@ def infer_schema_audit(spark, folder):
 )
 def csv_rejects(spark, folder):
     """Errors get an unreadable size; they are set aside with their text and counted."""
-    path = _place(spark, "rejects")
+    path = place(spark, "rejects")
     size = F.when(F.col("traffic_type") == "error", F.lit("n/a")).otherwise(F.col("packet_size").cast("string"))
     writers.export_csv(tables.traffic(spark, folder).select("id", "source_id", size.alias("packet_size")), f"{path}/csv")
     schema = T.StructType.fromDDL("id long, source_id long, packet_size double")
@@ -131,7 +131,7 @@ def csv_rejects(spark, folder):
 @query("plain_csv_scan", with_ctes(TRAFFIC) + "SELECT id, log_time, traffic_type, packet_size FROM traffic")
 def plain_csv_scan(spark, folder):
     """The traffic as comma CSV, read back with a fixed schema."""
-    path = _place(spark, "plain-csv")
+    path = place(spark, "plain-csv")
     rows = tables.traffic(spark, folder).select("id", "log_time", "traffic_type", "packet_size")
     writers.export_csv(rows, path)
     return readers.split_bad_records(readers.read_csv(spark, path, rows.schema))[0]
@@ -145,7 +145,7 @@ def plain_csv_scan(spark, folder):
 )
 def predictions_both_models(spark, folder):
     """Both models' rows in one table; the first model's are replaced without touching the other's."""
-    out, rows = _place(spark, "predictions"), tables.predictions(spark, folder)
+    out, rows = place(spark, "predictions"), tables.predictions(spark, folder)
     for model in (jobs.DETECTOR, jobs.CLASSIFIER, jobs.DETECTOR):
         stored = jobs.store_predictions(rows.filter(F.col("model_type") == model).drop("model_type"), out, model)
     groups = stored.groupBy("model_type", "traffic_type", F.to_date("log_time").alias("day"))
@@ -175,7 +175,7 @@ def correlation_wide(spark, folder):
 )
 def run_log_json(spark, folder):
     """Run records with their step lists and maps, through JSON lines."""
-    path = _place(spark, "runs")
+    path = place(spark, "runs")
     log = tables.run_log(spark, folder)
     records = readers.conform(log, {f.name: F.lit(None) for f in schemas.layout("pipeline_runs")} | {
         "run_id": "run_id", "timestamp": "timestamp", "mode": "mode", "execution_time_seconds": "execution_time_seconds", "success": "success",
@@ -195,7 +195,7 @@ def run_log_json(spark, folder):
 )
 def metric_history_json(spark, folder):
     """Performance records through the JSON history, the newest hundred."""
-    path = _place(spark, "metrics")
+    path = place(spark, "metrics")
     records = tables.performance_history(spark, folder)
     writers.append_metrics(records.withColumn("timestamp", F.col("timestamp").cast("timestamp")), path)
     kept = writers.read_metrics(spark, path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
@@ -211,7 +211,7 @@ FROM sessions""",
 def batch_run_audit(spark, folder):
     """The whole batch run over the sessions, with a label that follows from the price."""
     sessions = tables.sessions(spark, folder).withColumn("label", (F.col("total_price") > 250000).cast("int"))
-    done = jobs.run_batch(spark, sessions.drop("total_price"), _place(spark, "batch"), validate=True)
+    done = jobs.run_batch(spark, sessions.drop("total_price"), place(spark, "batch"), validate=True)
     stored = done.frames["predictions"].agg(F.count("*").alias("n"), F.count_distinct("model_type").alias("m")).first()
     total = F.col("total_records")
     return done.frames["summary_stats"].select(
@@ -267,7 +267,7 @@ def hourly_sync_audit(spark, folder):
     t = tables.traffic(spark, folder)
     packets = t.select("id", F.col("log_time").alias("timestamp"), "packet_size")
     model = iforest.fit_forest(packets.withColumn("hour", F.hour("timestamp")), "id", ["packet_size", "hour"])
-    return jobs.hourly_sync(packets, model, _place(spark, "sync"), threshold=200).drop("prediction_anomalies")
+    return jobs.hourly_sync(packets, model, place(spark, "sync"), threshold=200).drop("prediction_anomalies")
 
 
 @query(
@@ -310,7 +310,7 @@ FROM dirty GROUP BY ALL""",
 )
 def batch_append(spark, folder):
     """Three batches, one of which fails at first and one of which comes twice; good and bad rows by type."""
-    root, rows = _place(spark, "batches"), tables.dirty_traffic(spark, folder)
+    root, rows = place(spark, "batches"), tables.dirty_traffic(spark, folder)
 
     def batch(k):
         return rows.filter(F.pmod("id", F.lit(3)) == k)
@@ -340,7 +340,7 @@ def incremental_ties(spark, folder):
     middle = F.date_trunc("hour", F.lit(middle)).cast("timestamp_ntz")
     arrived = rows.filter((F.col("hour") < middle) | ((F.col("hour") == middle) & (F.col("id") % 3 != 0)))
     nothing = spark.createDataFrame([], "hour timestamp_ntz, id long")
-    path = _place(spark, "marks")
+    path = place(spark, "marks")
     first = readers.rows_since(arrived, nothing, "hour", "id")
     writers.replace_table(readers.composite_mark(first, "hour", "id"), path)
     second = readers.rows_since(rows, spark.read.parquet(path), "hour", "id")

@@ -22,7 +22,7 @@ from trafficlens.operators.cleaning import flags_to_int, sanitize_numbers
 from trafficlens.operators.encoding import apply_encoder, fit_encoder
 from trafficlens.operators.features import preprocess
 from trafficlens.operators.monitoring import performance_record
-from trafficlens.operators.sampling import hash_split, sample_rows, split_frames
+from trafficlens.operators.sampling import hash_split, sample_rows
 from trafficlens.plans.views import DETECTOR, register_views
 from trafficlens.session import materialize, scratch
 from trafficlens.sources import writers
@@ -95,18 +95,18 @@ def score_sessions(sessions: DataFrame, features: Sequence[str], contamination:
 def classify_sessions(
     sessions: DataFrame, features: Sequence[str], label: str = "label", **options
 ) -> tuple[DataFrame, DataFrame, PipelineModel]:
-    """Train on the hash-split train side. Returns predictions for all rows, scored held-out rows, model."""
-    rows = sessions.withColumn(label, F.coalesce(F.col(label), F.lit(0)).cast("int"))
-    train, test = split_frames(rows, "id")
-    model = classifiers.fit_random_forest(train, features, label, **options)
+    """Train on the hash-split train side. Returns predictions for all rows, scored held-out rows, model.
+
+    Every row is scored once; both results read the stored scores.
+    """
+    rows = hash_split(sessions.withColumn(label, F.coalesce(F.col(label), F.lit(0)).cast("int")), "id")
+    model = classifiers.fit_random_forest(rows.filter("split = 'train'").drop("split"), features, label, **options)
     chance = F.array_max(classifiers.vector_to_array(F.col("probability")))
-    predicted = model.transform(rows).select(
-        F.col("id").alias("original_id"),
-        F.col("prediction").cast("int").alias("predicted_label"),
-        chance.alias("confidence_score"),
-    )
-    held_out = model.transform(test).select("id", label, F.col("prediction").cast("int").alias("prediction"))
-    return predicted, held_out, model
+    scored = materialize(
+        model.transform(rows).select("id", label, "split", F.col("prediction").cast("int").alias("prediction"), chance.alias("confidence_score")),
+        "session-scores")
+    predicted = scored.select(F.col("id").alias("original_id"), F.col("prediction").alias("predicted_label"), "confidence_score")
+    return predicted, scored.filter("split = 'test'").select("id", label, "prediction"), model
 
 
 def summary_row(results: DataFrame, supervised: DataFrame | None, accuracy: float | None) -> DataFrame:
