@@ -126,3 +126,14 @@ def test_many_equal_rows_share_their_marks(spark):
     assert sum(len(r["m"]) for r in marks.collect()) < 100
     rows = [(7, text)] * 400
     assert found(df) == brute(rows, 20)
+
+
+def test_line_quoted_everywhere(spark):
+    """A line shorter than a window in hundreds of surroundings: one anchor with a path per document."""
+    line = words(12, seed=1, vocabulary=5000)
+    texts = [f"{words(15, seed=10 + k, vocabulary=5000)} {line} {words(15, seed=900 + k, vocabulary=5000)}" for k in range(300)]
+    texts += [f"{words(9, seed=7000, vocabulary=5000)} {texts[5]}", texts[8]]
+    rows = list(enumerate(texts))
+    got = found(documents(spark, texts).repartition(4))
+    assert got == brute(rows, 20)
+    assert sum(r[2] for r in got) == 84

@@ -5,10 +5,13 @@ never followed edge by edge: each window has an anchor, its 8-word piece of leas
 neighbouring windows with the same anchor form one compacted path (about one row per 7 words).
 Equal windows have equal anchors, so
 
-1. paths with equal words are merged to their earliest source coordinate (one shuffle on anchors);
+1. paths with equal words are merged to their earliest source coordinate, and beside them the least
+   and greatest path of each anchor (one shuffle; both are merged in the tasks before, so neither a
+   path nor an anchor that a third of all documents hold gathers in one task);
 2. an anchor with one path is unbranched: later copies of it repeat all their windows;
 3. an anchor with several paths branches: only there the single windows are compared, each with its
-   earliest source coordinate among the anchor's distinct paths.
+   earliest source coordinate among the anchor's distinct paths. Windows of one path never equal each
+   other, so an anchor that is taken for a branching one by mistake costs space only.
 
 Coordinates (document, start) of the marked windows are joined back to the texts, where the words
 under them are removed. A path is known by two 64-bit hashes, a window by its anchor's and its own.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,16 +94,26 @@ class Paths:
 
 
 def _first_paths(window: int, anchor: int):
-    """Per task, each path once with its earliest coordinate and its number."""
-    schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int64())])
+    """Per task, each path once with its earliest coordinate and its number, and each anchor once,
+    without a ``span``, with its least and greatest path."""
+    schema = pa.schema([("anchor", pa.int64()), ("span", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int64()),
+                        ("least", pa.int64()), ("greatest", pa.int64())])
 
-    def merged(parts: list[tuple]) -> pa.RecordBatch:
+    def batch(size: int, **columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+    def merged(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         a, s, d, p = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((p, d, s, a))
         a, s, d, p = a[order], s[order], d[order], p[order]
         new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (s[1:] != s[:-1])]))
         n = np.diff(np.concatenate([new, [len(a)]]))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (a[new], s[new], d[new], p[new].astype(np.int32), n)], schema=schema)
+        a, s = a[new], s[new]
+        yield batch(len(a), anchor=a, span=s, doc=d[new], start=p[new].astype(np.int32), n=n)
+        edge = np.flatnonzero(a[1:] != a[:-1])
+        first, last = np.concatenate([[0], edge + 1]), np.concatenate([edge, [len(a) - 1]])
+        yield batch(len(first), anchor=a[first], least=s[first], greatest=s[last])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -111,14 +124,15 @@ def _first_paths(window: int, anchor: int):
                 parts.append((paths.anchor.view(np.int64), paths.span.view(np.int64), ids[paths.doc], paths.start))
                 held += len(paths.doc)
             if held > FLUSH_ROWS:
-                yield merged(parts)
+                yield from merged(parts)
                 parts, held = [], 0
         if parts:
-            yield merged(parts)
+            yield from merged(parts)
 
     return scan
 
 
+PATHS = "anchor long, span long, doc long, start int, n long, least long, greatest long"
 OCCURRENCES = "anchor long, span long, doc long, row long, start int, n int, windows array<long>"
 
 
@@ -131,10 +145,11 @@ def _occurrences(window: int, anchor: int, shared):
             paths = Paths(texts_of(part.column("text")), window, anchor)
             if not len(paths.doc):
                 continue
-            keep = np.flatnonzero(has_bit(path_bits, paths.anchor ^ paths.span))
+            branches = has_bit(branch_bits, paths.anchor)
+            keep = np.flatnonzero(branches | has_bit(path_bits, paths.anchor ^ paths.span))
             if not len(keep):
                 continue
-            branching = has_bit(branch_bits, paths.anchor[keep])
+            branching = branches[keep]
             offsets, values = paths.windows(keep[branching])
             lengths = np.zeros(len(keep), np.int64)
             lengths[branching] = np.diff(offsets)
@@ -145,7 +160,7 @@ def _occurrences(window: int, anchor: int, shared):
                 pa.array(part.column("doc").to_numpy(zero_copy_only=False)[doc]),
                 pa.array(part.column("row").to_numpy(zero_copy_only=False)[doc]),
                 pa.array(paths.start[keep].astype(np.int32)), pa.array(paths.n[keep].astype(np.int32)),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array(~branching)),
             ], names=["anchor", "span", "doc", "row", "start", "n", "windows"])
 
     return scan
@@ -158,28 +173,26 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         raise ValueError(f"an anchor of {anchor} words does not fit into a window of {window}")
     spark, keyed = docs.sparkSession, keyed_texts(docs, id_col, text_col)
     tag = uuid.uuid4().hex[:8]
-    local = keyed.select("doc", "text").mapInArrow(_first_paths(window, anchor), "anchor long, span long, doc long, start int, n long")
-    paths = (
-        local.repartition("anchor").groupBy("anchor", "span")
-        .agg(F.min(F.struct("doc", "start")).alias("first"), F.sum("n").alias("n"))
-    )
-    # The rows are dealt by anchor already, so this needs no further shuffle or reading.
-    same = Window.partitionBy("anchor")
-    known = (
-        paths.withColumn("branch", F.min("span").over(same) != F.max("span").over(same)).where("n > 1 OR branch")
-        .select("anchor", "span", F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start"), "branch")
-    )
-    known = materialize(known, f"repeat-paths-{tag}")
-    bits = BITS_MIN
-    while bits < BITS_MAX and bits < BITS_PER_PATH * known.count():
-        bits *= 2
-    shared = spark.sparkContext.broadcast((
-        bit_table(known, F.col("anchor").bitwiseXOR(F.col("span")), bits),
-        bit_table(known.where("branch"), F.col("anchor"), bits),
-    ))
-    found = keyed.mapInArrow(_occurrences(window, anchor, shared), OCCURRENCES).join(known, ["anchor", "span"])
-    is_first = (F.col("doc") == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
-    found = found.select("anchor", "doc", "row", "start", "n", is_first.alias("is_first"), F.when(is_first & F.col("branch"), F.col("windows")).alias("windows"))
+    local = keyed.select("doc", "text").mapInArrow(_first_paths(window, anchor), PATHS)
+    merged = local.repartition("anchor", "span").groupBy("anchor", "span").agg(
+        F.min(F.struct("doc", "start")).alias("first"), F.sum("n").alias("n"), F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+    # Paths that occur again, and the anchors that branch.
+    merged = merged.where("n > 1 OR least < greatest").select(
+        "anchor", "span", F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start"))
+    merged = materialize(merged, f"repeat-paths-{tag}")
+    known, branching = merged.where("span IS NOT NULL"), merged.where("span IS NULL")
+
+    def table(keys: DataFrame, key: Column) -> np.ndarray:
+        bits, wanted = BITS_MIN, BITS_PER_PATH * keys.count()
+        while bits < BITS_MAX and bits < wanted:
+            bits *= 2
+        return bit_table(keys, key, bits)
+
+    shared = spark.sparkContext.broadcast((table(known, F.col("anchor").bitwiseXOR(F.col("span"))), table(branching, F.col("anchor"))))
+    # A path at a branching anchor that is not among the known ones occurs once and is its own first.
+    found = keyed.mapInArrow(_occurrences(window, anchor, shared), OCCURRENCES).join(known, ["anchor", "span"], "left")
+    is_first = F.col("first_doc").isNull() | ((F.col("doc") == F.col("first_doc")) & (F.col("start") == F.col("first_start")))
+    found = found.select("anchor", "doc", "row", "start", "n", is_first.alias("is_first"), F.when(is_first, F.col("windows")).alias("windows"))
     found = materialize(found.where("NOT is_first OR windows IS NOT NULL"), f"repeat-found-{tag}")
     single = found.where("is_first").select("anchor", "doc", "row", "start", F.posexplode("windows").alias("i", "hash"))
     single = single.select("anchor", "hash", "doc", "row", (F.col("start") + F.col("i")).alias("start"))
