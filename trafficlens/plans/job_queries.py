@@ -96,9 +96,12 @@ def mode_run_predictions(spark, folder):
   CASE WHEN {_IS_ERROR} = 1 THEN 'anomaly' ELSE 'normal' END AS traffic_type FROM coded""",
 )
 def score_only_run(spark, folder):
-    """Rows without a label, scored by the model that an earlier run saved; the earlier rows are replaced."""
+    """Rows without a label, scored by the model that an earlier run saved; the earlier rows are replaced.
+
+    The model was fitted without clicks, so their code is new to it and all other codes must be its own.
+    """
     out, rows = place(spark, "modes"), _labelled_requests(spark, folder)
-    jobs.run_mode(spark, rows.filter(F.pmod("id", F.lit(2)) == 0), out, "supervised", encode=["traffic_type"], trees=25)
+    jobs.run_mode(spark, rows.filter("traffic_type <> 'click'"), out, "supervised", encode=["traffic_type"], trees=25)
     jobs.run_mode(spark, rows.drop("label"), out, "supervised", encode=["traffic_type"])
     return jobs.read_predictions(spark, out).select("session_id", "model_type", "prediction", "traffic_type")
 

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -250,7 +251,9 @@ def run_mode(
 ) -> RunOutcome:
     """Preprocess HTTP traffic, then train and evaluate ('supervised') or detect ('unsupervised').
 
-    Supervised rows without a label are scored with the saved model instead.
+    Supervised rows without a label are scored with the saved model instead, and with the codes of
+    the ``encode`` columns that were stored with it: a value the model has not seen gets the code
+    after all others.
     """
     outcome = RunOutcome()
     begun = datetime.now(timezone.utc)
@@ -261,7 +264,10 @@ def run_mode(
             raise ValueError("no input rows")
         outcome.steps.append("ingest")
         with scratch(spark):
-            ready = _stored(preprocess(sanitized(traffic), encode=encode), f"{out}/preprocessed")
+            clean = preprocess(sanitized(traffic))
+            if encode:
+                clean = _with_codes(materialize(clean, "clean-rows"), f"{out}/models/{mode}_codes", encode, mode)
+            ready = _stored(clean, f"{out}/preprocessed")
             outcome.steps.append("preprocessing")
             stage = _supervised if mode == "supervised" else _unsupervised
             stage(spark, ready, out, outcome, history, options)
@@ -272,6 +278,18 @@ def run_mode(
     return outcome
 
 
+def _with_codes(rows: DataFrame, path: str, columns: Sequence[str], mode: str) -> DataFrame:
+    """Text columns by their codes: from these rows and stored, or the stored ones where a saved model scores."""
+    spark, learns = rows.sparkSession, mode == "unsupervised" or has_labels(rows, "label")
+    for column in columns:
+        place = f"{path}/{quote(column, safe='')}"
+        if learns:
+            writers.replace_table(fit_encoder(rows, column), place)
+        coded = apply_encoder(rows, spark.read.parquet(place), column, "_encoded")
+        rows = coded.withColumn(column, F.col("_encoded")).drop("_encoded")
+    return rows
+
+
 def _supervised(spark, ready, out, outcome, history, options) -> None:
     features = [c for c in feature_columns(ready) if c != "response_code"]
     path = f"{out}/models/classifier"
