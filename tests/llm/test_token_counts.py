@@ -82,6 +82,21 @@ def test_table_of_edits(spark, counter):
     assert all(x["n_tokens"] == whole(counter, x["text"]) for x in more.collect())
 
 
+def test_edits_of_null_ids_and_clashing_names(spark, counter):
+    texts = ["one two", "three", "four five", None]
+    state = with_clashes(tc.count_tokens(documents(spark, texts, [1, None, 2, None])))
+    state = state.withColumns({"_key": F.lit("other"), "_steps": F.lit("other"), "_listed": F.lit("other"), "edits": F.lit("old")})
+    rows = [(None, 2, 0, 0, "b"), (None, 1, 0, 0, "a"), (2, 1, 0, 4, "six"), (2, 1, 0, 0, ""), (9, 1, 0, 1, "lost")]
+    edits = spark.createDataFrame(rows, "doc_id long, seq int, at int, removed int, inserted string")
+    gathered = tc.gather_edits(state, edits)
+    assert gathered.columns == [c for c in state.columns if c != "edits"] + ["edits"]
+    done = tc.apply_edits(gathered).collect()
+    assert sorted(x["text"] for x in done) == ["ba", "bathree", "one two", "six five"]
+    assert all(x["n_tokens"] == whole(counter, x["text"]) and x["_listed"] == "other" for x in done)
+    empty = tc.gather_edits(state.limit(0), edits.limit(0))
+    assert empty.count() == 0
+
+
 def test_query_counts_whole_texts(spark, folder, counter):
     texts = {r["doc_id"]: (r["text"], r["e"]) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", tc.revisions(F.col("text")).alias("e")).collect()}
     rows = tc.op3_token_counts(spark, folder).collect()

@@ -222,10 +222,21 @@ def apply_edits(state: DataFrame, edits: str = "edits", text_col: str = "text",
 
 
 def gather_edits(state: DataFrame, edits: DataFrame, key: str = "doc_id", order: str = "seq", into: str = "edits") -> DataFrame:
-    """The state with the edits of a table (key, order, at, removed, inserted) as one array per row."""
-    listed = edits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, "at", "removed", "inserted"))).alias("_listed"))
-    joined = state.join(listed, key, "left")
-    return joined.withColumn(into, F.transform("_listed", lambda e: F.struct(e["at"], e["removed"], e["inserted"]))).drop("_listed")
+    """The state with the edits of a table (key, order, at, removed, inserted) as one array per row.
+
+    Rows that share a key get the same edits, those with a null key the edits of null keys. Rows without
+    edits get a null array. Edits of equal order follow by place, so reruns agree; a column of the state
+    that is named as ``into`` is replaced, other columns stay in order. The edits of one document meet in
+    one row, as they are applied one after the other.
+    """
+    step = F.struct(F.col(f"`{order}`").alias("_order"), "at", "removed", "inserted")
+    listed = edits.select(F.col(f"`{key}`").alias("_key"), step.alias("_step")).groupBy("_key").agg(F.sort_array(F.collect_list("_step")).alias("_steps"))
+    # The state's columns travel under numbers, so that none clashes with those used here.
+    rows = state.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(state.columns)])
+    joined = rows.join(listed, F.col(f"_{state.columns.index(key)}").eqNullSafe(F.col("_key")), "left")
+    found = F.transform("_steps", lambda e: F.struct(e["at"].alias("at"), e["removed"].alias("removed"), e["inserted"].alias("inserted")))
+    kept = [F.col(f"_{i}").alias(c) for i, c in enumerate(state.columns) if c != into]
+    return joined.select(*kept, found.alias(into))
 
 
 def revisions(text: Column) -> Column:
