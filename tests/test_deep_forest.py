@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trafficlens.operators import deep_forest as deep
 
@@ -113,3 +114,24 @@ def test_equal_rows_missing_numbers_and_bounds(spark):
     few = deep.fit(frame(spark, rows), ["a"], trees=1, fit_rows=200)
     assert 50 < sum(sum(r["counts"]) for r in few.nodes.filter("counts IS NOT NULL").collect()) < 600
     assert deep.predict(frame(spark, []), few).collect() == []
+
+
+def test_trees_too_large_to_be_sent_score_the_same(spark, monkeypatch):
+    df = frame(spark, [*some_rows(900, noise=0.4), (5000, None, 1.0, float("nan"), "x"), (5001, None, 1.0, float("nan"), "y")])
+    # Most classes are told by one cut, so some rows end in the upper part of a tree.
+    df = df.withColumn("label", F.when(F.col("a") < 4, "w").otherwise(F.col("label")))
+    model = deep.fit(df, ["a", "b", "c"], key="id", trees=5, small=60)
+    assert model.nodes.filter("root = -1 AND feature < 0 AND counts IS NOT NULL").count()
+    sent = {r["id"]: r for r in deep.predict(df, model).collect()}
+    monkeypatch.setattr(deep, "GROUP_NODES", 100)  # every tree has more nodes than that
+    collected = []
+    whole = type(df).toPandas
+    monkeypatch.setattr(type(df), "toPandas", lambda self: collected.append(whole(self)) or collected[-1])
+    routed = deep.predict(df, model)
+    assert routed.columns == deep.predict(df, model).columns == [*df.columns, "probabilities", "prediction", "confidence_score"]
+    found = {r["id"]: r for r in routed.collect()}
+    assert found.keys() == sent.keys()
+    assert all(found[i]["prediction"] == sent[i]["prediction"] and np.allclose(found[i]["probabilities"], sent[i]["probabilities"], atol=1e-12) for i in sent)
+    # Only the upper parts reach the driver.
+    assert all((c["root"] == -1).all() for c in collected) and 4 * sum(map(len, collected)) < 3 * 2 * model.nodes.count()
+    assert deep.predict(df.limit(0), model).collect() == []

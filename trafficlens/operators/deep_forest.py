@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,11 @@ FIT_ROWS = 50_000
 SMALL_ROWS = 4096
 BINS = 64
 MAX_CLASSES = 200
-#: Trees are sent to the tasks in groups of about this many nodes.
-GROUP_NODES = 1_000_000
+#: Trees are sent to the tasks in groups of about this many nodes; if one tree has more, rows go to the nodes instead.
+GROUP_NODES = 200_000
 
 NODES = "tree int, root int, node int, feature int, threshold double, left int, right int, counts array<double>"
+_ROW = "_forest_row"
 _SCRAMBLE = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # constants of splitmix64
 
 
@@ -112,28 +114,36 @@ def walk(feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np
 def _counter(uppers: list[dict], open_: dict[tuple[int, int], list[int]], edges: list[list[float]], classes: int, seed: int, bootstrap: bool):
     """Class counts per (tree, node, feature, bin) of the open nodes; ``open_`` names the features each looks at."""
     most = max(len(e) for e in edges) + 2
+    asked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for t in {tree for tree, _ in open_}:
+        nodes = np.array(sorted(n for tree, n in open_ if tree == t))
+        look = np.full((len(nodes), max(len(open_[t, n]) for n in nodes)), -1, np.intp)
+        for i, n in enumerate(nodes):
+            look[i, : len(open_[t, n])] = open_[t, n]
+        asked[t] = nodes, look
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {key: np.zeros((len(f), most * classes)) for key, f in open_.items()}
+        sums = {t: np.zeros((*look.shape, most * classes), np.int64) for t, (_, look) in asked.items()}
         for batch in batches:
             x, y, keys = _rows_of(batch, len(edges))
             bins = bin_numbers(np.where(np.isinf(x), np.nan, x), edges)
-            for t, upper in enumerate(uppers):
-                nodes = [n for tree, n in open_ if tree == t]
-                if not nodes:
-                    continue
-                at, w = walk(*upper["arrays"], x), weights(keys, t, seed, bootstrap)
-                for n in nodes:
-                    here = np.flatnonzero((at == n) & (w > 0))
-                    for i, j in enumerate(open_[t, n]):
-                        sums[t, n][i] += np.bincount(bins[here, j].astype(np.intp) * classes + y[here], w[here], most * classes)
-        for (t, n), table in sums.items():
-            i, b = np.nonzero(table.reshape(len(table), most, classes).sum(axis=2))
-            if len(i):
-                counts = table.reshape(len(table), most, classes)[i, b].astype(np.int64)
-                columns = [np.full(len(i), t), np.full(len(i), n), np.array(open_[t, n])[i], b]
+            for t, (nodes, look) in asked.items():
+                at, w = walk(*uppers[t]["arrays"], x), weights(keys, t, seed, bootstrap)
+                place = np.full(len(uppers[t]["arrays"][0]), -1, np.intp)
+                place[nodes] = np.arange(len(nodes))
+                here = np.flatnonzero((place[at] >= 0) & (w > 0))
+                slot = place[at[here]]
+                for i in range(look.shape[1]):
+                    j = look[slot, i]
+                    some, of = here[j >= 0], slot[j >= 0]
+                    np.add.at(sums[t], (of, i, bins[some, j[j >= 0]].astype(np.intp) * classes + y[some]), w[some])
+        for t, (nodes, look) in asked.items():
+            table = sums[t].reshape(*look.shape, most, classes)
+            n, i, b = np.nonzero(table.sum(axis=3))
+            if len(n):
+                columns = [np.full(len(n), t), nodes[n], look[n, i], b]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, pa.int32()) for c in columns], *[pa.array(counts[:, k]) for k in range(classes)]],
+                    [*[pa.array(c, pa.int32()) for c in columns], *[pa.array(table[n, i, b, k]) for k in range(classes)]],
                     names=["tree", "node", "feature", "bin", *[f"c{k}" for k in range(classes)]])
 
     return count
@@ -157,95 +167,120 @@ def _best(cells: DataFrame, classes: int) -> DataFrame:
     return sums.groupBy("tree", "node").agg(F.max("all").alias("counts"), F.max(F.when(total(F.col("left")) < total(F.col("all")), cut)).alias("cut"))
 
 
-def grow_exact(x: np.ndarray, y: np.ndarray, w: np.ndarray, classes: int, look: int, rng: np.random.Generator) -> list[tuple]:
-    """(feature, threshold, left, right, counts) of a tree grown until every leaf is pure or all its rows are equal."""
-    nodes: list[tuple] = [()]
-    todo = [(0, np.arange(len(y)))]
+def grow_exact(x: np.ndarray, y: np.ndarray, w: np.ndarray, classes: int, look: int, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
+    """Arrays (feature, threshold, left, right, counts) of a tree grown until every leaf is pure or all its rows are equal.
+
+    All nodes of a level are split at once: their rows lie sorted by node and by the feature that each node looks at.
+    """
     shares = np.zeros((len(y), classes))
     shares[np.arange(len(y)), y] = w
-    while todo:
-        slot, here = todo.pop()
-        counts = shares[here].sum(axis=0)
-        best, seen = None, 0
-        if np.count_nonzero(counts) > 1:
-            for j in rng.permutation(x.shape[1]).tolist():
-                v = x[here, j]
-                order = np.argsort(v, kind="stable")
-                v = v[order]
-                cuts = np.flatnonzero(v[1:] != v[:-1])
-                if not len(cuts):
-                    continue
-                below = np.cumsum(shares[here[order]], axis=0)[cuts]
-                above = counts - below
-                score = (below**2).sum(axis=1) / below.sum(axis=1) + (above**2).sum(axis=1) / above.sum(axis=1)
-                i = int(score.argmax())
-                if best is None or score[i] > best[0]:
-                    low, high = float(v[cuts[i]]), float(v[cuts[i] + 1])
-                    middle = low / 2 + high / 2
-                    best = (score[i], j, middle if low < middle < high else low)
-                seen += 1
-                if seen == look:
-                    break
-        if best is None:
-            nodes[slot] = (-1, 0.0, slot, slot, counts.tolist())
-            continue
-        _, j, t = best
-        left = x[here, j] <= t
-        nodes[slot] = (j, t, len(nodes), len(nodes) + 1, None)
-        todo += [(len(nodes), here[left]), (len(nodes) + 1, here[~left])]
-        nodes += [(), ()]
-    return nodes
+    levels: list[tuple[np.ndarray, ...]] = []
+    rows, of, width, begun = np.arange(len(y)), np.zeros(len(y), np.intp), 1, 0
+    while width:
+        counts = np.zeros((width, classes))
+        np.add.at(counts, of, shares[rows])
+        best, feature, threshold, seen = np.full(width, -np.inf), np.full(width, -1, np.intp), np.zeros(width), np.zeros(width, np.intp)
+        order = rng.permuted(np.tile(np.arange(x.shape[1]), (width, 1)), axis=1)
+        mixed = np.count_nonzero(counts, axis=1) > 1
+        for p in range(x.shape[1]):
+            busy = (mixed & (seen < look))[of]
+            if not busy.any():
+                break
+            here, node = rows[busy], of[busy]
+            v = x[here, order[node, p]]
+            by = np.lexsort((v, node))
+            here, node, v = here[by], node[by], v[by]
+            cuts = np.flatnonzero((node[1:] == node[:-1]) & (v[1:] != v[:-1]))
+            if not len(cuts):
+                continue
+            upto = np.cumsum(shares[here], axis=0)
+            starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            before = np.zeros((width, classes))
+            before[node[starts[1:]]] = upto[starts[1:] - 1]
+            n = node[cuts]
+            below = upto[cuts] - before[n]
+            above = counts[n] - below
+            score = (below**2).sum(axis=1) / below.sum(axis=1) + (above**2).sum(axis=1) / above.sum(axis=1)
+            firsts = np.flatnonzero(np.concatenate([[True], n[1:] != n[:-1]]))
+            top = np.maximum.reduceat(score, firsts)
+            at = np.flatnonzero(score == np.repeat(top, np.diff([*firsts, len(n)])))
+            at = at[np.concatenate([[True], n[at][1:] != n[at][:-1]])]  # the first of equal cuts
+            seen[n[at]] += 1
+            at = at[score[at] > best[n[at]]]
+            low, high = v[cuts[at]], v[cuts[at] + 1]
+            middle = low / 2 + high / 2
+            best[n[at]], feature[n[at]] = score[at], order[n[at], p]
+            threshold[n[at]] = np.where((low < middle) & (middle < high), middle, low)
+        split = feature >= 0
+        rank = np.cumsum(split) - 1
+        own = begun + np.arange(width)
+        left = np.where(split, begun + width + 2 * rank, own)
+        levels.append((feature, threshold, left, np.where(split, left + 1, own), counts))
+        live = split[of]
+        rows, of = rows[live], of[live]
+        of = 2 * rank[of] + (x[rows, feature[of]] > threshold[of])
+        begun, width = begun + width, 2 * int(split.sum())
+    return tuple(np.concatenate(c) for c in zip(*levels))
+
+
+def _binaries(x: np.ndarray) -> pa.Array:
+    """Each row's numbers as one binary value."""
+    x = np.ascontiguousarray(x, np.float64)
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * 8)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(x)])
+
+
+def _lists(values: np.ndarray, known: np.ndarray | None = None) -> pa.Array:
+    """Each row's numbers as one list; null where not ``known``."""
+    kept = values if known is None else values[known]
+    sizes = np.full(len(values), values.shape[1]) if known is None else np.where(known, values.shape[1], 0)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(kept.ravel(), pa.float64()), mask=None if known is None else pa.array(~known))
 
 
 def _deal(uppers: list[dict], ends: list[dict[int, bool]], width: int, seed: int, bootstrap: bool):
     """Rows of the small nodes, once per tree in which they count."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = [np.zeros(len(u["arrays"][0]), bool) for u in uppers]
+        for t, some in enumerate(ends):
+            small[t][[n for n, is_small in some.items() if is_small]] = True
         for batch in batches:
             x, y, keys = _rows_of(batch, width)
             for t, upper in enumerate(uppers):
                 at, w = walk(*upper["arrays"], x), weights(keys, t, seed, bootstrap)
-                small = np.array([ends[t].get(n, False) for n in range(len(upper["arrays"][0]))])
-                here = np.flatnonzero(small[at] & (w > 0))
+                here = np.flatnonzero(small[t][at] & (w > 0))
                 if len(here):
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(here), t), pa.int32()), pa.array(at[here], pa.int32()), pa.array(y[here], pa.int32()), pa.array(w[here]),
-                        pa.array([r.tobytes() for r in x[here]], pa.binary())], names=["tree", "root", "y", "w", "x"])
+                        _binaries(x[here])], names=["tree", "root", "y", "w", "x"])
 
     return deal
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
+    """The rows of each (tree, root), by which they come sorted, piece by piece."""
+    for batch in batches:
+        tree, root = batch.column("tree").to_numpy(), batch.column("root").to_numpy()
+        cut = np.flatnonzero((np.diff(tree) != 0) | (np.diff(root) != 0)) + 1
+        for begin, end in zip([0, *cut], [*cut, batch.num_rows]):
+            if begin < end:
+                yield (int(tree[begin]), int(root[begin])), batch.slice(begin, end - begin)
+
+
 def _grower(width: int, classes: int, look: int, seed: int):
     """Grows each (tree, root) of rows that come sorted by it; a group holds few rows."""
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        of: tuple[int, int] | None = None
-
-        def subtree() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held)
+        for of, pieces in groupby(_groups(batches), key=lambda g: g[0]):
+            rows = pa.Table.from_batches([piece for _, piece in pieces])
             x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float64).reshape(-1, width)
-            nodes = grow_exact(x, rows["y"].to_numpy(), rows["w"].to_numpy(), classes, look, np.random.default_rng([seed, *of, 1]))
-            columns = list(zip(*nodes))
-            k = len(nodes)
-            return pa.RecordBatch.from_arrays([
-                pa.array([of[0]] * k, pa.int32()), pa.array([of[1]] * k, pa.int32()), pa.array(range(k), pa.int32()), pa.array(columns[0], pa.int32()),
-                pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.list_(pa.float64()))],
+            feature, threshold, left, right, counts = grow_exact(
+                x, rows["y"].to_numpy(), rows["w"].to_numpy(), classes, look, np.random.default_rng([seed, *of, 1]))
+            k = len(feature)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(k, of[0]), pa.int32()), pa.array(np.full(k, of[1]), pa.int32()), pa.array(np.arange(k), pa.int32()), pa.array(feature, pa.int32()),
+                pa.array(threshold), pa.array(left, pa.int32()), pa.array(right, pa.int32()), _lists(counts, feature < 0)],
                 names=[c.split()[0] for c in NODES.split(", ")])
 
-        for batch in batches:
-            tree, root = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cut = np.flatnonzero((np.diff(tree) != 0) | (np.diff(root) != 0)) + 1
-            for begin, end in zip([0, *cut], [*cut, batch.num_rows]):
-                if begin == end:
-                    continue
-                key = (int(tree[begin]), int(root[begin]))
-                if of is not None and key != of:
-                    yield subtree()
-                    held = []
-                of = key
-                held.append(batch.slice(begin, end - begin))
-        if held:
-            yield subtree()
-
     return grow
 
 
@@ -372,9 +407,94 @@ def _votes(forest: DeepForest, first: int, last: int) -> Column:
     return vote(packed_array(forest.features))
 
 
+def _counts_of(nodes, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class shares of the nodes, and which of them are leaves that hold counts."""
+    known = nodes["counts"].notna().to_numpy()
+    counts = np.zeros((len(nodes), classes))
+    if known.any():
+        counts[known] = np.stack(nodes["counts"][known].to_numpy())
+    total = counts.sum(axis=1, keepdims=True)
+    return counts / np.where(total > 0, total, 1.0), known
+
+
+def _placer(uppers: list[tuple], width: int):
+    """The (tree, root) where each row goes on; where it ends in the upper part of a tree, its shares."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, width)
+            x = np.where(np.isnan(x), -np.inf, x)
+            packed = _binaries(x)
+            for t, (arrays, shares, known) in enumerate(uppers):
+                at = walk(*arrays, x)
+                # Rows that have ended are dealt out evenly, as nothing has to meet them.
+                root = np.where(known[at], -1 - np.arange(len(at)) * 64 // len(at), at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), t), pa.int32()), pa.array(root, pa.int32()), batch.column("id"), packed, _lists(shares[at], known[at])],
+                    names=["tree", "root", "id", "x", "shares"])
+
+    return place
+
+
+def _finisher(width: int, classes: int):
+    """Shares of rows that come sorted by (tree, root), each group behind the nodes it goes on with."""
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (tree, root), pieces in groupby(_groups(batches), key=lambda g: g[0]):
+            held: list[pa.RecordBatch] = []
+            arrays = shares = None
+            for _, piece in pieces:
+                is_node = piece.column("node").is_valid().to_numpy(zero_copy_only=False)
+                if is_node.any():
+                    held.append(piece.filter(pa.array(is_node)))
+                rows = piece.filter(pa.array(~is_node))
+                if not rows.num_rows:
+                    continue
+                known = rows.column("shares")
+                if root >= 0:
+                    if arrays is None:
+                        nodes = pa.Table.from_batches(held).to_pandas().sort_values("node", ignore_index=True)
+                        arrays = (nodes["feature"].to_numpy(np.intp), nodes["threshold"].to_numpy(np.float64), nodes["left"].to_numpy(np.intp), nodes["right"].to_numpy(np.intp))
+                        shares, held = _counts_of(nodes, classes)[0], []
+                    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float64).reshape(-1, width)
+                    known = _lists(shares[walk(*arrays, x)])
+                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(np.full(rows.num_rows, tree), pa.int32()), known], names=["id", "tree", "shares"])
+
+    return finish
+
+
+def _routed(df: DataFrame, forest: DeepForest) -> DataFrame:
+    """``probabilities`` by a forest too large to be sent whole: rows meet the subtrees they go on with.
+
+    Only the upper parts, about rows / small nodes a tree, are sent to all tasks. The rows are written once with a number each.
+    """
+    width, classes = len(forest.features), len(forest.classes)
+    top = forest.nodes.filter("root = -1").toPandas().sort_values(["tree", "node"], ignore_index=True)
+    uppers = []
+    for _, u in top.groupby("tree", sort=True):
+        u = u.reset_index(drop=True)
+        uppers.append(((u["feature"].to_numpy(np.intp), u["threshold"].to_numpy(np.float64), u["left"].to_numpy(np.intp), u["right"].to_numpy(np.intp)), *_counts_of(u, classes)))
+    rows = materialize(df.withColumn(_ROW, F.monotonically_increasing_id()), "forest-scored")
+    placed = rows.select(F.col(_ROW).alias("id"), packed_array(forest.features).alias("x")).mapInArrow(
+        _placer(uppers, width), "tree int, root int, id long, x binary, shares array<double>")
+    own = {"node": "int", "feature": "int", "threshold": "double", "left": "int", "right": "int", "counts": "array<double>"}
+    brought = {"id": "long", "x": "binary", "shares": "array<double>"}
+    both = placed.withColumns({c: F.lit(None).cast(kind) for c, kind in own.items()}).unionByName(
+        forest.nodes.filter("root >= 0").withColumns({c: F.lit(None).cast(kind) for c, kind in brought.items()}))
+    # A fixed number of tasks: the rows are small but slow work, which adaptive execution would put into few tasks.
+    tasks = max(sum(len(known) for _, _, known in uppers) // 16, df.sparkSession.sparkContext.defaultParallelism)
+    met = both.repartition(min(tasks, 2000), "tree", "root").sortWithinPartitions("tree", "root", F.asc_nulls_last("node"))
+    ended = met.mapInArrow(_finisher(width, classes), "id long, tree int, shares array<double>")
+    # Added up in the order of the trees.
+    held = ended.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("tree", "shares"))).alias("held"))
+    total = F.aggregate("held", F.array(*[F.lit(0.0)] * classes), lambda a, v: F.zip_with(a, v["shares"], lambda p, q: p + q))
+    votes = held.select(F.col("id").alias(_ROW), F.transform(total, lambda v: v / forest.trees).alias("probabilities"))
+    return rows.join(votes, _ROW).drop(_ROW)
+
+
 def predict(df: DataFrame, forest: DeepForest, prediction: str = "prediction", confidence: str = "confidence_score") -> DataFrame:
     """The class of the greatest mean leaf share (the first of equal ones), that share, and all shares."""
     sizes = {r["tree"]: r["n"] for r in forest.nodes.groupBy("tree").agg(F.count("*").alias("n")).collect()}
+    if max(sizes.values()) > GROUP_NODES:
+        return _decided(_routed(df, forest), forest, prediction, confidence)
     groups, begun, held = [], 0, 0
     for t in range(forest.trees):
         if held and held + sizes[t] > GROUP_NODES:
@@ -385,7 +505,10 @@ def predict(df: DataFrame, forest: DeepForest, prediction: str = "prediction", c
     total = F.array(*[F.lit(0.0)] * len(forest.classes))
     for first, last in groups:
         total = F.zip_with(total, _votes(forest, first, last), lambda a, b: a + b)
-    scored = df.withColumn("probabilities", F.transform(total, lambda v: v / forest.trees))
+    return _decided(df.withColumn("probabilities", F.transform(total, lambda v: v / forest.trees)), forest, prediction, confidence)
+
+
+def _decided(scored: DataFrame, forest: DeepForest, prediction: str, confidence: str) -> DataFrame:
     top = F.array_max("probabilities")
     name = F.get(F.array(*map(F.lit, forest.classes)), (F.array_position("probabilities", top) - 1).cast("int"))
     return scored.withColumns({prediction: name, confidence: top})
