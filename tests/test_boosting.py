@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from trafficlens.operators import boosting
@@ -91,6 +92,23 @@ def test_same_trees_however_rows_are_dealt(spark, monkeypatch):
     assert whole.nodes.equals(models[0].nodes)
 
 
+def test_stored_blocks_are_small_and_read_in_place():
+    rows, width, classes = 20_000, 5, 3
+    x, y = np.random.default_rng(1).integers(0, 40, (rows, width)).astype(float), np.arange(rows) % classes
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()), pa.array(x.ravel()))
+    batch = pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), lists], names=["y", "x"])
+    edges = [[float(v) for v in range(40)]] * width
+    packed = list(boosting._packer(edges, classes)(iter([batch, batch.slice(0, 0), batch.slice(7, 3)])))
+    # A read batch holds thousands of blocks, so a block has few bytes however long the table is.
+    assert max(len(b) for p in packed for c in p.columns[1:] for b in c.to_pylist()) <= 4096
+    parts = list(boosting._opened(iter([packed[0], packed[0].slice(3, 4), *packed[1:]]), width, classes))
+    size = packed[0].column(0)[0].as_py()
+    assert max(len(y) for y, _, _ in parts) <= boosting.BLOCK_ROWS and all(len(b) == len(m) == len(y) for y, b, m in parts)
+    back = np.concatenate([*[np.arange(rows), np.arange(3 * size, 7 * size), np.arange(7, 10)]])
+    assert np.array_equal(np.concatenate([p[0] for p in parts]), y[back])
+    assert np.array_equal(np.concatenate([p[1] for p in parts]), boosting.bin_numbers(x, edges)[back])
+
+
 def test_saved_model_predicts_the_same(spark, tmp_path):
     df = frame(spark, some_rows(300))
     model = boosting.fit(df, ["a", "b"], rounds=3, depth=2)

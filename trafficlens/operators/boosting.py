@@ -33,7 +33,9 @@ ROUNDS, DEPTH, STEP, SMOOTHING, LEAST_HESSIAN = 100, 6, 0.3, 1.0, 1.0
 LEAST_GAIN = 1e-6
 BINS = 64
 UNIT = 1 << 24
+#: Rows that a task works on at once. A stored block has fewer: a read batch may hold thousands of blocks.
 BLOCK_ROWS = 8192
+BLOCK_BYTES = 1 << 11
 WRITE_EVERY = 8
 MAX_CLASSES = 1_000
 #: Rows, and bytes of them, from which cuts of many-valued features are taken.
@@ -125,23 +127,36 @@ def _packer(edges: list[list[float]], classes: int):
         for batch in batches:
             bins = bin_numbers(_matrix(batch.column("x"), len(edges)), edges)
             y = batch.column("y").to_numpy().astype(np.int32)
-            for i in range(0, len(y), BLOCK_ROWS):
-                part = y[i : i + BLOCK_ROWS]
-                held = [part.tobytes(), bins[i : i + BLOCK_ROWS].tobytes(), np.zeros((len(part), classes)).tobytes()]
-                yield _block(len(part), held)
+            yield _blocks(y, bins, np.zeros((len(y), classes)))
 
     return pack
 
 
-def _block(n: int, held: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([n], pa.int32()), *[pa.array([h], pa.binary()) for h in held]], names=["n", "y", "bins", "margins"])
+def _blocks(*arrays: np.ndarray) -> pa.RecordBatch:
+    """The rows of some arrays as blocks of few bytes."""
+    rows = len(arrays[0])
+    size = max(1, min(BLOCK_ROWS, BLOCK_BYTES // max(sum(a.nbytes for a in arrays) // max(rows, 1), 1)))
+    ends = np.append(np.arange(0, rows, size), rows)
+    columns = [pa.array(np.diff(ends), pa.int32())]
+    for a in arrays:
+        a = np.ascontiguousarray(a)
+        offsets = (ends * (a.nbytes // max(rows, 1))).astype(np.int32)
+        columns.append(pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(a)]))
+    return pa.RecordBatch.from_arrays(columns, names=["n", "y", "bins", "margins"])
 
 
 def _opened(batches: Iterator[pa.RecordBatch], width: int, classes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Up to ``BLOCK_ROWS`` rows at once, read in place: the blocks of a batch lie one behind the other."""
     for batch in batches:
-        for n, y, bins, margins in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            yield (np.frombuffer(y, np.int32), np.frombuffer(bins, np.uint16).reshape(n, width), np.frombuffer(margins, np.float64).reshape(n, classes))
+        if not batch.num_rows:
+            continue
+        parts = []
+        for column, kind, wide in zip(batch.columns[1:], (np.int32, np.uint16, np.float64), (1, width, classes)):
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            parts.append(np.frombuffer(column.buffers()[2], kind, (offsets[-1] - offsets[0]) // np.dtype(kind).itemsize, offsets[0]).reshape(-1, wide))
+        for i in range(0, len(parts[0]), BLOCK_ROWS):
+            y, bins, margins = (p[i : i + BLOCK_ROWS] for p in parts)
+            yield y[:, 0], bins, margins
 
 
 def reach(tree: tuple[np.ndarray, np.ndarray, np.ndarray], bins: np.ndarray, levels: int) -> np.ndarray:
@@ -299,7 +314,7 @@ def _settle(tree: tuple, nodes: list[tuple], r: int, x, edges: list[list[float]]
 def _adder(rounds: list[list[tuple]], depth: int, width: int, classes: int):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for y, bins, margins in _opened(batches, width, classes):
-            yield _block(len(y), [y.tobytes(), bins.tobytes(), with_trees(margins, rounds, bins, depth).tobytes()])
+            yield _blocks(y, bins, with_trees(margins, rounds, bins, depth))
 
     return add
 
