@@ -255,3 +255,27 @@ def test_one_class_tells_whether_it_converged(spark):
     short = one_class.fit_one_class(df, ["x", "y"], steps=1)
     assert whole.converged and whole.gap <= one_class.TOLERANCE
     assert short.converged == (short.gap <= one_class.TOLERANCE) and short.gap >= whole.gap - 1e-9
+
+
+def test_passes_of_a_fit_read_the_table_once(spark, tmp_path, monkeypatch):
+    from trafficlens.operators import classifiers
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(900).selectExpr("id", "cast(id % 30 as double) a", "cast(id % 2 as int) label", "case when id % 2 = 0 then 'x' else 'y' end kind")
+    watched = rows.mapInArrow(read, rows.schema)
+    for fit, reads in (
+        (lambda: classifiers.fit_random_forest(watched, ["a"], trees=2, max_depth=2, fit_rows=400), 2),
+        (lambda: classifiers.fit_boosted_trees(watched, ["a"], rounds=2, max_depth=2, fit_rows=400), 2),
+        (lambda: classifiers.fit_traffic_types(watched, "kind", ["a"], None, trees=2, max_depth=2, fit_rows=400), 4),
+    ):
+        before = seen.value
+        fit()
+        # Once to count and once for the rows to fit on; the most frequent target is found once for each.
+        assert seen.value - before <= reads * 900
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
