@@ -167,60 +167,44 @@ def _best(cells: DataFrame, classes: int) -> DataFrame:
     return sums.groupBy("tree", "node").agg(F.max("all").alias("counts"), F.max(F.when(total(F.col("left")) < total(F.col("all")), cut)).alias("cut"))
 
 
-def grow_exact(x: np.ndarray, y: np.ndarray, w: np.ndarray, classes: int, look: int, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
-    """Arrays (feature, threshold, left, right, counts) of a tree grown until every leaf is pure or all its rows are equal.
-
-    All nodes of a level are split at once: their rows lie sorted by node and by the feature that each node looks at.
-    """
+def grow_exact(x: np.ndarray, y: np.ndarray, w: np.ndarray, classes: int, look: int, rng: np.random.Generator) -> list[tuple]:
+    """(feature, threshold, left, right, counts) of a tree grown until every leaf is pure or all its rows are equal."""
+    nodes: list[tuple] = [()]
+    todo = [(0, np.arange(len(y)))]
     shares = np.zeros((len(y), classes))
     shares[np.arange(len(y)), y] = w
-    levels: list[tuple[np.ndarray, ...]] = []
-    rows, of, width, begun = np.arange(len(y)), np.zeros(len(y), np.intp), 1, 0
-    while width:
-        counts = np.zeros((width, classes))
-        np.add.at(counts, of, shares[rows])
-        best, feature, threshold, seen = np.full(width, -np.inf), np.full(width, -1, np.intp), np.zeros(width), np.zeros(width, np.intp)
-        order = rng.permuted(np.tile(np.arange(x.shape[1]), (width, 1)), axis=1)
-        mixed = np.count_nonzero(counts, axis=1) > 1
-        for p in range(x.shape[1]):
-            busy = (mixed & (seen < look))[of]
-            if not busy.any():
-                break
-            here, node = rows[busy], of[busy]
-            v = x[here, order[node, p]]
-            by = np.lexsort((v, node))
-            here, node, v = here[by], node[by], v[by]
-            cuts = np.flatnonzero((node[1:] == node[:-1]) & (v[1:] != v[:-1]))
-            if not len(cuts):
-                continue
-            upto = np.cumsum(shares[here], axis=0)
-            starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-            before = np.zeros((width, classes))
-            before[node[starts[1:]]] = upto[starts[1:] - 1]
-            n = node[cuts]
-            below = upto[cuts] - before[n]
-            above = counts[n] - below
-            score = (below**2).sum(axis=1) / below.sum(axis=1) + (above**2).sum(axis=1) / above.sum(axis=1)
-            firsts = np.flatnonzero(np.concatenate([[True], n[1:] != n[:-1]]))
-            top = np.maximum.reduceat(score, firsts)
-            at = np.flatnonzero(score == np.repeat(top, np.diff([*firsts, len(n)])))
-            at = at[np.concatenate([[True], n[at][1:] != n[at][:-1]])]  # the first of equal cuts
-            seen[n[at]] += 1
-            at = at[score[at] > best[n[at]]]
-            low, high = v[cuts[at]], v[cuts[at] + 1]
-            middle = low / 2 + high / 2
-            best[n[at]], feature[n[at]] = score[at], order[n[at], p]
-            threshold[n[at]] = np.where((low < middle) & (middle < high), middle, low)
-        split = feature >= 0
-        rank = np.cumsum(split) - 1
-        own = begun + np.arange(width)
-        left = np.where(split, begun + width + 2 * rank, own)
-        levels.append((feature, threshold, left, np.where(split, left + 1, own), counts))
-        live = split[of]
-        rows, of = rows[live], of[live]
-        of = 2 * rank[of] + (x[rows, feature[of]] > threshold[of])
-        begun, width = begun + width, 2 * int(split.sum())
-    return tuple(np.concatenate(c) for c in zip(*levels))
+    while todo:
+        slot, here = todo.pop()
+        counts = shares[here].sum(axis=0)
+        best, seen = None, 0
+        if np.count_nonzero(counts) > 1:
+            for j in rng.permutation(x.shape[1]).tolist():
+                v = x[here, j]
+                order = np.argsort(v, kind="stable")
+                v = v[order]
+                cuts = np.flatnonzero(v[1:] != v[:-1])
+                if not len(cuts):
+                    continue
+                below = np.cumsum(shares[here[order]], axis=0)[cuts]
+                above = counts - below
+                score = (below**2).sum(axis=1) / below.sum(axis=1) + (above**2).sum(axis=1) / above.sum(axis=1)
+                i = int(score.argmax())
+                if best is None or score[i] > best[0]:
+                    low, high = float(v[cuts[i]]), float(v[cuts[i] + 1])
+                    middle = low / 2 + high / 2
+                    best = (score[i], j, middle if low < middle < high else low)
+                seen += 1
+                if seen == look:
+                    break
+        if best is None:
+            nodes[slot] = (-1, 0.0, slot, slot, counts.tolist())
+            continue
+        _, j, t = best
+        left = x[here, j] <= t
+        nodes[slot] = (j, t, len(nodes), len(nodes) + 1, None)
+        todo += [(len(nodes), here[left]), (len(nodes) + 1, here[~left])]
+        nodes += [(), ()]
+    return nodes
 
 
 def _binaries(x: np.ndarray) -> pa.Array:
@@ -273,12 +257,12 @@ def _grower(width: int, classes: int, look: int, seed: int):
         for of, pieces in groupby(_groups(batches), key=lambda g: g[0]):
             rows = pa.Table.from_batches([piece for _, piece in pieces])
             x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float64).reshape(-1, width)
-            feature, threshold, left, right, counts = grow_exact(
-                x, rows["y"].to_numpy(), rows["w"].to_numpy(), classes, look, np.random.default_rng([seed, *of, 1]))
-            k = len(feature)
+            nodes = grow_exact(x, rows["y"].to_numpy(), rows["w"].to_numpy(), classes, look, np.random.default_rng([seed, *of, 1]))
+            feature, threshold, left, right, counts = zip(*nodes)
+            k = len(nodes)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(k, of[0]), pa.int32()), pa.array(np.full(k, of[1]), pa.int32()), pa.array(np.arange(k), pa.int32()), pa.array(feature, pa.int32()),
-                pa.array(threshold), pa.array(left, pa.int32()), pa.array(right, pa.int32()), _lists(counts, feature < 0)],
+                pa.array(threshold, pa.float64()), pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(counts, pa.list_(pa.float64()))],
                 names=[c.split()[0] for c in NODES.split(", ")])
 
     return grow
