@@ -21,7 +21,7 @@ from trafficlens.session import spread
 # Fixed values.
 TREES = 100
 DEEPEST = 30  # the deepest tree Spark grows
-#: Bounds: rows a model is fitted on (chosen by a hash of the row), classes, values of an encoded column.
+#: Bounds: rows boosted trees are fitted on (chosen by a hash of the row), classes, values of an encoded column.
 FIT_ROWS = 50_000
 MAX_CLASSES = 1_000
 MAX_VALUES = 100_000
@@ -56,9 +56,9 @@ def bounded(df: DataFrame, most: int = FIT_ROWS) -> DataFrame:
 
 
 @contextmanager
-def _fit_rows(df: DataFrame, most: int) -> Iterator[DataFrame]:
-    """The bounded rows, evenly dealt out and held while a model is fitted: its many passes do not read the table again."""
-    some = bounded(df, most).persist()
+def _fit_rows(df: DataFrame, most: int | None) -> Iterator[DataFrame]:
+    """The rows, all or ``most``, evenly dealt out and held while a model is fitted: its many passes do not read the table again."""
+    some = (df if most is None else bounded(df, most)).persist()
     try:
         yield spread(some, some.count())
     finally:
@@ -96,11 +96,11 @@ def fit_random_forest(
     max_depth: int = 10,
     balanced: bool = False,
     seed: int = SEED,
-    fit_rows: int = FIT_ROWS,
+    fit_rows: int | None = None,
 ) -> PipelineModel:
     """Random forest on integer labels 0..k-1. Raise ``max_depth`` up to 30 for near-unbounded trees.
 
-    It is fitted on at most about ``fit_rows`` rows.
+    It is fitted on all rows, or on at most about ``fit_rows`` rows where that is asked for.
     """
     if not 0 <= max_depth <= DEEPEST:
         raise ValueError(f"a tree's depth is at most {DEEPEST}, not {max_depth}")
