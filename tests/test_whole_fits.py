@@ -31,3 +31,9 @@ def test_forest_is_fitted_on_all_rows(rows):
 def test_batch_run_fits_on_its_whole_train_side(rows):
     _, held_out, model = jobs.classify_sessions(rows.select("id", "a", "label"), ["a"], trees=1, max_depth=2)
     assert abs(counted(model) - (ROWS - held_out.count())) < 1500
+
+
+def test_mode_run_fits_on_its_whole_train_side(rows, tmp_path, spark):
+    jobs.run_mode(spark, rows.select("id", "a", "label", "log_time"), str(tmp_path / "out"), "supervised", trees=1, max_depth=2)
+    model = classifiers.load_model(str(tmp_path / "out" / "models" / "classifier"))
+    assert counted(model) > 0.77 * ROWS
