@@ -37,3 +37,9 @@ def test_mode_run_fits_on_its_whole_train_side(rows, tmp_path, spark):
     jobs.run_mode(spark, rows.select("id", "a", "label", "log_time"), str(tmp_path / "out"), "supervised", trees=1, max_depth=2)
     model = classifiers.load_model(str(tmp_path / "out" / "models" / "classifier"))
     assert counted(model) > 0.77 * ROWS
+
+
+def test_traffic_types_are_fitted_on_all_rows(rows):
+    model = classifiers.fit_traffic_types(rows, "kind", ["a"], None, trees=1, max_depth=2)
+    assert abs(counted(model) - ROWS) < 1500
+    assert abs(counted(classifiers.fit_traffic_types(rows, "kind", ["a"], None, trees=1, max_depth=2, fit_rows=20_000)) - 20_000) < 1500
