@@ -135,3 +135,43 @@ def test_trees_too_large_to_be_sent_score_the_same(spark, monkeypatch):
     # Only the upper parts reach the driver.
     assert all((c["root"] == -1).all() for c in collected) and 4 * sum(map(len, collected)) < 3 * 2 * model.nodes.count()
     assert deep.predict(df.limit(0), model).collect() == []
+
+
+def test_levels_count_cells_and_not_rows(spark, monkeypatch):
+    written = {}
+    whole = deep.materialize
+
+    def kept(df, label):
+        written[label] = whole(df, label)
+        return written[label]
+
+    monkeypatch.setattr(deep, "materialize", kept)
+    rows = spark.range(20_000).selectExpr("cast(id % 7 as double) a", "cast(id % 11 as double) b", "case when id % 5 = 0 then 'x' else 'y' end label")
+    model = deep.fit(rows, ["a", "b"], trees=2, bootstrap=False, look=2, small=300)
+    cells = written["forest-cells"]
+    # At most one cell per class and pair of bins, and all rows are in them.
+    assert cells.count() <= 7 * 11 * 2 and cells.agg(F.sum("w")).first()[0] == 20_000
+    leaves = model.nodes.filter("feature < 0 AND counts IS NOT NULL").collect()
+    assert sum(sum(r["counts"]) for r in leaves) == 2 * 20_000
+    out = deep.predict(rows, model).groupBy("a", "b").agg(F.count_distinct("prediction").alias("n"), F.max("confidence_score").alias("c")).collect()
+    assert len(out) == 77 and all(r["n"] == 1 for r in out)
+
+
+def test_equal_rows_are_dealt_out_once_per_stretch():
+    x = np.array([[1.0, -0.0], [1.0, 0.0], [2.0, -np.inf], [1.0, 0.0]])
+    y, w, numbers, root = deep._merged_rows(np.array([0, 0, 1, 1]), np.array([2, 3, 1, 4]), x, np.array([5, 5, 6, 5]))
+    found = sorted(zip(root.tolist(), y.tolist(), w.tolist(), numbers.tolist()))
+    assert found == [(5, 0, 5, [1.0, 0.0]), (5, 1, 4, [1.0, 0.0]), (6, 1, 1, [2.0, -np.inf])]
+
+
+def test_rows_of_large_trees_are_scored_without_a_join(spark, monkeypatch):
+    df = frame(spark, some_rows(600, noise=0.4))
+    model = deep.fit(df, ["a", "b", "c"], key="id", trees=2, small=60)
+    monkeypatch.setattr(deep, "GROUP_NODES", 100)
+    monkeypatch.setattr(deep, "_CHAINED", 1)  # rows are written between trees
+    out = deep.predict(df, model)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    monkeypatch.setattr(deep, "GROUP_NODES", 200_000)
+    sent = {r["id"]: r["probabilities"] for r in deep.predict(df, model).collect()}
+    assert {r["id"]: r["probabilities"] for r in out.collect()} .keys() == sent.keys()

@@ -4,7 +4,9 @@ While a node holds many rows, a whole level is split at once: every task walks i
 nodes of all trees and counts classes per (tree, node, feature, bin), Spark adds the counts, and only
 the best cut of each node reaches the driver. Rows of nodes that hold at most ``small`` rows are
 dealt out by (tree, node), and each such node is grown to the end in one task on exact values: until
-its rows are of one class or equal in all features. Equal rows are merged before they are dealt out.
+its rows are of one class or equal in all features. Equal rows of a stretch are merged before they are dealt
+out and once more where they meet, so copies are never many. Without a bootstrap the upper levels count cells,
+rows of one class and equal bins with their number, whose number the bins bound whatever the size of the table.
 A large node whose rows share the bins of all features goes to one task as well: its different rows
 lie inside one bin of every feature.
 
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trafficlens.functions import columns as fx
 from trafficlens.operators.boosting import bin_numbers, feature_edges
@@ -40,9 +43,15 @@ BINS = 64
 MAX_CLASSES = 200
 #: Trees are sent to the tasks in groups of about this many nodes; if one tree has more, rows go to the nodes instead.
 GROUP_NODES = 200_000
+#: Rows that a task merges into cells at once; nodes of at most so many rows are grown without arrays.
+_MERGED, _FEW = 1 << 18, 16
 
 NODES = "tree int, root int, node int, feature int, threshold double, left int, right int, counts array<double>"
-_ROW = "_forest_row"
+#: Columns that travel with rows to be scored, and those of the nodes they meet.
+_X, _VOTES, _ROOT = "_forest_x", "_forest_votes", "_forest_root"
+_NODE = ("node", "feature", "threshold", "left", "right", "counts")
+_OF = [f"_forest_{c}" for c in _NODE]
+_CHAINED = 8  # trees that rows go through before they are written
 _SCRAMBLE = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # constants of splitmix64
 
 
@@ -111,6 +120,57 @@ def walk(feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np
     return at
 
 
+def _packed(values: np.ndarray) -> pa.Array:
+    """Each row of a matrix as one binary value."""
+    values = np.ascontiguousarray(values)
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * (values.shape[1] * values.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _opened(column: pa.Array, width: int, kind: type) -> np.ndarray:
+    """The matrix whose rows lie in a binary column, read in place."""
+    if not len(column):
+        return np.zeros((0, width), kind)
+    begin = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
+    return np.frombuffer(column.buffers()[2], kind, len(column) * width, begin).reshape(-1, width)
+
+
+_CELLS = "key long, y int, bins binary, w long"
+
+
+def _binner(edges: list[list[float]], bootstrap: bool):
+    """Class, bins and weight of the rows. Without a bootstrap, rows of one class and equal bins are one cell."""
+    width = len(edges)
+
+    def cells(y: np.ndarray, bins: np.ndarray, keys: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(y, pa.int32()), _packed(bins), pa.array(w)], names=["key", "y", "bins", "w"])
+
+    def merged(parts: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.ascontiguousarray(np.concatenate(parts))
+        found, counts = np.unique(both.view(f"V{2 * (width + 1)}").ravel(), return_counts=True)
+        found = found.view(np.uint16).reshape(-1, width + 1)
+        return cells(found[:, width], found[:, :width], np.zeros(len(found), np.uint64), counts)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y, keys = _rows_of(batch, width)
+            bins = bin_numbers(np.where(np.isinf(x), np.nan, x), edges)
+            if bootstrap:
+                yield cells(y, bins, keys, np.ones(len(y), np.int64))
+                continue
+            held.append(np.column_stack([bins, y.astype(np.uint16)]))
+            if sum(map(len, held)) >= _MERGED:
+                yield merged(held)
+                held = []
+        if held:
+            yield merged(held)
+
+    return pack
+
+
 def _counter(uppers: list[dict], open_: dict[tuple[int, int], list[int]], edges: list[list[float]], classes: int, seed: int, bootstrap: bool):
     """Class counts per (tree, node, feature, bin) of the open nodes; ``open_`` names the features each looks at."""
     most = max(len(e) for e in edges) + 2
@@ -125,11 +185,11 @@ def _counter(uppers: list[dict], open_: dict[tuple[int, int], list[int]], edges:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {t: np.zeros((*look.shape, most * classes), np.int64) for t, (_, look) in asked.items()}
         for batch in batches:
-            x, y, keys = _rows_of(batch, len(edges))
-            bins = bin_numbers(np.where(np.isinf(x), np.nan, x), edges)
+            bins = _opened(batch.column("bins"), len(edges), np.uint16)
+            y, keys, held = batch.column("y").to_numpy(), batch.column("key").to_numpy().view(np.uint64), batch.column("w").to_numpy()
             for t, (nodes, look) in asked.items():
-                at, w = walk(*uppers[t]["arrays"], x), weights(keys, t, seed, bootstrap)
-                place = np.full(len(uppers[t]["arrays"][0]), -1, np.intp)
+                at, w = walk(*uppers[t]["cuts"], bins), weights(keys, t, seed, bootstrap) * held
+                place = np.full(len(uppers[t]["cuts"][0]), -1, np.intp)
                 place[nodes] = np.arange(len(nodes))
                 here = np.flatnonzero((place[at] >= 0) & (w > 0))
                 slot = place[at[here]]
@@ -167,53 +227,104 @@ def _best(cells: DataFrame, classes: int) -> DataFrame:
     return sums.groupBy("tree", "node").agg(F.max("all").alias("counts"), F.max(F.when(total(F.col("left")) < total(F.col("all")), cut)).alias("cut"))
 
 
+def _draws(rng: np.random.Generator, width: int) -> Iterator[list[int]]:
+    """The orders that calls of ``rng.permutation(width)`` give, many at once."""
+    while True:
+        yield from rng.permuted(np.tile(np.arange(width), (256, 1)), axis=1).tolist()
+
+
+def _few_rows(x: list[list[float]], y: list[int], w: list[float], here: list[int], counts: list[float], order: list[int], look: int):
+    """The best (score, feature, threshold) of a node of few rows: sums of whole numbers, so the same as of arrays."""
+    best, seen = None, 0
+    for j in order:
+        ordered = sorted((x[i][j], i) for i in here)
+        if ordered[0][0] == ordered[-1][0]:
+            continue
+        below, above = [0.0] * len(counts), list(counts)
+        under, over = 0.0, sum(counts)
+        found = None
+        last = None
+        for v, i in ordered:
+            if last is not None and v != last:
+                score = sum([c * c for c in below]) / under + sum([c * c for c in above]) / over
+                if found is None or score > found[0]:
+                    found = (score, last, v)
+            c, n = y[i], w[i]
+            below[c] += n
+            above[c] -= n
+            under += n
+            over -= n
+            last = v
+        if best is None or found[0] > best[0]:
+            _, low, high = found
+            middle = low / 2 + high / 2
+            best = (found[0], j, middle if low < middle < high else low)
+        seen += 1
+        if seen == look:
+            break
+    return best
+
+
+def _many_rows(x: np.ndarray, shares: np.ndarray, here: np.ndarray, counts: np.ndarray, order: list[int], look: int):
+    best, seen = None, 0
+    for j in order:
+        v = x[here, j]
+        ordered = np.argsort(v, kind="stable")
+        v = v[ordered]
+        cuts = np.flatnonzero(v[1:] != v[:-1])
+        if not len(cuts):
+            continue
+        below = np.cumsum(shares[here[ordered]], axis=0)[cuts]
+        above = counts - below
+        score = (below**2).sum(axis=1) / below.sum(axis=1) + (above**2).sum(axis=1) / above.sum(axis=1)
+        i = int(score.argmax())
+        if best is None or score[i] > best[0]:
+            low, high = float(v[cuts[i]]), float(v[cuts[i] + 1])
+            middle = low / 2 + high / 2
+            best = (score[i], j, middle if low < middle < high else low)
+        seen += 1
+        if seen == look:
+            break
+    return best
+
+
 def grow_exact(x: np.ndarray, y: np.ndarray, w: np.ndarray, classes: int, look: int, rng: np.random.Generator) -> list[tuple]:
     """(feature, threshold, left, right, counts) of a tree grown until every leaf is pure or all its rows are equal."""
     nodes: list[tuple] = [()]
-    todo = [(0, np.arange(len(y)))]
+    todo: list[tuple] = [(0, np.arange(len(y)))]
     shares = np.zeros((len(y), classes))
     shares[np.arange(len(y)), y] = w
+    draws = _draws(rng, x.shape[1])
+    numbers, labels, held = x.tolist(), y.tolist(), [float(v) for v in w]
     while todo:
         slot, here = todo.pop()
-        counts = shares[here].sum(axis=0)
-        best, seen = None, 0
-        if np.count_nonzero(counts) > 1:
-            for j in rng.permutation(x.shape[1]).tolist():
-                v = x[here, j]
-                order = np.argsort(v, kind="stable")
-                v = v[order]
-                cuts = np.flatnonzero(v[1:] != v[:-1])
-                if not len(cuts):
-                    continue
-                below = np.cumsum(shares[here[order]], axis=0)[cuts]
-                above = counts - below
-                score = (below**2).sum(axis=1) / below.sum(axis=1) + (above**2).sum(axis=1) / above.sum(axis=1)
-                i = int(score.argmax())
-                if best is None or score[i] > best[0]:
-                    low, high = float(v[cuts[i]]), float(v[cuts[i] + 1])
-                    middle = low / 2 + high / 2
-                    best = (score[i], j, middle if low < middle < high else low)
-                seen += 1
-                if seen == look:
-                    break
+        few = len(here) <= _FEW
+        if few:
+            here = here if isinstance(here, list) else here.tolist()
+            counts = [0.0] * classes
+            for i in here:
+                counts[labels[i]] += held[i]
+            mixed = sum([c != 0 for c in counts]) > 1
+            best = _few_rows(numbers, labels, held, here, counts, next(draws), look) if mixed else None
+        else:
+            total = shares[here].sum(axis=0)
+            counts = total.tolist()
+            best = _many_rows(x, shares, here, total, next(draws), look) if np.count_nonzero(total) > 1 else None
         if best is None:
-            nodes[slot] = (-1, 0.0, slot, slot, counts.tolist())
+            nodes[slot] = (-1, 0.0, slot, slot, counts)
             continue
         _, j, t = best
-        left = x[here, j] <= t
         nodes[slot] = (j, t, len(nodes), len(nodes) + 1, None)
-        todo += [(len(nodes), here[left]), (len(nodes) + 1, here[~left])]
+        if few:
+            left, right = [i for i in here if numbers[i][j] <= t], [i for i in here if not numbers[i][j] <= t]
+        else:
+            below = x[here, j] <= t
+            left, right = here[below], here[~below]
+        todo += [(len(nodes), left), (len(nodes) + 1, right)]
         nodes += [(), ()]
     return nodes
 
 
-def _binaries(x: np.ndarray) -> pa.Array:
-    """Each row's numbers as one binary value."""
-    x = np.ascontiguousarray(x, np.float64)
-    offsets = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * 8)
-    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(x)])
-
-
 def _lists(values: np.ndarray, known: np.ndarray | None = None) -> pa.Array:
     """Each row's numbers as one list; null where not ``known``."""
     kept = values if known is None else values[known]
@@ -222,42 +333,65 @@ def _lists(values: np.ndarray, known: np.ndarray | None = None) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(kept.ravel(), pa.float64()), mask=None if known is None else pa.array(~known))
 
 
+def _merged_rows(y: np.ndarray, w: np.ndarray, x: np.ndarray, *of: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different rows among some, with the sum of their weights."""
+    width = x.shape[1]
+    # Whole numbers beside the bits of the doubles; 0.0 and -0.0 are one number.
+    both = np.column_stack([*[c.astype(np.int64) for c in (*of, y)], np.ascontiguousarray(x + 0.0, np.float64).view(np.int64)])
+    found, place = np.unique(both.view(f"V{8 * both.shape[1]}").ravel(), return_inverse=True)
+    found = found.view(np.int64).reshape(len(found), -1)
+    numbers = np.ascontiguousarray(found[:, -width:]).view(np.float64)
+    return (found[:, len(of)], np.bincount(place, w, len(found)).astype(np.int64), numbers, *(found[:, i] for i in range(len(of))))
+
+
 def _deal(uppers: list[dict], ends: list[dict[int, bool]], width: int, seed: int, bootstrap: bool):
-    """Rows of the small nodes, once per tree in which they count."""
+    """Rows of the small nodes, once per tree in which they count; equal rows of a task's stretch as one."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = [np.zeros(len(u["arrays"][0]), bool) for u in uppers]
         for t, some in enumerate(ends):
             small[t][[n for n, is_small in some.items() if is_small]] = True
-        for batch in batches:
-            x, y, keys = _rows_of(batch, width)
+
+        def dealt(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            x, y, keys = (np.concatenate(c) for c in zip(*[_rows_of(batch, width) for batch in held]))
             for t, upper in enumerate(uppers):
                 at, w = walk(*upper["arrays"], x), weights(keys, t, seed, bootstrap)
                 here = np.flatnonzero(small[t][at] & (w > 0))
                 if len(here):
+                    some, times, numbers, root = _merged_rows(y[here], w[here], x[here], at[here])
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(here), t), pa.int32()), pa.array(at[here], pa.int32()), pa.array(y[here], pa.int32()), pa.array(w[here]),
-                        _binaries(x[here])], names=["tree", "root", "y", "w", "x"])
+                        pa.array(np.full(len(some), t), pa.int32()), pa.array(root, pa.int32()), pa.array(some, pa.int32()), pa.array(times),
+                        _packed(numbers)], names=["tree", "root", "y", "w", "x"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held += [batch] if batch.num_rows else []
+            if sum(b.num_rows for b in held) >= _MERGED:
+                yield from dealt(held)
+                held = []
+        if held:
+            yield from dealt(held)
 
     return deal
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
-    """The rows of each (tree, root), by which they come sorted, piece by piece."""
+def _groups(batches: Iterator[pa.RecordBatch], *by: str) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
+    """The rows of each group, by whose whole numbers they come sorted, piece by piece."""
     for batch in batches:
-        tree, root = batch.column("tree").to_numpy(), batch.column("root").to_numpy()
-        cut = np.flatnonzero((np.diff(tree) != 0) | (np.diff(root) != 0)) + 1
+        numbers = [batch.column(c).to_numpy() for c in by]
+        cut = np.flatnonzero(np.any([np.diff(n) != 0 for n in numbers], axis=0)) + 1
         for begin, end in zip([0, *cut], [*cut, batch.num_rows]):
             if begin < end:
-                yield (int(tree[begin]), int(root[begin])), batch.slice(begin, end - begin)
+                yield tuple(int(n[begin]) for n in numbers), batch.slice(begin, end - begin)
 
 
 def _grower(width: int, classes: int, look: int, seed: int):
     """Grows each (tree, root) of rows that come sorted by it; a group holds few rows."""
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for of, pieces in groupby(_groups(batches), key=lambda g: g[0]):
+        for of, pieces in groupby(_groups(batches, "tree", "root"), key=lambda g: g[0]):
             rows = pa.Table.from_batches([piece for _, piece in pieces])
-            x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float64).reshape(-1, width)
-            nodes = grow_exact(x, rows["y"].to_numpy(), rows["w"].to_numpy(), classes, look, np.random.default_rng([seed, *of, 1]))
+            x = np.concatenate([_opened(piece, width, np.float64) for piece in rows["x"].chunks])
+            y, w, x = _merged_rows(rows["y"].to_numpy(), rows["w"].to_numpy(), x)
+            nodes = grow_exact(x, y, w, classes, look, np.random.default_rng([seed, *of, 1]))
             feature, threshold, left, right, counts = zip(*nodes)
             k = len(nodes)
             yield pa.RecordBatch.from_arrays([
@@ -292,7 +426,8 @@ def fit(
     rows = materialize(spread(rows.select("key", index.cast("int").alias("y"), packed_array(names).alias("x")), total), "forest-rows")
 
     # The upper part of each tree: lists that grow, and arrays of them for the tasks.
-    uppers = [{"nodes": [[-1, 0.0, 0, 0]], "arrays": None} for _ in range(trees)]
+    uppers = [{"nodes": [[-1, 0.0, 0, 0, 0]], "arrays": None, "cuts": None} for _ in range(trees)]
+    binned: DataFrame | None = None
     counts: dict[tuple[int, int], list[float]] = {}
     ends: list[dict[int, bool]] = [{} for _ in range(trees)]
     tried: dict[tuple[int, int], int] = {}
@@ -304,12 +439,19 @@ def fit(
         tried = {(t, 0): 0 for t in range(trees)}
     while True:
         for u in uppers:
-            kinds = (np.intp, np.float64, np.intp, np.intp)
-            u["arrays"] = tuple(np.array(c, kind) for c, kind in zip(zip(*u["nodes"]), kinds))
+            kinds = (np.intp, np.float64, np.intp, np.intp, np.intp)
+            feature, threshold, left, right, cut = (np.array(c, kind) for c, kind in zip(zip(*u["nodes"]), kinds))
+            # Rows are walked by their bins here: x <= edges[b - 1] is bin <= b.
+            u["arrays"], u["cuts"] = (feature, threshold, left, right), (feature, cut, left, right)
         if not tried:
             break
+        if binned is None:
+            binned = rows.mapInArrow(_binner(edges, bootstrap), _CELLS)
+            if not bootstrap:
+                binned = binned.groupBy("y", "bins").agg(F.min("key").alias("key"), F.sum("w").alias("w")).select("key", "y", "bins", "w")
+            binned = materialize(binned, "forest-cells")
         asked = {(t, n): drawn_features(width, seed, t, n)[i * look : (i + 1) * look] for (t, n), i in tried.items()}
-        cells = rows.mapInArrow(_counter([{"arrays": u["arrays"]} for u in uppers], asked, edges, k, seed, bootstrap),
+        cells = binned.mapInArrow(_counter([{"cuts": u["cuts"]} for u in uppers], asked, edges, k, seed, bootstrap),
                                 "tree int, node int, feature int, bin int, " + ", ".join(f"c{i} long" for i in range(k)))
         cells = cells.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k)])
         # One row per open node, of which there are at most trees * rows / small.
@@ -329,8 +471,8 @@ def fit(
                 j, b = -r["cut"]["feature"], -r["cut"]["bin"]
                 nodes = uppers[t]["nodes"]
                 left, right = len(nodes), len(nodes) + 1
-                nodes[n] = [j, edges[j][b - 1] if 0 < b <= len(edges[j]) else -math.inf, left, right]
-                nodes += [[-1, 0.0, left, left], [-1, 0.0, right, right]]
+                nodes[n] = [j, edges[j][b - 1] if 0 < b <= len(edges[j]) else -math.inf, left, right, b]
+                nodes += [[-1, 0.0, left, left, 0], [-1, 0.0, right, right, 0]]
                 below = list(r["cut"]["left"])
                 for child, held in ((left, below), (right, [a - c for a, c in zip(r["counts"], below)])):
                     if sum(v > 0 for v in held) <= 1:
@@ -341,10 +483,8 @@ def fit(
                         following[t, child] = 0
         tried = following
 
-    upper = [(t, -1, n, int(j), float(c), left, right, counts.get((t, n))) for t, u in enumerate(uppers) for n, (j, c, left, right) in enumerate(u["nodes"])]
+    upper = [(t, -1, n, int(j), float(c), left, right, counts.get((t, n))) for t, u in enumerate(uppers) for n, (j, c, left, right, _) in enumerate(u["nodes"])]
     dealt = rows.mapInArrow(_deal([{"arrays": u["arrays"]} for u in uppers], ends, width, seed, bootstrap), "tree int, root int, y int, w long, x binary")
-    # Equal rows meet as one row with their weight, so a group of copies is never large.
-    dealt = dealt.groupBy("tree", "root", "y", "x").agg(F.sum("w").alias("w")).select("tree", "root", "y", "w", "x")
     tasks = max(sum(len(e) for e in ends) // 8, 1)
     grown = dealt.repartition(min(tasks, 2000), "tree", "root").sortWithinPartitions("tree", "root").mapInArrow(_grower(width, k, look, seed), NODES)
     nodes = materialize(spark.createDataFrame(upper, NODES).unionByName(grown), "forest-nodes")
@@ -401,77 +541,108 @@ def _counts_of(nodes, classes: int) -> tuple[np.ndarray, np.ndarray]:
     return counts / np.where(total > 0, total, 1.0), known
 
 
-def _placer(uppers: list[tuple], width: int):
-    """The (tree, root) where each row goes on; where it ends in the upper part of a tree, its shares."""
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("x").flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, width)
-            x = np.where(np.isnan(x), -np.inf, x)
-            packed = _binaries(x)
-            for t, (arrays, shares, known) in enumerate(uppers):
-                at = walk(*arrays, x)
-                # Rows that have ended are dealt out evenly, as nothing has to meet them.
-                root = np.where(known[at], -1 - np.arange(len(at)) * 64 // len(at), at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), t), pa.int32()), pa.array(root, pa.int32()), batch.column("id"), packed, _lists(shares[at], known[at])],
-                    names=["tree", "root", "id", "x", "shares"])
+def _gathered(pieces: Iterator[pa.RecordBatch], rows: int = 8192) -> Iterator[pa.RecordBatch]:
+    """Small pieces as batches of at least ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+    for piece in pieces:
+        held.append(piece)
+        if sum(p.num_rows for p in held) >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _placer(upper: tuple | None, kept: Sequence[str], width: int, classes: int, trees: int):
+    """The root in the next tree where each row goes on; where it ends in the upper part, its shares are added there.
+
+    Without a next tree the sums of shares become probabilities.
+    """
+    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = [batch.column(c) for c in kept]
+        x, votes = batch.column(_X), _opened(batch.column(_VOTES), classes, np.float64)
+        if upper is None:
+            return pa.RecordBatch.from_arrays([*columns, _lists(votes / trees)], names=[*kept, "probabilities"])
+        arrays, shares, known = upper
+        at = walk(*arrays, _opened(x, width, np.float64))
+        # Rows that have ended are dealt out evenly, as nothing has to meet them.
+        root = np.where(known[at], -1 - np.arange(len(at)) * 64 // max(len(at), 1), at)
+        votes = votes + np.where(known[at, None], shares[at], 0.0)
+        return pa.RecordBatch.from_arrays([*columns, x, _packed(votes), pa.array(root, pa.int32())], names=[*kept, _X, _VOTES, _ROOT])
 
     return place
 
 
-def _finisher(width: int, classes: int):
-    """Shares of rows that come sorted by (tree, root), each group behind the nodes it goes on with."""
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (tree, root), pieces in groupby(_groups(batches), key=lambda g: g[0]):
+def _starter(place, kept: Sequence[str], width: int, classes: int):
+    """Rows at their roots in the first tree."""
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(_X).flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, width)
+            packed = _packed(np.where(np.isnan(x), -np.inf, x).astype(np.float64, copy=False))
+            yield place(pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in kept], packed, _packed(np.zeros((batch.num_rows, classes)))], names=[*kept, _X, _VOTES]))
+
+    return start
+
+
+def _finisher(place, kept: Sequence[str], width: int, classes: int):
+    """Adds the shares of rows that come sorted by root, each group behind the nodes it goes on with, and places them anew."""
+    def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for root, pieces in groupby(_groups(batches, _ROOT), key=lambda g: g[0]):
             held: list[pa.RecordBatch] = []
             arrays = shares = None
             for _, piece in pieces:
-                is_node = piece.column("node").is_valid().to_numpy(zero_copy_only=False)
+                is_node = piece.column(_OF[0]).is_valid().to_numpy(zero_copy_only=False)
                 if is_node.any():
                     held.append(piece.filter(pa.array(is_node)))
-                rows = piece.filter(pa.array(~is_node))
-                if not rows.num_rows:
+                    piece = piece.filter(pa.array(~is_node))
+                if not piece.num_rows:
                     continue
-                known = rows.column("shares")
-                if root >= 0:
+                votes = piece.column(_VOTES)
+                if root[0] >= 0:
                     if arrays is None:
-                        nodes = pa.Table.from_batches(held).to_pandas().sort_values("node", ignore_index=True)
+                        nodes = pa.Table.from_batches(held).select(_OF).to_pandas().set_axis(_NODE, axis=1).sort_values("node", ignore_index=True)
                         arrays = (nodes["feature"].to_numpy(np.intp), nodes["threshold"].to_numpy(np.float64), nodes["left"].to_numpy(np.intp), nodes["right"].to_numpy(np.intp))
                         shares, held = _counts_of(nodes, classes)[0], []
-                    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float64).reshape(-1, width)
-                    known = _lists(shares[walk(*arrays, x)])
-                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(np.full(rows.num_rows, tree), pa.int32()), known], names=["id", "tree", "shares"])
+                    at = walk(*arrays, _opened(piece.column(_X), width, np.float64))
+                    votes = _packed(_opened(votes, classes, np.float64) + shares[at])
+                yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in kept], piece.column(_X), votes], names=[*kept, _X, _VOTES])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _gathered(ended(batches)):
+            yield place(batch)
 
     return finish
 
 
 def _routed(df: DataFrame, forest: DeepForest) -> DataFrame:
-    """``probabilities`` by a forest too large to be sent whole: rows meet the subtrees they go on with.
+    """``probabilities`` by a forest too large to be sent whole: rows meet the subtrees they go on with, tree after tree.
 
-    Only the upper parts, about rows / small nodes a tree, are sent to all tasks. The rows are written once with a number each.
+    Only the upper parts, about rows / small nodes a tree, are sent to all tasks. Each tree shuffles the rows once, with the
+    sums of their shares so far, so they need no numbers and no join.
     """
-    width, classes = len(forest.features), len(forest.classes)
+    width, classes, kept = len(forest.features), len(forest.classes), df.columns
     top = forest.nodes.filter("root = -1").toPandas().sort_values(["tree", "node"], ignore_index=True)
     uppers = []
     for _, u in top.groupby("tree", sort=True):
         u = u.reset_index(drop=True)
         uppers.append(((u["feature"].to_numpy(np.intp), u["threshold"].to_numpy(np.float64), u["left"].to_numpy(np.intp), u["right"].to_numpy(np.intp)), *_counts_of(u, classes)))
-    rows = materialize(df.withColumn(_ROW, F.monotonically_increasing_id()), "forest-scored")
-    placed = rows.select(F.col(_ROW).alias("id"), packed_array(forest.features).alias("x")).mapInArrow(
-        _placer(uppers, width), "tree int, root int, id long, x binary, shares array<double>")
-    own = {"node": "int", "feature": "int", "threshold": "double", "left": "int", "right": "int", "counts": "array<double>"}
-    brought = {"id": "long", "x": "binary", "shares": "array<double>"}
-    both = placed.withColumns({c: F.lit(None).cast(kind) for c, kind in own.items()}).unionByName(
-        forest.nodes.filter("root >= 0").withColumns({c: F.lit(None).cast(kind) for c, kind in brought.items()}))
-    # A fixed number of tasks: the rows are small but slow work, which adaptive execution would put into few tasks.
-    tasks = max(sum(len(known) for _, _, known in uppers) // 16, df.sparkSession.sparkContext.defaultParallelism)
-    met = both.repartition(min(tasks, 2000), "tree", "root").sortWithinPartitions("tree", "root", F.asc_nulls_last("node"))
-    ended = met.mapInArrow(_finisher(width, classes), "id long, tree int, shares array<double>")
-    # Added up in the order of the trees.
-    held = ended.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("tree", "shares"))).alias("held"))
-    total = F.aggregate("held", F.array(*[F.lit(0.0)] * classes), lambda a, v: F.zip_with(a, v["shares"], lambda p, q: p + q))
-    votes = held.select(F.col("id").alias(_ROW), F.transform(total, lambda v: v / forest.trees).alias("probabilities"))
-    return rows.join(votes, _ROW).drop(_ROW)
+    places = [_placer(u, kept, width, classes, forest.trees) for u in [*uppers, None]]
+    own = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    placed = T.StructType([*own, T.StructField(_X, T.BinaryType()), T.StructField(_VOTES, T.BinaryType()), T.StructField(_ROOT, T.IntegerType())])
+    done = T.StructType([*own, T.StructField("probabilities", T.ArrayType(T.DoubleType()))])
+    kinds = dict(zip(_OF, ("int", "int", "double", "int", "int", "array<double>")))
+    rows = df.withColumn(_X, packed_array(forest.features)).mapInArrow(_starter(places[0], kept, width, classes), placed)
+    for t, (_, _, known) in enumerate(uppers):
+        if t and t % _CHAINED == 0:
+            rows = materialize(rows, "forest-routed")
+        subtrees = forest.nodes.filter((F.col("tree") == t) & (F.col("root") >= 0)).select(F.col("root").alias(_ROOT), *[F.col(c).alias(n) for c, n in zip(_NODE, _OF)])
+        both = rows.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items()}).unionByName(subtrees, allowMissingColumns=True)
+        # A fixed number of tasks: the rows are small but slow work, which adaptive execution would put into few tasks.
+        tasks = min(max(len(known) // 16, df.sparkSession.sparkContext.defaultParallelism), 2000)
+        met = both.repartition(tasks, _ROOT).sortWithinPartitions(_ROOT, F.asc_nulls_last(_OF[0]))
+        rows = met.mapInArrow(_finisher(places[t + 1], kept, width, classes), done if t + 1 == len(uppers) else placed)
+    return rows
 
 
 def predict(df: DataFrame, forest: DeepForest, prediction: str = "prediction", confidence: str = "confidence_score") -> DataFrame:
